@@ -6,14 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality_rules, secrets
+from . import mixing, packing, quality_model, quality_rules, secrets, toxicity, url_rules
 from .common import table
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_weighted_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op4_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_association_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
 def op6_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -22,8 +40,23 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op10_lexicon_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OPERATORS = (
+    op2_tiered_packing,
+    op3_weighted_fair_mix,
+    op4_pairwise_quality,
+    op5_association_url_rules,
+    op6_ownership_secrets,
+    op8_rule_cascade,
+    op10_lexicon_automata,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_weighted_fair_mix, op6_ownership_secrets, op8_rule_cascade)}
+    return {f.__name__: f for f in OPERATORS}
 
 
 def oracle_sql() -> dict[str, str]:
