@@ -29,7 +29,9 @@ BUFFER = 1 << 19
 #: Tokens of a step group.
 STEP = 1 << 14
 #: Distinct words whose ids a worker remembers before it starts anew.
-CACHE = 600_000
+CACHE = 1_000_000
+#: Marks that the tokenizer always cuts off behind an ASCII letter or digit.
+TAIL = b".,!?;:*#$%&"
 SEPARATOR = "<|endoftext|>"
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
@@ -49,38 +51,65 @@ class WordIds(dict):
 
     def _reset(self) -> None:
         self.clear()
+        self.parts: dict = {}
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.first, self.count = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.first, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.part_first, self.part_count = np.zeros(1, np.int64), np.zeros(1, np.int64)  # the first part is empty
+        self.parts[b""] = 0
 
     def __missing__(self, word: bytes) -> int:
         self[word] = k = len(self)
         self.fresh.append(word)
         return k
 
-    def _learn(self) -> None:
-        words = [w.decode("utf-8", "surrogatepass") for w in self.fresh]
-        plain = self.mark is not None and not any("<|" in w for w in words)
-        if plain:
-            ids = np.array(self.tokenizer.encode(SEPARATOR.join(words), add_special_tokens=False).ids, np.uint32)
-            cut = np.flatnonzero(ids == self.mark)
-            ends = np.append(cut, len(ids))
-            begins = np.concatenate([[0], cut + 1])
-        else:
-            each = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-            ids = np.fromiter((i for x in each for i in x), np.uint32)
-            ends = np.cumsum([len(x) for x in each])
-            begins = np.concatenate([[0], ends[:-1]])
-        n = len(self)
-        if n > len(self.first):
-            self.first, self.count = (np.concatenate([x, np.zeros(max(n, len(x)), np.int64)]) for x in (self.first, self.count))
+    def _encode(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has."""
+        texts = [w.decode("utf-8", "surrogatepass") for w in words]
+        if self.mark is None or any("<|" in t for t in texts):
+            each = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+            return np.fromiter((i for x in each for i in x), np.uint32), np.array([len(x) for x in each], np.int64)
+        ids = np.array(self.tokenizer.encode(SEPARATOR.join(texts), add_special_tokens=False).ids, np.uint32)
+        cut = ids == self.mark
+        ends = np.append(np.flatnonzero(cut), len(ids))
+        return ids[~cut], np.diff(ends, prepend=-1) - 1
+
+    def _append(self, ids: np.ndarray) -> None:
         if self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(ids)), np.uint32)])
         self.pool[self.used : self.used + len(ids)] = ids
-        self.first[n - len(words) : n] = begins + self.used
-        self.count[n - len(words) : n] = ends - begins
         self.used += len(ids)
+
+    def _learn(self) -> None:
+        """Ids of new words, put together of lower-cased stems and tails of marks, so that fewer need the tokenizer."""
+        pairs, new = np.zeros((len(self.fresh), 2), np.int64), []
+        for i, word in enumerate(self.fresh):
+            low = word if b"<|" in word else word.lower()
+            stem = low.rstrip(TAIL)
+            if not stem[-1:].isalnum():
+                stem = low
+            for j, part in enumerate((stem, low[len(stem) :])):
+                k = self.parts.get(part)
+                if k is None:
+                    self.parts[part] = k = len(self.parts)
+                    new.append(part)
+                pairs[i, j] = k
+        if new:
+            ids, n = self._encode(new)
+            self.part_first = np.concatenate([self.part_first, self.used + np.cumsum(n) - n])
+            self.part_count = np.concatenate([self.part_count, n])
+            self._append(ids)
+        n = self.part_count[pairs]
+        ids = self._gather(self.part_first[pairs].ravel(), n.ravel())
+        n = n.sum(1)
+        self.first = np.concatenate([self.first, self.used + np.cumsum(n) - n])
+        self.count = np.concatenate([self.count, n])
+        self._append(ids)
         self.fresh = []
 
+    def _gather(self, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+        ends = np.cumsum(n)
+        return self.pool[np.repeat(first - (ends - n), n) + np.arange(ends[-1] if len(n) else 0)]
+
     def texts(self, texts: list) -> Iterator[np.ndarray]:
         """The ids of each text (null: none)."""
         if len(self) > CACHE:
@@ -92,10 +121,7 @@ class WordIds(dict):
         if self.fresh:
             self._learn()
         for at in places:
-            n = self.count[at]
-            ends = np.cumsum(n)
-            total = int(ends[-1]) if len(at) else 0
-            yield self.pool[np.repeat(self.first[at] - (ends - n), n) + np.arange(total)]
+            yield self._gather(self.first[at], self.count[at])
 
 
 class Packer:
@@ -209,8 +235,8 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 for doc, ids in zip(part.column(0).to_pylist(), words.texts(part.column(1).to_pylist())):
                     packer.add(doc, ids)
                 if rows := packer.rows():

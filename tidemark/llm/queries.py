@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_model, quality_rules, secrets, toxicity, url_rules
+from . import mixing, packing, quality_model, quality_rules, secrets, simhash, toxicity, url_rules
 from .common import table
 
 
@@ -36,6 +36,10 @@ def op6_ownership_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_gray_order_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ OPERATORS = (
     op4_pairwise_quality,
     op5_association_url_rules,
     op6_ownership_secrets,
+    op7_gray_order_simhash,
     op8_rule_cascade,
     op10_lexicon_automata,
 )
