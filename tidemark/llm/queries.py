@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, quality_model, quality_rules, secrets, simhash, toxicity, url_rules
+from . import ann, lm, mixing, packing, quality_model, quality_rules, secrets, simhash, toxicity, url_rules
 from .common import table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_pruned_graph_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op2_tiered_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -44,11 +48,16 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op10_lexicon_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 OPERATORS = (
+    op1_pruned_graph_search,
     op2_tiered_packing,
     op3_weighted_fair_mix,
     op4_pairwise_quality,
@@ -56,6 +65,7 @@ OPERATORS = (
     op6_ownership_secrets,
     op7_gray_order_simhash,
     op8_rule_cascade,
+    op9_log_bilinear_scores,
     op10_lexicon_automata,
 )
 
