@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLANS = ("sessions",)
+PLANS = ("sessions", "bars", "signals")
 
 
 def _collect(name: str) -> dict:
