@@ -12,16 +12,29 @@ from ..functions.scalars import half_up
 DIRECTION = {"BUYERS_8_5": 1, "WALL_PULLED": 1, "WAKEUP": 1, "PREDAY": 0, "NO_PROTECTION": -1, "BID_EMPTY": -1, "BAIT_BID": -1, "WALL_PLACED": -1, "FROZEN": 0}
 
 
+def _from_other_days(rows: DataFrame, on: str, value: str, known: Column, order: Column, later: bool) -> DataFrame:
+    """(``on``, ``_day``, ``_far``): for each day the first value of later days, or the last of earlier ones.
+
+    One row a key and day, so long histories of one key are never sorted as a whole.
+    """
+    pick = F.min_by if later else F.max_by
+    days = rows.groupBy(on, "_day").agg(pick(value, F.when(known, order)).alias("_v"))
+    far = Window.partitionBy(on).orderBy(F.desc("_day") if later else F.asc("_day")).rowsBetween(Window.unboundedPreceding, -1)
+    return days.select(on, "_day", F.last("_v", ignorenulls=True).over(far).alias("_far"))
+
+
 def last_known(left: DataFrame, right: DataFrame, columns: list[str], on: str = "symbol", ts: str = "created_at") -> DataFrame:
-    """Backward as-of join: each left row with the latest right row at or before it, by union and one window.
+    """Backward as-of join: each left row with the latest right row at or before it, by union and one window a day.
 
     Both sides need ``id`` for ties; of right rows at one instant the largest id is the latest.
     """
     keep = left.columns
     r = right.select(on, ts, "id", F.struct(*columns).alias("_r"))
-    both = left.withColumns({"_side": F.lit(1), "_r": F.lit(None).cast(r.schema["_r"].dataType)}).unionByName(r.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(on).orderBy(ts, "_side", "id").rowsBetween(Window.unboundedPreceding, 0)
-    got = both.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
+    both = left.withColumns({"_side": F.lit(1), "_r": F.lit(None).cast(r.schema["_r"].dataType)}).unionByName(r.withColumn("_side", F.lit(0)), allowMissingColumns=True).withColumn("_day", F.to_date(ts))
+    w = Window.partitionBy(on, "_day").orderBy(ts, "_side", "id").rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn("_r", F.last("_r", ignorenulls=True).over(w)).where("_side = 1")
+    far = _from_other_days(both, on, "_r", F.col("_side") == 0, F.struct(ts, "id"), later=False)
+    got = near.join(far, [on, "_day"], "left").withColumn("_r", F.coalesce("_r", "_far"))
     return got.select(*keep, *(F.col(f"_r.{x}").alias(x) for x in columns))
 
 
@@ -32,9 +45,11 @@ def first_after(targets: DataFrame, prices: DataFrame, value: str, at: str, name
     """
     p = prices.where(F.col(value).isNotNull()).select(on, F.col(ts).alias("_at"), F.col("id").alias("_id"), F.col(value).alias(name))
     t = targets.withColumns({"_at": F.col(at), "_target": F.lit(1)})
-    both = t.unionByName(p.withColumn("_target", F.lit(0)), allowMissingColumns=True)
-    w = Window.partitionBy(on).orderBy(F.desc("_at"), "_target", F.desc("_id")).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(name, F.last(name, ignorenulls=True).over(w)).where("_target = 1").drop("_at", "_id", "_target")
+    both = t.unionByName(p.withColumn("_target", F.lit(0)), allowMissingColumns=True).withColumn("_day", F.to_date("_at"))
+    w = Window.partitionBy(on, "_day").orderBy(F.desc("_at"), "_target", F.desc("_id")).rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn(name, F.last(name, ignorenulls=True).over(w)).where("_target = 1")
+    far = _from_other_days(both, on, name, F.col("_target") == 0, F.struct("_at", "_id"), later=True)
+    return near.join(far, [on, "_day"], "left").withColumn(name, F.coalesce(name, "_far")).drop("_at", "_id", "_target", "_day", "_far")
 
 
 def _age(price: str, seq, elapsed: Column) -> tuple[Column, Column]:

@@ -103,7 +103,7 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The broker's panel: one capture an hour on most days."""
     e = read(spark, sf_dir, "events")
-    hour = F.date_trunc("hour", "ts")
+    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
     got = e.groupBy(hour.alias("captured_at")).agg(
         F.count_if(F.col("event_type") == "view").alias("advancing"),
         F.count_if(F.col("event_type") == "click").alias("declining"),
