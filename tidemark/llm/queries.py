@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import ann, lm, mixing, packing, quality_model, quality_rules, secrets, simhash, toxicity, url_rules
 from .common import table
+from .sql import ORACLES
 
 
 def tokenizer_path() -> str:
@@ -75,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
