@@ -167,6 +167,12 @@ def signals(rows: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     return out.select("symbol", "trading_date", c("ts").alias("fired_at"), "id", "hit.signal", "hit.detail", c("last_price").alias("price"))
 
 
+def alert_text(symbol: Column, price: Column, signal: Column, detail: Column) -> Column:
+    """A signal as one line of text; without a price that part is left out."""
+    at = F.coalesce(F.concat(F.lit(" @ "), plain(price)), F.lit(""))
+    return F.trim(F.concat(symbol, at, F.lit(" — "), signal, F.lit(": "), F.coalesce(detail, F.lit(""))))
+
+
 def score(fired: DataFrame, prices: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Prices 5, 15 and 60 minutes after each signal, and whether the first moved as expected.
 

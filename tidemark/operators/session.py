@@ -230,3 +230,24 @@ def symbol_day(quotes: DataFrame, instruments: DataFrame | None = None, limits:
 def markets_disagree(quotes: DataFrame, market: str = "market") -> DataFrame:
     """Symbols seen under more than one market in a session; must be empty before a session is computed."""
     return quotes.groupBy(*DAY).agg(F.sort_array(F.collect_set(market)).alias("markets")).where(F.size("markets") > 1)
+
+
+def prev_session(sessions: DataFrame, n: int = 1) -> DataFrame:
+    """(trading_date, prev_date): the session ``n`` before each, or the oldest where there are fewer; null for the oldest."""
+    order = Window.orderBy("trading_date")  # a row a session
+    days = sessions.select("trading_date").distinct()
+    oldest = F.first("trading_date").over(order)
+    back = F.coalesce(F.lag("trading_date", n).over(order), F.when(oldest < F.col("trading_date"), oldest))
+    return days.select("trading_date", back.alias("prev_date"))
+
+
+def session_close(quotes: DataFrame) -> DataFrame:
+    """The latest price of each symbol and session from a session that can close it, or an unlabelled one."""
+    ok = (F.col("last_price") > 0) & (F.col("session").isNull() | F.col("session").isin(*CLOSING_SESSIONS))
+    return quotes.where(ok).groupBy(*DAY).agg(F.max_by("last_price", F.struct("created_at", "id")).alias("close_px"))
+
+
+def prev_session_of_symbol(quotes: DataFrame) -> DataFrame:
+    """Each symbol's own session before each of its sessions."""
+    days = quotes.select(*DAY).distinct()
+    return days.withColumn("prev_date", F.lag("trading_date").over(Window.partitionBy("symbol").orderBy("trading_date")))

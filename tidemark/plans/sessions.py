@@ -32,6 +32,15 @@ def symbol_day_with_market(spark: SparkSession, sf_dir: str) -> DataFrame:
     return symbol_day(spark, sf_dir).join(m, "trading_date", "left").select("symbol", "trading_date", "close_px", "prev_close", "chg_fils", "down_days", "data_quality", "regime", "pct_advancing", "breadth_5d_avg")
 
 
+def session_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each symbol's sessions with its own and the market's session before, the one five before, and its close."""
+    q = s.quotes(spark, sf_dir).where("id % 17 < 9 or symbol <> 'S2'")
+    own = session.prev_session_of_symbol(q).withColumnRenamed("prev_date", "own_prev")
+    for n, name in ((1, "prev"), (5, "prev_5")):
+        own = own.join(session.prev_session(q, n).withColumnRenamed("prev_date", name), "trading_date")
+    return own.join(session.session_close(q), ["symbol", "trading_date"], "left")
+
+
 R4 = "floor(({}) * 10000 + 0.5) / 10000"
 r4 = R4.format
 
@@ -161,8 +170,16 @@ def _sql(body: str, *more: str) -> str:
     return "with " + ",\n".join([raw, s.SQL["instruments"].strip(), s.SQL["summaries"].strip(), *more]) + "\n" + body
 
 
-QUERIES = {f.__name__: f for f in (session_facts, symbol_day, market_day, symbol_day_with_market)}
+QUERIES = {f.__name__: f for f in (session_calendar, session_facts, symbol_day, market_day, symbol_day_with_market)}
 ORACLES = {
+    "session_calendar": s.with_tables(
+        """select p.symbol, p.trading_date, lag(p.trading_date) over (partition by p.symbol order by p.trading_date) as own_prev, prev, prev_5, close_px
+ from (select distinct symbol, trading_date from q) p
+ join (select trading_date, lag(trading_date) over w as prev, coalesce(lag(trading_date, 5) over w, nullif(first_value(trading_date) over w, trading_date)) as prev_5 from (select distinct trading_date from q) window w as (order by trading_date)) using (trading_date)
+ left join (select symbol, trading_date, arg_max(last_price, (created_at, id)) as close_px from q where last_price > 0 and (session is null or session in ('Trading', 'Close Auction Acceptance', 'Trading at Last', 'Close-Of-Day')) group by 1, 2) using (symbol, trading_date)""",
+        "quotes",
+        more="q as (select * from quotes where id % 17 < 9 or symbol <> 'S2')",
+    ),
     "session_facts": s.with_tables("select * exclude (last_close) from facts", "quotes", more=FACTS),
     "symbol_day": _sql("select * from days", PRIMARY, FACTS.strip(), DAY.strip()),
     "market_day": _sql("select * from market", PRIMARY, FACTS.strip(), DAY.strip(), MARKET.strip()),

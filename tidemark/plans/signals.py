@@ -28,6 +28,11 @@ def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minute.signals(book_snapshots(spark, sf_dir))
 
 
+def alert_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = F.col
+    return signals(spark, sf_dir).select("symbol", "id", "signal", minute.alert_text(c("symbol"), c("price"), c("signal"), c("detail")).alias("text"))
+
+
 def signal_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = book_snapshots(spark, sf_dir)
     return minute.score(minute.signals(rows).drop("detail"), rows).drop("scored")
@@ -93,7 +98,7 @@ scores as (
  from signals g join ways using (signal) join p5 using (symbol, id, signal) join p15 using (symbol, id, signal) join p60 using (symbol, id, signal))"""
 )
 
-QUERIES = {f.__name__: f for f in (quotes_with_book, book_snapshots, signals, signal_scores, signal_tally)}
+QUERIES = {f.__name__: f for f in (quotes_with_book, book_snapshots, signals, alert_texts, signal_scores, signal_tally)}
 ORACLES = {
     "quotes_with_book": s.with_tables(
         """select p.* exclude (session, ingest_source, bid, offer, bid_qty, offer_qty), b.bid, b.bid_qty, b.offer, b.offer_qty
@@ -103,6 +108,7 @@ ORACLES = {
     ),
     "book_snapshots": s.with_tables("select * from snaps", "quotes", more=SNAPSHOTS),
     "signals": s.with_tables("select * from signals", "quotes", more=SNAPSHOTS + "," + SIGNALS),
+    "alert_texts": s.with_tables("select symbol, id, signal, symbol || coalesce(' @ ' || cast(cast(price as bigint) as varchar), '') || ' — ' || signal || ': ' || detail as text from signals", "quotes", more=SNAPSHOTS + "," + SIGNALS),
     "signal_scores": s.with_tables("select * from scores", "quotes", more=SNAPSHOTS + "," + SIGNALS + "," + SCORES),
     "signal_tally": s.with_tables("select signal, count(*) filter (was_right) as right_n, count(was_right) as graded, count(*) as fired from scores group by 1", "quotes", more=SNAPSHOTS + "," + SIGNALS + "," + SCORES),
 }

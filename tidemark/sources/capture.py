@@ -120,6 +120,35 @@ def symbol_master(tables: DataFrame) -> DataFrame:
     return one.groupBy("alias").agg(F.max(F.struct("symbol", "code", "description", "market")).alias("e")).select("alias", "e.*")
 
 
+def board(frames: DataFrame, master: DataFrame, fields: tuple[str, ...], keep: tuple[str, ...] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Merged frames joined with the symbol master by any alias: one row a symbol, the most complete; and unknown keys."""
+    known = F.upper(F.trim("sym"))
+    full = sum(F.col(f).isNotNull().cast("int") for f in fields)
+    latest = frames.groupBy(known.alias("alias")).agg(*(F.max_by(f, F.when(F.col(f).isNotNull(), F.col("ts"))).alias(f) for f in fields), F.max("ts").alias("ts"))
+    got = latest.join(master, "alias")
+    got = got if keep is None else got.where(F.col("market").isin(*keep))
+    cols = [c for c in got.columns if c != "symbol"]
+    best = got.groupBy("symbol").agg(F.max_by(F.struct(*cols), F.struct(full, "ts", "alias")).alias("r")).select("symbol", *(F.col(f"r.{c}").alias(c) for c in cols))
+    return best, latest.join(master, "alias", "left_anti").select("alias")
+
+
+#: What the cells of each kind of page are called there.
+ALIASES = {
+    "symbol": ("symbol", "ticker"), "last_price": ("last", "price"), "volume": ("volume", "vol"), "chg": ("chg", "change"), "pct_chg": ("chg%", "change%", "%"), "bid": ("bid",), "offer": ("offer", "ask"),
+}
+
+
+def quotes_from_cells(rows: DataFrame, header: list[str], aliases: dict[str, tuple[str, ...]] = ALIASES) -> DataFrame:
+    """Quotes from rows of cells under a header; rows that repeat the header or lack a symbol are left out."""
+    at = p.resolve_columns(header, aliases)
+    words = tuple({w for names in aliases.values() for w in names} | {h.strip().lower() for h in header})
+    cell = lambda k: F.get("cells", F.lit(at[k]))
+    kept = rows.where(~p.looks_like_header(F.col("cells"), header, words))
+    numbers = [k for k in aliases if k != "symbol" and at[k] >= 0]
+    rest = [c for c in rows.columns if c != "cells"]
+    return kept.select(*rest, p.to_symbol(cell("symbol")).alias("symbol"), *(p.to_number(cell(k)).alias(k) for k in numbers)).where("symbol is not null")
+
+
 def ladder(cells: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Ladder levels from two columns of cells: bids by falling price, offers by rising price, side by side."""
     n = limits.max_level
