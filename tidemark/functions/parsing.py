@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import whole
+from .scalars import let, whole
 
 #: Texts that mean "no value".
 BLANKS = ("", "-", "--", "\u2014", "\u2013", "n/a", "N/A", "NA", "null", "undefined")
@@ -28,7 +28,7 @@ def _trimmed(x: Column) -> Column:
 def clean(raw: Column) -> Column:
     """Without invisible direction marks and outer space; null if nothing is left or it stands for nothing."""
     s = _trimmed(F.translate(F.regexp_replace(raw, MARKS, ""), "\u00a0", " "))
-    return F.when(~s.isin(*BLANKS) & ~F.lower(s).isin(*BLANKS), s)
+    return let(s, lambda x: F.when(~x.isin(*BLANKS) & ~F.lower(x).isin(*BLANKS), x))
 
 
 def _multiplier(letter: Column) -> Column:
@@ -37,17 +37,22 @@ def _multiplier(letter: Column) -> Column:
 
 def to_number(raw: Column) -> Column:
     """Thousands separators, percent, currency, accounting negatives, K/M/B; else the first number in the noise."""
-    s = clean(raw)
-    body = F.regexp_replace(F.translate(s, "\u2212", "-"), r"[()\s,%$]", "")
-    body = F.regexp_replace(body, f"(?i)({'|'.join(CURRENCIES)})$", "")
-    suffix = F.regexp_extract(body, "(?i)([KMB])$", 1)
-    body = F.regexp_replace(body, "(?i)[KMB]$", "")
-    times = F.coalesce(_multiplier(suffix), F.lit(1.0))
-    plain = F.when(body.rlike(PLAIN), body.try_cast("double"))
-    found = F.regexp_extract(body, r"(-?[0-9][0-9.]*)", 1)
-    noisy = F.when(found.rlike(PLAIN), found.try_cast("double")) * F.coalesce(_multiplier(F.regexp_extract(body, r"(?i)-?[0-9][0-9.]*([KMB])", 1)), times)
-    value = F.when(~body.isin("", "-", "+"), F.coalesce(plain * times, noisy))
-    return F.when(s.rlike(r"^\(.*\)$"), -value).otherwise(value)
+
+    def of_body(full: Column) -> Column:
+        times = F.coalesce(_multiplier(F.regexp_extract(full, "(?i)([KMB])$", 1)), F.lit(1.0))
+        return let(F.regexp_replace(full, "(?i)[KMB]$", ""), lambda body: F.when(~body.isin("", "-", "+"), F.when(body.rlike(PLAIN), body.try_cast("double") * times).otherwise(noisy(body, times))))
+
+    def noisy(body: Column, times: Column) -> Column:
+        found = F.regexp_extract(body, r"(-?[0-9][0-9.]*)", 1)
+        own = _multiplier(F.regexp_extract(body, r"(?i)-?[0-9][0-9.]*([KMB])", 1))
+        return let(found, lambda n: F.when(n.rlike(PLAIN), n.try_cast("double"))) * F.coalesce(own, times)
+
+    def of_text(s: Column) -> Column:
+        body = F.regexp_replace(F.translate(s, "\u2212", "-"), r"[()\s,%$]", "")
+        value = let(F.regexp_replace(body, f"(?i)({'|'.join(CURRENCIES)})$", ""), of_body)
+        return F.when(s.rlike(r"^\(.*\)$"), -value).otherwise(value)
+
+    return let(clean(raw), of_text)
 
 
 def to_integer(raw: Column) -> Column:
@@ -68,8 +73,7 @@ def to_symbol(raw: Column) -> Column:
 
 
 def to_side(raw: Column) -> Column:
-    up = F.upper(clean(raw))
-    return F.when(up.contains("BUY") | up.startswith("B") | up.contains("شراء"), "BUY").when(up.contains("SELL") | up.startswith("S") | up.contains("بيع"), "SELL").when(up.isNotNull(), "UNKNOWN")
+    return let(F.upper(clean(raw)), lambda up: F.when(up.contains("BUY") | up.startswith("B") | up.contains("شراء"), "BUY").when(up.contains("SELL") | up.startswith("S") | up.contains("بيع"), "SELL").when(up.isNotNull(), "UNKNOWN"))
 
 
 CLOCK = r"([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2}))?"
@@ -77,11 +81,16 @@ CLOCK = r"([0-9]{1,2}):([0-9]{1,2})(?::([0-9]{1,2}))?"
 
 def to_time(raw: Column) -> Column:
     """The first clock time anywhere in the text as HH:MM:SS."""
-    t = clean(raw)
-    h, m, s = (F.regexp_extract(t, CLOCK, k) for k in (1, 2, 3))
-    s = F.when(s == "", "0").otherwise(s)
-    ok = t.rlike(CLOCK) & (h.try_cast("int") <= 23) & (m.try_cast("int") <= 59) & (s.try_cast("int") <= 59)
-    return F.when(ok, F.concat_ws(":", *(F.lpad(x, 2, "0") for x in (h, m, s))))
+
+    def parts(t: Column) -> Column:
+        h, m, s = (F.regexp_extract(t, CLOCK, k) for k in (1, 2, 3))
+        return F.when(t.rlike(CLOCK), F.array(h, m, F.when(s == "", "0").otherwise(s)))
+
+    def join(x: Column) -> Column:
+        ok = (x[0].try_cast("int") <= 23) & (x[1].try_cast("int") <= 59) & (x[2].try_cast("int") <= 59)
+        return F.when(ok, F.concat_ws(":", *(F.lpad(x[k], 2, "0") for k in range(3))))
+
+    return let(let(clean(raw), parts), join)
 
 
 def to_date_dmy(raw: Column) -> Column:

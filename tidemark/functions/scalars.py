@@ -10,6 +10,11 @@ from ..config import LIMITS, Limits
 HOURS_EAST = 3  # Asia/Kuwait has no summer time
 
 
+def let(x: Column, body) -> Column:
+    """``body`` of ``x`` with ``x`` computed once, however often the body names it."""
+    return F.element_at(F.transform(F.array(x), body), 1)
+
+
 def half_up(x: Column, places: int = 4) -> Column:
     """Round half up by floor, which every engine computes alike."""
     scale = float(10**places)

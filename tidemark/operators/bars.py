@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,29 +121,44 @@ def swing_stats(runs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
 
 
-def _first(closes: Column, start: Column, test) -> Column:
-    """Place of the first close from ``start`` on that passes; null if none."""
-    at = F.array_position(F.transform(F.slice(closes, start + 1, F.size(closes)), test), True)
-    return F.when(at > 0, start + at - 1).cast("int")
+TRADES = "symbol string, trading_date date, start_idx int, level double, fib_price double, entry_minute int, entry_px double, win boolean, profit double, mins int"
+
+
+def _trades(closes: np.ndarray, swing: dict, target: float, levels: tuple[float, ...]) -> Iterator[tuple]:
+    """Of one swing, what each level's first touch came to."""
+    high, low = max(swing["start_price"], swing["end_price"]), min(swing["start_price"], swing["end_price"])
+    for level in levels:
+        price = math.floor((high - level * (high - low)) * 1000.0 + 0.5) / 1000.0
+        touched = np.abs(closes[swing["end_idx"] :] - price) <= 0.5
+        if not touched.any():
+            continue
+        entry = swing["end_idx"] + int(touched.argmax())
+        px = closes[entry]
+        won, stopped = closes[entry:] >= px + target, closes[entry:] <= px - target
+        won_at, stop_at = (int(x.argmax()) if x.any() else None for x in (won, stopped))
+        win = won_at is not None and (stop_at is None or won_at < stop_at)
+        out = entry + won_at if win else entry + stop_at if stop_at is not None else len(closes) - 1
+        yield swing["start_idx"], level, price, entry, float(px), win, math.floor((closes[out] - px) * 1000.0 + 0.5) / 1000.0, won_at if win else None
 
 
 def retracements(bars: DataFrame, runs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """For each swing and level: the first touch at or after its end, and whether target or stop came first.
 
-    A session's closes (one for each minute) travel as one short array.
+    Sessions are independent and short (a close for each minute), so each is one row of two arrays, searched in numpy.
     """
-    c = F.col
-    closes = bars.groupBy(*DAY).agg(F.array_sort(F.collect_list(F.struct("minute", "close"))).alias("bars")).select(*DAY, F.transform("bars", lambda b: b["close"]).alias("closes"))
-    target = auto_target(F.avg("size").over(Window.partitionBy(*DAY)), limits)
-    s = runs.withColumn("target", target).join(closes, [*DAY]).withColumn("level", F.explode(F.array(*map(F.lit, limits.fib_levels))))
-    high, low = F.greatest("start_price", "end_price"), F.least("start_price", "end_price")
-    s = s.withColumn("fib_price", half_up(high - c("level") * (high - low), 3))
-    s = s.withColumn("entry_minute", _first(c("closes"), c("end_idx"), lambda p: F.abs(p - c("fib_price")) <= 0.5)).where("entry_minute is not null")
-    s = s.withColumn("entry_px", F.get("closes", c("entry_minute")))
-    s = s.withColumns({"win_at": _first(c("closes"), c("entry_minute"), lambda p: p >= c("entry_px") + c("target")), "stop_at": _first(c("closes"), c("entry_minute"), lambda p: p <= c("entry_px") - c("target"))})
-    win = c("win_at").isNotNull() & (c("stop_at").isNull() | (c("win_at") < c("stop_at")))
-    out = F.when(win, c("win_at")).otherwise(F.coalesce("stop_at", F.size("closes") - 1))
-    return s.select(*DAY, "start_idx", "level", "fib_price", "entry_minute", "entry_px", win.alias("win"), half_up(F.get("closes", out) - c("entry_px"), 3).alias("profit"), F.when(win, c("win_at") - c("entry_minute")).alias("mins"))
+    closes = bars.groupBy(*DAY).agg(F.transform(F.array_sort(F.collect_list(F.struct("minute", "close"))), lambda b: b["close"]).alias("closes"))
+    each = runs.groupBy(*DAY).agg(F.collect_list(F.struct("start_idx", "end_idx", "start_price", "end_price")).alias("swings"), auto_target(F.avg("size"), limits).alias("target"))
+    levels = limits.fib_levels
+    names = [c.split()[0] for c in TRADES.split(", ")]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.date32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.bool_(), pa.float64(), pa.int32()]
+        for batch in batches:
+            for symbol, day, prices, swings_, target in zip(*(c.to_pylist() for c in batch.columns)):
+                found = [(symbol, day, *t) for swing in swings_ for t in _trades(np.array(prices), swing, target, levels)]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found) if found else [()] * len(kinds), kinds)], names=names)
+
+    return closes.join(each, [*DAY]).select(*DAY, "closes", "swings", "target").mapInArrow(run, TRADES)
 
 
 def retracement_stats(trades: DataFrame) -> DataFrame:
