@@ -178,10 +178,11 @@ def score(fired: DataFrame, prices: DataFrame, limits: Limits = LIMITS) -> DataF
 
     Signals without direction, price or later price are not graded, but they have been looked at.
     """
-    at = {m: F.col("fired_at") + F.expr(f"INTERVAL {m} MINUTES") for m in limits.score_minutes}
-    out = fired
-    for m, instant in at.items():
-        out = first_after(out.withColumn("_t", instant), prices, "last_price", "_t", f"px_{m}min", ts="ts").drop("_t")
+    all_ = limits.score_minutes
+    t = fired.withColumn("_m", F.explode(F.array(*map(F.lit, all_)))).withColumn("_t", F.col("fired_at") + F.make_dt_interval(mins=F.col("_m")))
+    got = first_after(t, prices, "last_price", "_t", "_px", ts="ts").groupBy(*fired.columns)
+    out = got.agg(*(F.max(F.when(F.col("_m") == m, F.col("_px"))).alias(f"px_{m}min") for m in all_), (F.count("*") / len(all_)).cast("int").alias("_n"))
+    out = out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")  # repeated signals stay so
     ways = F.create_map(*[F.lit(x) for pair in DIRECTION.items() for x in pair])
     way = ways[F.col("signal")]
     move = (F.col(f"px_{limits.score_minutes[0]}min") - F.col("price")) * way
