@@ -52,10 +52,8 @@ def test_near_duplicates(stages):
     assert len(after) == len(kept)
     alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     for i, x in sets.items():
-        near = [j for j, y in sets.items() if j != i and alike(x, y) >= 0.7]
-        assert i in kept or near
-    pairs = [(i, j) for i in kept for j in kept if i < j and alike(sets[i], sets[j]) >= 0.8]
-    assert len(pairs) <= 0.05 * len(before)
+        assert i in kept or any(j != i and alike(x, y) >= 0.8 for j, y in sets.items())
+    assert not [(i, j) for i in kept for j in kept if i < j and alike(sets[i], sets[j]) >= 0.8]
 
 
 def slow_redaction(rows):

@@ -79,28 +79,53 @@ def shingles(text, n=5):
     return {tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
 
 
-def test_keep_one(docs):
-    out = simhash.keep_one(docs)
+@pytest.mark.parametrize("block", [simhash.EXACT_ROWS, 2])
+def test_keep_one(docs, block):
+    """Of every group linked at 0.8 one text stays, the one with the smallest id, and no other text goes."""
+    out = simhash.keep_one(docs, block=block)
     assert out.columns == docs.columns
-    kept = {r.doc_id: r.text for r in out.collect()}
-    rows = [(r.doc_id, r.text, shingles(r.text)) for r in docs.collect()]
-    alike = {i: set() for i, _, _ in rows}
-    missed = links = 0
-    for i, (a, _, x) in enumerate(rows):
-        for b, _, y in rows[:i]:
-            if x and y and min(len(x), len(y)) >= 0.75 * max(len(x), len(y)):
-                s = len(x & y) / len(x | y)
-                if s >= 0.7:
-                    alike[a].add(b)
-                    alike[b].add(a)
-                if s >= 0.8:
-                    links += 1
-                    missed += a in kept and b in kept and a != b
-    assert links > 20 and missed <= 0.05 * links
-    empty = {i for i, _, x in rows if not x}
-    gone = {i for i, _, _ in rows} - set(kept)
-    assert all(alike[i] or i in empty for i in gone)
-    assert len(empty & set(kept)) == 1
+    kept = [r.doc_id for r in out.collect()]
+    rows = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
+    up = list(range(len(rows)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, (_, x) in enumerate(rows):
+        for j, (_, y) in enumerate(rows[:i]):
+            if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and len(x & y) >= 0.8 * len(x | y):
+                a, b = root(i), root(j)
+                up[max(a, b)] = min(a, b)
+    best = {}
+    for i, (doc, _) in enumerate(rows):
+        best[root(i)] = min(best.get(root(i), (True, 0)), (doc is None, doc or 0))
+    want = {doc for _, doc in best.values()}
+    wrong = set(kept) ^ want
+    assert len(kept) == len(set(kept)) and len(wrong) <= 0.002 * len(rows), wrong
+
+
+def test_exact_groups_by_all_pairs():
+    rng = np.random.default_rng(4)
+    sets, prints = [], []
+    for _ in range(12):
+        base = rng.integers(0, 1 << 62, rng.integers(3, 60), dtype=np.uint64)
+        for _ in range(rng.integers(1, 9)):
+            x = base.copy()
+            swap = rng.random(len(x)) < 0.08
+            x[swap] = rng.integers(0, 1 << 62, swap.sum(), dtype=np.uint64)
+            sets.append(np.unique(x))
+            prints.append(simhash._majority(simhash._spread(sets[-1], simhash.WIDE // 64)))
+    up = list(range(len(sets)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            shared = len(np.intersect1d(x, sets[j]))
+            if shared >= 0.8 * (len(x) + len(sets[j]) - shared):
+                a, b = up[i], up[j]
+                up = [min(a, b) if u in (a, b) else u for u in up]
+    got = simhash.exact_groups(np.array(prints), simhash.Sets(sets), 0.8, simhash.WIDE)
+    assert [got.tolist().index(g) for g in got] == [up.index(u) for u in up]
 
 
 def test_empty(docs):

@@ -36,6 +36,8 @@ CROWD = 8192
 #: The wide form for similarity of shingle sets: fingerprint bits, and the blocks of another fingerprint of single
 #: words by which candidates meet.
 WIDE, TABLES, BLOCK = 1024, 16, 16
+#: Texts of a candidate group that are compared exactly at once.
+EXACT_ROWS = 1 << 14
 
 
 def _hashes(words: list, n: int) -> np.ndarray:
@@ -292,11 +294,89 @@ def radius_of(similarity: float, bits: int = WIDE, slack: float = 2.0) -> int:
     return int(bits * share + slack * np.sqrt(bits * share * (1 - share)))
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8, crowd: int = CROWD) -> DataFrame:
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    return np.unique(_hashes((text or "").encode("utf-8", "surrogatepass").lower().split(), words))
+
+
+class Sets:
+    """Many sorted sets of 64-bit hashes, one behind the other."""
+
+    def __init__(self, parts: list):
+        self.size = np.array([len(p) for p in parts], np.int64)
+        self.first = np.cumsum(self.size) - self.size
+        self.pool = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+    def alike(self, i: int, others: np.ndarray, similarity: float) -> np.ndarray:
+        """Those of ``others`` whose Jaccard similarity with set ``i`` is at least ``similarity``, exactly."""
+        mine = self.pool[self.first[i] : self.first[i] + self.size[i]]
+        n = self.size[others]
+        others = others[np.minimum(n, len(mine)) >= similarity * np.maximum(n, len(mine)) - 1e-9]
+        if not len(others) or not len(mine):
+            return others[:0]
+        n = self.size[others]
+        ends = np.cumsum(n)
+        values = self.pool[np.repeat(self.first[others] - (ends - n), n) + np.arange(ends[-1])]
+        at = np.minimum(np.searchsorted(mine, values), len(mine) - 1)
+        shared = np.add.reduceat((mine[at] == values).astype(np.int64), ends - n)
+        return others[shared >= similarity * (n + len(mine) - shared) - 1e-9]
+
+
+def exact_groups(prints: np.ndarray, sets: Sets, similarity: float, radius: int) -> np.ndarray:
+    """For each row, the first row of its group under links of at least this similarity, found within ``radius`` bits.
+
+    The row nearest to all rows' majority is compared with all first, so that a crowd of copies is one group at once;
+    then every row that is left, with the rows not in its group.
+    """
+    n = len(prints)
+    up = np.arange(n)
+    hub = int(np.argmin(_bits(prints ^ _majority(prints))))
+
+    def join(i: int, others: np.ndarray) -> None:
+        roots = np.unique(np.append(up[others], up[i]))
+        up[np.isin(up, roots)] = roots[0]
+
+    join(hub, sets.alike(hub, np.flatnonzero(np.arange(n) != hub), similarity))
+    for i in np.flatnonzero(up != up[hub]).tolist():
+        near = np.flatnonzero((up != up[i]) & (_bits(prints ^ prints[i]) <= radius))
+        hits = sets.alike(i, near, similarity)
+        if len(hits):
+            join(i, hits)
+    return up
+
+
+def _exact_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """Edges (u, v) among rows (root, i, j, row, print, set) of equal (root, i, j) whose sets are similar enough."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def find() -> pa.RecordBatch:
+            ids, prints, parts = zip(*held)
+            ids = np.array(ids, np.int64)
+            held.clear()
+            prints = np.frombuffer(b"".join(prints), np.uint64).reshape(len(ids), -1)
+            up = exact_groups(prints, Sets([np.frombuffer(p, np.uint64) for p in parts]), similarity, radius)
+            far = np.flatnonzero(up != np.arange(len(up)))
+            return pa.RecordBatch.from_arrays([pa.array(ids[far], pa.int64()), pa.array(ids[up[far]], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            for root, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and (root, i, j) != at:
+                    yield find()
+                at = (root, i, j)
+                held.append(rest)
+        if held:
+            yield find()
+
+    return filed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "row").mapInArrow(run, "u long, v long")
+
+
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8, crowd: int = CROWD, block: int = EXACT_ROWS) -> DataFrame:
     """One document of each group of texts whose word shingles are at least so similar; all columns kept.
 
-    Exact copies go first. The similarity of two shingle sets is read off their wide fingerprints. The document with the
-    smallest id stays.
+    Exact copies go first. Wide fingerprints of shingle sets, a little more tolerant than asked for, give candidate
+    groups; within each, shingle sets are compared exactly. A group of more than ``block`` texts is compared in pairs of
+    blocks. The document with the smallest id stays.
     """
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
 
@@ -317,8 +397,22 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
     # crowded values: the rows also agree on a second block
     second = filed.join(crowds, ["k1", "k2"], "left_semi").select("row", "print", "k1", "k2", F.posexplode("route").alias("j", "v")).where("j > k1")
     paired = second.select((F.lit(TABLES) + F.col("k1") * TABLES + F.col("j")).cast("long").alias("k1"), (F.col("k2") * (1 << BLOCK) + F.col("v")).alias("k2"), F.col("row").alias("id"), "print")
-    edges = _link(plain.unionByName(paired), radius_of(similarity))
-    roots = components(edges)
-    rooted = firsts.select("row", "id").join(roots.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    radius = radius_of(similarity, slack=3.0)
+    roots = written(components(_link(plain.unionByName(paired), radius)))
+
+    def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(t, words).tobytes() for t in part.column(5).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(sets, pa.binary())], names=["root", "i", "j", "row", "print", "set"])
+
+    blocks = roots.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    members = roots.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    members = members.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("node").alias("row"), "root", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"))
+    members = members.join(firsts.select("row", "print"), "row").join(slim.select("row", "text"), "row").select("root", "i", "j", "row", "print", "text")
+    links_ = _exact_links(members.mapInArrow(with_sets, "root long, i int, j int, row long, print binary, set binary"), similarity, radius)
+    groups_ = components(links_)
+    rooted = firsts.select("row", "id").join(groups_.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     stay = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best")).select(F.col("best.row").alias("_row"))
     return rows.join(stay, "_row", "left_semi").select(*docs.columns)
