@@ -10,6 +10,13 @@ from ..functions.scalars import half_up, regime_of
 from .session import primary_only
 
 
+def exact_mean(name: str, over=None) -> Column:
+    """Mean of figures with four places, rounded alike; summed as whole numbers, so in any order."""
+    units, n = F.sum(F.floor(F.col(name) * 10000 + 0.5)), F.count(name)
+    units, n = (units, n) if over is None else (units.over(over), n.over(over))
+    return F.floor(F.when(n > 0, units / n) + 0.5) / 10000
+
+
 def breadth(days: DataFrame) -> DataFrame:
     """Counts by direction (without a previous close: none) and the distribution of changes, by session.
 
@@ -23,7 +30,7 @@ def breadth(days: DataFrame) -> DataFrame:
         declining.alias("declining"),
         F.count_if(c("chg_fils") == 0).alias("unchanged"),
         F.count_if(c("data_quality") == "THIN").alias("thin_symbols"),
-        half_up(F.avg("chg_1d")).alias("avg_pct_change"),
+        exact_mean("chg_1d").alias("avg_pct_change"),
         F.percentile("chg_1d", F.array(F.lit(0.5), F.lit(0.1), F.lit(0.9))).alias("p"),
         F.sum("total_volume").alias("total_volume"),
         F.sum("trades").alias("total_trades"),
@@ -85,7 +92,7 @@ def market_day(days: DataFrame, quotes: DataFrame, summaries: DataFrame | None =
     return m.withColumns(
         {
             "regime": regime_of(c("pct_advancing")),
-            "breadth_5d_avg": half_up(F.avg("pct_advancing").over(order.rowsBetween(-4, 0))),
+            "breadth_5d_avg": exact_mean("pct_advancing", order.rowsBetween(-4, 0)),
             "volume_vs_20d": half_up(F.when((F.count("*").over(prior) >= 20) & (mean > 0), c("total_volume") / mean)),
         }
     )

@@ -136,7 +136,7 @@ MARKET = f"""
 tdays as (select * from days where symbol not in (select symbol from instruments where not (coalesce(is_primary, true) and market <> 'Auction Market' and broker_status <> 'DELISTED'))),
 b as (
  select trading_date, count(*) as symbols_traded, count(*) filter (chg_fils > 0) as advancing, count(*) filter (chg_fils < 0) as declining,
-  count(*) filter (chg_fils = 0) as unchanged, count(*) filter (data_quality = 'THIN') as thin_symbols, {r4("avg(chg_1d)")} as avg_pct_change,
+  count(*) filter (chg_fils = 0) as unchanged, count(*) filter (data_quality = 'THIN') as thin_symbols, floor(sum(cast(floor(chg_1d * 10000 + 0.5) as bigint))::double / nullif(count(chg_1d), 0) + 0.5) / 10000 as avg_pct_change,
   cast(sum(total_volume) as bigint) as total_volume, cast(sum(trades) as bigint) as total_trades,
   {r4("quantile_cont(chg_1d, 0.5)")} as median_pct_change, {r4("quantile_cont(chg_1d, 0.1)")} as pct_change_p10, {r4("quantile_cont(chg_1d, 0.9)")} as pct_change_p90
  from tdays group by 1),
@@ -158,11 +158,11 @@ m as (
  from b left join norm using (trading_date) left join arr using (trading_date) left join panel p on p.trading_date = b.trading_date),
 market as (
  select *, case when pct_advancing < 35 then 'RISK_OFF' when pct_advancing <= 50 then 'NEUTRAL' when pct_advancing is not null then 'RISK_ON' end as regime,
-  {r4("avg(pct_advancing) over (order by trading_date rows between 4 preceding and current row)")} as breadth_5d_avg,
+  floor(sum(cast(floor(pct_advancing * 10000 + 0.5) as bigint)) over five / 1.0::double / nullif(count(pct_advancing) over five, 0) + 0.5) / 10000 as breadth_5d_avg,
   case when count(*) over pri >= 20 and avg(coalesce(total_volume, 0)) over pri > 0 then {r4("total_volume / avg(coalesce(total_volume, 0)) over pri")} end as volume_vs_20d
  from (select *, {r4("case when symbols_traded <> 0 then 100.0::double * advancing / symbols_traded end")} as pct_advancing,
    {r4("case when advancing + declining <> 0 then 100.0::double * advancing / (advancing + declining) end")} as pct_advancing_ratio from m)
- window pri as (order by trading_date rows between 20 preceding and 1 preceding))"""
+ window pri as (order by trading_date rows between 20 preceding and 1 preceding), five as (order by trading_date rows between 4 preceding and current row))"""
 
 
 def _sql(body: str, *more: str) -> str:
