@@ -106,6 +106,18 @@ def test_keep_one(docs, block):
     assert len(kept) == len(set(kept)) and len(wrong) <= 0.002 * len(rows), wrong
 
 
+def test_keep_one_with_crowds(spark):
+    """Texts that share one crowded value and no other are found."""
+    crowd = [(i, np.full(simhash.WIDE // 64, i * 0x9E3779B97F4A7C15 % (1 << 63), np.uint64)) for i in range(100)]
+    rows = [(0, 7, i, p.tobytes()) for i, p in crowd] + [(0, 7, 100 + i, (p ^ np.uint64(1)).tobytes()) for i, p in crowd] + [(1, 7, 300, b"\0" * 128), (1, 7, 301, b"\0" * 128)]
+    filed = spark.createDataFrame(rows, "k1 long, k2 long, id long, print binary")
+    for size in (8, 50, 1000):
+        out = simhash._link(simhash._in_pairs(filed, size), 16)
+        assert {(min(r), max(r)) for r in out.collect()} == {(i, 100 + i) for i in range(100)} | {(300, 301)}
+        most = simhash._in_pairs(filed, size).groupBy("k1", "k2").count().agg(F.max("count")).first()[0]
+        assert most <= max(2 * size, 30)
+
+
 def test_exact_groups_by_all_pairs():
     rng = np.random.default_rng(4)
     sets, prints = [], []

@@ -31,7 +31,7 @@ from .components import components
 SEED = 42
 RADIUS = 2
 FAN = 16
-#: More fingerprints than this under one value are filed anew by their remaining bits.
+#: More fingerprints than this under one value are filed anew by their remaining bits, or in pairs of blocks.
 CROWD = 8192
 #: The wide form for similarity of shingle sets: fingerprint bits, and the blocks of another fingerprint of single
 #: words by which candidates meet.
@@ -371,6 +371,20 @@ def _exact_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
     return filed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "row").mapInArrow(run, "u long, v long")
 
 
+def _in_pairs(filed: DataFrame, crowd: int) -> DataFrame:
+    """Rows (k1, k2, id, print) with each key that over ``crowd`` share dealt into blocks, filed under all pairs of them.
+
+    Any two rows of a key still meet, in runs of about ``crowd`` rows. k1 must be under 65,536.
+    """
+    crowds = written(filed.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k1", "k2", F.ceil(2 * F.col("n") / crowd).cast("long").alias("blocks")))
+    if crowds.isEmpty():
+        return filed
+    many = filed.join(F.broadcast(crowds), ["k1", "k2"]).withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    many = many.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    pair = F.least("b", "k") * F.col("blocks") + F.greatest("b", "k") + 1
+    return filed.join(F.broadcast(crowds), ["k1", "k2"], "left_anti").unionByName(many.select((pair * (1 << 16) + F.col("k1")).alias("k1"), "k2", "id", "print"))
+
+
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8, crowd: int = CROWD, block: int = EXACT_ROWS) -> DataFrame:
     """One document of each group of texts whose word shingles are at least so similar; all columns kept.
 
@@ -391,14 +405,9 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
     # one row for each wide fingerprint: its smallest id, then row
     firsts = marked.groupBy(F.sha2("print", 256).alias("same"), "route").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.first("print").alias("print"))
     firsts = written(firsts.select("best.id", "best.row", "print", "route"))
-    filed = firsts.select("row", "print", "route", F.posexplode("route").alias("k1", "k2"))
-    crowds = written(filed.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k1", "k2"))
-    plain = filed.join(crowds, ["k1", "k2"], "left_anti").select(F.col("k1").cast("long"), "k2", F.col("row").alias("id"), "print")
-    # crowded values: the rows also agree on a second block
-    second = filed.join(crowds, ["k1", "k2"], "left_semi").select("row", "print", "k1", "k2", F.posexplode("route").alias("j", "v")).where("j > k1")
-    paired = second.select((F.lit(TABLES) + F.col("k1") * TABLES + F.col("j")).cast("long").alias("k1"), (F.col("k2") * (1 << BLOCK) + F.col("v")).alias("k2"), F.col("row").alias("id"), "print")
+    filed = firsts.select(F.col("row").alias("id"), "print", F.posexplode("route").alias("k1", "k2")).select(F.col("k1").cast("long"), "k2", "id", "print")
     radius = radius_of(similarity, slack=3.0)
-    roots = written(components(_link(plain.unionByName(paired), radius)))
+    roots = written(components(_link(_in_pairs(filed, crowd), radius)))
 
     def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
