@@ -118,6 +118,23 @@ def test_keep_one_with_crowds(spark):
         assert most <= max(2 * size, 30)
 
 
+def test_keep_one_finds_cut_texts(spark):
+    """Every text cut down to a similarity of just 0.8 is found."""
+    rng = np.random.default_rng(9)
+    rows, pairs = [], 0
+    for n in [*range(8, 40), *rng.integers(40, 700, 170).tolist()]:
+        words = [f"w{x}" for x in (rng.zipf(1.3, n) % 5000)]
+        sets = [shingles(" ".join(words[:k])) for k in range(n + 1)]
+        k = next(k for k in range(n + 1) if len(sets[k] & sets[n]) >= 0.8 * len(sets[k] | sets[n]))
+        if len(sets[n]) > 4 and k < n:
+            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(words[:k]))]
+            pairs += 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for crowd in (simhash.CROWD, 4):
+        kept = {r.doc_id for r in simhash.keep_one(docs, crowd=crowd).collect()}
+        assert kept == set(range(0, 2 * pairs, 2))
+
+
 def test_exact_groups_by_all_pairs():
     rng = np.random.default_rng(4)
     sets, prints = [], []

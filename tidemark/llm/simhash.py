@@ -17,6 +17,7 @@ other columns are ignored or, in :func:`keep_one`, kept.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -33,9 +34,11 @@ RADIUS = 2
 FAN = 16
 #: More fingerprints than this under one value are filed anew by their remaining bits, or in pairs of blocks.
 CROWD = 8192
-#: The wide form for similarity of shingle sets: fingerprint bits, and the blocks of another fingerprint of single
-#: words by which candidates meet.
-WIDE, TABLES, BLOCK = 1024, 16, 16
+#: The wide form for similarity of shingle sets: fingerprint bits.
+WIDE = 1024
+#: Texts whose shingles are counted, and the count from which a shingle is common. Common shingles come last in the
+#: order by which texts meet; the order only sizes the groups, any order finds all links.
+COUNTED, COMMON = 1 << 13, 4
 #: Texts of a candidate group that are compared exactly at once.
 EXACT_ROWS = 1 << 14
 
@@ -180,7 +183,7 @@ def _edges_in_order(key: np.ndarray, ids: np.ndarray, prints: np.ndarray, radius
         us.append(ids[a])
         vs.append(ids[a + d])
     for s, n in zip(start[length > 2 * FAN].tolist(), length[length > 2 * FAN].tolist()):
-        root = groups(prints[s : s + n], radius)
+        root = groups(prints[s : s + n], radius) if prints.shape[1] == 1 else exact_groups(prints[s : s + n], None, 0, radius)
         far = np.flatnonzero(root != np.arange(n))
         us.append(ids[s + far])
         vs.append(ids[s + root[far]])
@@ -279,18 +282,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     return marked.join(named, "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def wide_fingerprint(text: str | None, words: int = 5, bits: int = WIDE) -> tuple[bytes, np.ndarray]:
-    """A fingerprint of the distinct ``words``-word shingles, and the block values of one of the distinct words."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    wide = _majority(_spread(np.unique(_hashes(tokens, words)), bits // 64))
-    single = np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in set(tokens)), np.uint64)
-    route = _majority(_spread(single, TABLES * BLOCK // 64)).view(np.uint16 if BLOCK == 16 else np.uint64)
-    return wide.tobytes(), route
+def wide_fingerprint(shingles: np.ndarray, bits: int = WIDE) -> bytes:
+    """A fingerprint of a set of shingles."""
+    return _majority(_spread(shingles, bits // 64)).tobytes()
+
+
+def prefix(shingles: np.ndarray, common: np.ndarray, counts: np.ndarray, similarity: float) -> np.ndarray:
+    """The rarest shingles of a sorted set, so many that two sets of at least this similarity share one of theirs.
+
+    They share at least ``similarity`` of either set, so that not all of it can lie behind both prefixes. ``common`` is
+    sorted; shingles not in it come first, equal counts by hash.
+    """
+    seen = np.zeros(len(shingles), np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, shingles), len(common) - 1)
+        seen = np.where(common[at] == shingles, counts[at], 0)
+    most = len(shingles) - int(np.ceil(similarity * len(shingles) - 1e-9)) + 1 if len(shingles) else 0
+    return shingles[np.argsort(seen, kind="stable")[:most]]
 
 
 def radius_of(similarity: float, bits: int = WIDE, slack: float = 2.0) -> int:
-    """Bits that differ between sets of this Jaccard similarity, and ``slack`` standard deviations more."""
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    """Bits that differ between sets of this Jaccard similarity, and ``slack`` standard deviations more.
+
+    The share is that of large sets and a quarter more: between four and five shingles ties make 3/16 of the bits differ.
+    """
+    share = 1.25 * float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     return int(bits * share + slack * np.sqrt(bits * share * (1 - share)))
 
 
@@ -321,11 +337,11 @@ class Sets:
         return others[shared >= similarity * (n + len(mine) - shared) - 1e-9]
 
 
-def exact_groups(prints: np.ndarray, sets: Sets, similarity: float, radius: int) -> np.ndarray:
+def exact_groups(prints: np.ndarray, sets: Sets | None, similarity: float, radius: int) -> np.ndarray:
     """For each row, the first row of its group under links of at least this similarity, found within ``radius`` bits.
 
     The row nearest to all rows' majority is compared with all first, so that a crowd of copies is one group at once;
-    then every row that is left, with the rows not in its group.
+    then every row that is left, with the rows not in its group. Without ``sets`` the radius alone makes a link.
     """
     n = len(prints)
     up = np.arange(n)
@@ -335,10 +351,11 @@ def exact_groups(prints: np.ndarray, sets: Sets, similarity: float, radius: int)
         roots = np.unique(np.append(up[others], up[i]))
         up[np.isin(up, roots)] = roots[0]
 
-    join(hub, sets.alike(hub, np.flatnonzero(np.arange(n) != hub), similarity))
+    first = np.flatnonzero(np.arange(n) != hub) if sets else np.flatnonzero(_bits(prints ^ prints[hub]) <= radius)
+    join(hub, sets.alike(hub, first, similarity) if sets else first)
     for i in np.flatnonzero(up != up[hub]).tolist():
         near = np.flatnonzero((up != up[i]) & (_bits(prints ^ prints[i]) <= radius))
-        hits = sets.alike(i, near, similarity)
+        hits = sets.alike(i, near, similarity) if sets else near
         if len(hits):
             join(i, hits)
     return up
@@ -372,7 +389,7 @@ def _exact_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
 
 
 def _in_pairs(filed: DataFrame, crowd: int) -> DataFrame:
-    """Rows (k1, k2, id, print) with each key that over ``crowd`` share dealt into blocks, filed under all pairs of them.
+    """Rows (k1, k2, id and others) with each key that over ``crowd`` share dealt into blocks, filed under all pairs of them.
 
     Any two rows of a key still meet, in runs of about ``crowd`` rows. k1 must be under 65,536.
     """
@@ -382,32 +399,89 @@ def _in_pairs(filed: DataFrame, crowd: int) -> DataFrame:
     many = filed.join(F.broadcast(crowds), ["k1", "k2"]).withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")))
     many = many.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pair = F.least("b", "k") * F.col("blocks") + F.greatest("b", "k") + 1
-    return filed.join(F.broadcast(crowds), ["k1", "k2"], "left_anti").unionByName(many.select((pair * (1 << 16) + F.col("k1")).alias("k1"), "k2", "id", "print"))
+    return filed.join(F.broadcast(crowds), ["k1", "k2"], "left_anti").unionByName(many.select((pair * (1 << 16) + F.col("k1")).alias("k1"), *filed.columns[1:]))
+
+
+def _shared(postings: DataFrame) -> DataFrame:
+    """(k1, k2, id): the rows (k2, id) whose k2 is not theirs alone, with keys of the same ids made one."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+
+        def find(parts: list) -> pa.RecordBatch:
+            key, ids = (np.concatenate([p[k] for p in parts]) for k in range(2))
+            start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            n = np.diff(np.append(start, len(key)))
+            name = np.repeat(np.add.reduceat(_spread(ids.view(np.uint64), 1)[:, 0], start), n).view(np.int64)
+            many = np.repeat(n > 1, n)
+            return pa.RecordBatch.from_arrays([pa.array(name[many]), pa.array(ids[many])], names=["k2", "id"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, ids = (batch.column(k).to_numpy() for k in (0, 1))
+            cut = np.flatnonzero(key[1:] != key[:-1])
+            if held and held[-1][0][-1] != key[0]:
+                yield find(held)
+                held = []
+            if len(cut):
+                last = cut[-1] + 1
+                yield find([*held, (key[:last], ids[:last])])
+                held, key, ids = [], key[last:], ids[last:]
+            held.append((key, ids))
+        if held:
+            yield find(held)
+
+    met = postings.select("k2", "id").repartition("k2").sortWithinPartitions("k2", "id").mapInArrow(run, "k2 long, id long")
+    return written(met.distinct().select(F.lit(0).cast("long").alias("k1"), "k2", "id"))
+
+
+def _common(slim: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles found in at least COMMON of about COUNTED texts, and their counts."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, words).view(np.int64))], names=["shingle"])
+
+    every = max(1, slim.count() // COUNTED)
+    some = slim.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("text").mapInArrow(run, "shingle long")
+    got = some.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
+    shingles, n = got["shingle"].to_numpy().view(np.uint64), got["n"].to_numpy()
+    order = np.argsort(shingles)
+    return shingles[order], n[order]
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8, crowd: int = CROWD, block: int = EXACT_ROWS) -> DataFrame:
     """One document of each group of texts whose word shingles are at least so similar; all columns kept.
 
-    Exact copies go first. Wide fingerprints of shingle sets, a little more tolerant than asked for, give candidate
-    groups; within each, shingle sets are compared exactly. A group of more than ``block`` texts is compared in pairs of
-    blocks. The document with the smallest id stays.
+    Texts of equal sets go first. Any two similar enough share one of their rarest shingles (see :func:`prefix`) and meet
+    under it; those whose wide fingerprints are within a radius six standard deviations above the worst case form
+    candidate groups, and within each, shingle sets are compared exactly. A group of more than ``block`` texts, or a
+    shingle of more than ``crowd``, is compared in pairs of blocks. The document with the smallest id stays.
     """
     rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [wide_fingerprint(t, words) for t in batch.column(1).to_pylist()]
-            routes = [r.astype(np.int64).tolist() for _, r in got]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([w for w, _ in got], pa.binary()), pa.array(routes, pa.list_(pa.int64())), batch.column(2)], names=["row", "print", "route", "id"])
-
     slim = rows.select(F.col("_row").alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("id"))
-    marked = written(slim.mapInArrow(run, "row long, print binary, route array<long>, id long"))
-    # one row for each wide fingerprint: its smallest id, then row
-    firsts = marked.groupBy(F.sha2("print", 256).alias("same"), "route").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.first("print").alias("print"))
-    firsts = written(firsts.select("best.id", "best.row", "print", "route"))
-    filed = firsts.select(F.col("row").alias("id"), "print", F.posexplode("route").alias("k1", "k2")).select(F.col("k1").cast("long"), "k2", "id", "print")
-    radius = radius_of(similarity, slack=3.0)
-    roots = written(components(_link(_in_pairs(filed, crowd), radius)))
+    common = docs.sparkSession.sparkContext.broadcast(_common(slim, words))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
+                same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+                rare = [prefix(s, *common.value, similarity).view(np.int64) for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array([wide_fingerprint(s) for s in sets], pa.binary()), pa.array(rare, pa.list_(pa.int64())), batch.column(2)], names=["row", "same", "print", "rare", "id"])
+
+    marked = slim.mapInArrow(run, "row long, same binary, print binary, rare array<long>, id long")
+    # one row for each set: its smallest id, then row
+    firsts = marked.groupBy("same").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.first("print").alias("print"), F.first("rare").alias("rare"))
+    firsts = written(firsts.select("best.id", "best.row", "print", "rare"))
+    met = _in_pairs(_shared(firsts.select(F.explode("rare").alias("k2"), F.col("row").alias("id"))), crowd)
+    filed = met.join(firsts.select(F.col("row").alias("id"), "print"), "id").select("k1", "k2", "id", "print")
+    radius = radius_of(similarity, slack=6.0)
+    roots = written(components(_link(filed, radius)))
 
     def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
