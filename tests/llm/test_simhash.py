@@ -37,6 +37,32 @@ def test_gray_index(n, width, radius, seed):
     assert simhash.groups(x, radius).tolist() == slow_groups(x.tolist(), radius)
 
 
+def test_gray_index_prunes_on_documents(spark):
+    """All links of the fingerprints of real texts come out of the index, whose upper nodes rule most of them out."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").collect()]
+    prints = np.unique(np.array([simhash.fingerprint(t) for t in texts[:4000]], np.uint64))[:, None]
+    index = simhash.GrayIndex(prints)
+    found = set()
+    for at in range(0, len(prints), 128):
+        q, row = index.near(index.prints[at : at + 128], 2)
+        found |= set(zip((q + at).tolist(), row.tolist()))
+    far = [np.flatnonzero(np.bitwise_count(index.prints[:, 0] ^ p) <= 2) for p in index.prints[:, 0]]
+    assert found == {(i, j) for i, row in enumerate(far) for j in row.tolist()}
+    assert len(index.levels) >= 2 and index.pruned > 0.5 * index.visited
+
+
+@pytest.mark.parametrize("size", [1, 5, 64, 1 << 14])
+def test_gray_links_in_ranges(spark, size):
+    """Ranges of any size part no two fingerprints of an equal block."""
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 60, dtype=np.int64)
+    x = sorted({int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i, j in rng.integers(0, 62, (6, 2))})
+    got = components(simhash.links(spark.createDataFrame([(v,) for v in x], "fp long"), size=size))
+    root = {r.node: r.root for r in got.collect()}
+    want = slow_groups([[v] for v in x], 2)
+    assert len({(w, root.get(v, v)) for v, w in zip(x, want)}) == len(set(want)) == len({root.get(v, v) for v in x})
+
+
 def test_fingerprint_by_definition():
     for text in (None, " \n", "One", "a b", "a b c d a b c", "É x y Z\x1cq " * 9):
         words = [w for w in "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "").replace("\n", " ").split(" ") if w]
@@ -109,7 +135,7 @@ def test_keep_one(docs, block):
 def test_keep_one_with_crowds(spark):
     """Texts that share one crowded value and no other are found."""
     crowd = [(i, np.full(simhash.WIDE // 64, i * 0x9E3779B97F4A7C15 % (1 << 63), np.uint64)) for i in range(100)]
-    rows = [(0, 7, i, p.tobytes()) for i, p in crowd] + [(0, 7, 100 + i, (p ^ np.uint64(1)).tobytes()) for i, p in crowd] + [(1, 7, 300, b"\0" * 128), (1, 7, 301, b"\0" * 128)]
+    rows = [(0, 7, i, p.tobytes()) for i, p in crowd] + [(0, 7, 100 + i, (p ^ np.uint64(1)).tobytes()) for i, p in crowd] + [(1, 7, 300, bytes(simhash.WIDE // 8)), (1, 7, 301, bytes(simhash.WIDE // 8))]
     filed = spark.createDataFrame(rows, "k1 long, k2 long, id long, print binary")
     for size in (8, 50, 1000):
         out = simhash._link(simhash._in_pairs(filed, size), 16)
@@ -135,26 +161,40 @@ def test_keep_one_finds_cut_texts(spark):
         assert kept == set(range(0, 2 * pairs, 2))
 
 
-def test_exact_groups_by_all_pairs():
+@pytest.mark.parametrize("block", [3, 1000])
+def test_exact_links_by_all_pairs(spark, block):
+    """Candidate groups of unlike texts fall apart into exactly the groups of similar ones, in parts of any size."""
     rng = np.random.default_rng(4)
-    sets, prints = [], []
+    texts = []
     for _ in range(12):
-        base = rng.integers(0, 1 << 62, rng.integers(3, 60), dtype=np.uint64)
+        base = [f"w{x}" for x in rng.integers(0, 90, rng.integers(6, 60))]
         for _ in range(rng.integers(1, 9)):
-            x = base.copy()
-            swap = rng.random(len(x)) < 0.08
-            x[swap] = rng.integers(0, 1 << 62, swap.sum(), dtype=np.uint64)
-            sets.append(np.unique(x))
-            prints.append(simhash._majority(simhash._spread(sets[-1], simhash.WIDE // 64)))
-    up = list(range(len(sets)))
-    for i, x in enumerate(sets):
-        for j in range(i):
-            shared = len(np.intersect1d(x, sets[j]))
-            if shared >= 0.8 * (len(x) + len(sets[j]) - shared):
-                a, b = up[i], up[j]
-                up = [min(a, b) if u in (a, b) else u for u in up]
-    got = simhash.exact_groups(np.array(prints), simhash.Sets(sets), 0.8, simhash.WIDE)
-    assert [got.tolist().index(g) for g in got] == [up.index(u) for u in up]
+            texts.append(" ".join(w if rng.random() > 0.02 else "other" for w in base))
+    sets = [shingles(t) for t in texts]
+    slim = spark.createDataFrame(list(enumerate(texts)), "row long, text string")
+    roots = spark.createDataFrame([(i, i % 2) for i in range(len(texts))], "node long, root long")
+    got = {r.node: r.root for r in components(simhash.exact_links(roots, slim, 5, 0.8, simhash.WIDE, block)).collect()}
+    for i in range(len(texts)):
+        members = range(i % 2, len(texts), 2)
+        reach = _reach(sets, members, i)
+        assert reach == {j for j in members if got.get(i, i) == got.get(j, j)}
+
+
+def _reach(sets, members, i):
+    seen, todo = {i}, [i]
+    while todo:
+        x = todo.pop()
+        for y in members:
+            if y not in seen and len(sets[x] & sets[y]) >= 0.8 * len(sets[x] | sets[y]):
+                seen.add(y)
+                todo.append(y)
+    return seen
+
+
+def test_clashing_columns(spark, docs):
+    odd = docs.limit(30).withColumnsRenamed({"lang": "row", "n_chars": "doc"}).withColumn("_row", F.lit("mine"))
+    out = simhash.keep_one(odd)
+    assert out.columns == odd.columns and set(out.collect()) <= set(odd.collect()) and out.count() > 0
 
 
 def test_empty(docs):

@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one of our own where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. A local session (tests) may leave it unset."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(named)
     return sc.getCheckpointDir() or named
@@ -49,14 +51,39 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def _remove(spark: SparkSession) -> None:
+    """Remove what :func:`written` has left; a long session may call it once its results are saved."""
     if spark.sparkContext._jsc is None:
         return
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in _written:
-        at = jvm.org.apache.hadoop.fs.Path(path)
+    while _written:
+        at = jvm.org.apache.hadoop.fs.Path(_written.pop())
         at.getFileSystem(conf).delete(at, True)
 
 
+def with_rows(docs: DataFrame) -> DataFrame:
+    """(doc, row): each row of ``docs`` whole in one struct, so that no column of its can clash, and a number of its own."""
+    return docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+
+
+def field(name: str) -> Column:
+    return F.col("doc").getField(name)
+
+
+#: Left rows from which a key is hot.
+HOT = 1 << 16
+
+
+def join_by_key(left: DataFrame, right: DataFrame, on: str, many: str, how: str = "inner", hot: int = HOT) -> DataFrame:
+    """``left`` with the one row that ``right`` has for each key; ``many`` of ``right`` counts the left rows of a key.
+
+    Hot keys are broadcast, so that no task gets all left rows of one. They are at most one for every ``hot`` left rows.
+    """
+    right = right.withColumn(many, F.coalesce(many, F.lit(0)))
+    big = right.where(F.col(many) > hot).drop(many)
+    rest = left.join(F.broadcast(big.select(on)), on, "left_anti").join(right.where(F.col(many) <= hot).drop(many), on, how)
+    return rest.unionByName(left.join(F.broadcast(big), on))
+
+
 def in_fold(key: str, modulus: int, fold: int) -> Column:
     """Whether crc32 of the id's text leaves ``fold``; a null id leaves crc32 of the empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % modulus == fold

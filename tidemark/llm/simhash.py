@@ -1,18 +1,19 @@
 """SimHash near-duplicates with a Gray-order hierarchical index.
 
-Two fingerprints within ``radius`` bits agree on one of ``radius + 1`` blocks, so each fingerprint is filed under every
-block's value; a value that too many share is split by the blocks of the remaining bits, and so on. Within one value the
-fingerprints are sorted by Gray rank, which puts those with long common patterns side by side. Runs of 16 form a node
-that keeps the bits all agree on (mask and pattern); runs of 16 nodes form an upper node, which factors the pattern they
-share out of them. A search goes down from the top, adds up the differing bits that each level's own pattern shows, and
-leaves a whole group as soon as they exceed the radius.
+Two fingerprints within ``radius`` bits agree on one of ``radius + 1`` blocks, so each fingerprint is filed once for
+every block, turned so that this block comes first, and the filings are sorted by Gray rank. A task takes a range of Gray
+ranks, never parting fingerprints of equal blocks, and builds one hierarchy over each ``RANGE`` of them: runs of 16 form a
+node that keeps the bits all agree on (mask and pattern); runs of 16 nodes form an upper node, which factors the pattern
+they share out of them. Every fingerprint is searched from the top: differing bits that each level's own pattern shows add
+up, and a whole group is left as soon as they exceed the radius. A block value that more than ``crowd`` share is filed anew
+by blocks of the remaining bits, and so on, so that a range never grows without bound.
 
-Links are not returned: each task joins what it finds into groups and hands on one edge for each fingerprint, which
-keeps connectivity with a linear number of rows. Components then join over tasks.
+Links are not returned: each range joins what it finds into groups and hands on one edge for each fingerprint, which
+keeps connectivity with a linear number of rows. Components then join over ranges.
 
 Defined results: null, empty or blank texts have no word and fingerprint zero; equal fingerprints are in one group;
 a null id counts only where a group has no other; repeated rows are each returned; an empty table gives an empty result;
-other columns are ignored or, in :func:`keep_one`, kept.
+other columns are ignored or, in :func:`keep_one`, kept whatever their names.
 """
 
 from __future__ import annotations
@@ -23,10 +24,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import field, join_by_key, with_rows, written
 from .components import components
 
 SEED = 42
@@ -34,13 +35,15 @@ RADIUS = 2
 FAN = 16
 #: More fingerprints than this under one value are filed anew by their remaining bits, or in pairs of blocks.
 CROWD = 8192
+#: Filed fingerprints from which a task closes an index and begins the next, at the next new block value.
+RANGE = 1 << 14
 #: The wide form for similarity of shingle sets: fingerprint bits.
-WIDE = 1024
+WIDE = 256
 #: Texts whose shingles are counted, and the count from which a shingle is common. Common shingles come last in the
 #: order by which texts meet; the order only sizes the groups, any order finds all links.
 COUNTED, COMMON = 1 << 13, 4
 #: Texts of a candidate group that are compared exactly at once.
-EXACT_ROWS = 1 << 14
+EXACT_ROWS = 1 << 10
 
 
 def _hashes(words: list, n: int) -> np.ndarray:
@@ -95,6 +98,7 @@ class GrayIndex:
     def __init__(self, prints: np.ndarray):
         self.order = np.argsort(_gray_rank(prints[:, 0]), kind="stable")
         self.prints = prints[self.order]
+        self.visited = self.pruned = 0  # nodes of all searches so far
         n = len(prints)
         mask, pattern = np.full_like(self.prints, np.uint64(0xFFFFFFFFFFFFFFFF)), self.prints
         levels = []
@@ -118,9 +122,11 @@ class GrayIndex:
         q, at = np.repeat(np.arange(len(queries)), n), np.tile(np.arange(n), len(queries))
         spent = np.zeros(len(q), np.int32)
         for k, (_, pattern, own) in enumerate(self.levels):
+            self.visited += len(q)
             spent = spent + _bits((queries[q] ^ pattern[at]) & own[at])
             live = spent <= radius
             q, at, spent = q[live], at[live], spent[live]
+            self.pruned += len(live) - len(q)
             below = len(self.levels[k + 1][0]) if k + 1 < len(self.levels) else len(self.prints)
             many = np.minimum(FAN, below - at * FAN)
             step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
@@ -137,13 +143,24 @@ def _root(up: np.ndarray, i: int) -> int:
 
 
 def groups(prints: np.ndarray, radius: int, block: int = 128) -> np.ndarray:
-    """For each fingerprint, the first row of its group under links within ``radius``."""
-    up = np.arange(len(prints))
+    """For each fingerprint, the first row of its group under links within ``radius``.
+
+    The row nearest to all rows' majority takes its neighbours first, so that a crowd of copies is one group at once;
+    every other row is then searched in the index.
+    """
     index = GrayIndex(prints)
-    for at in range(0, len(prints), block):
-        q, row = index.near(index.prints[at : at + block], radius)
-        later = row > q + at
-        q, row = q[later] + at, row[later]
+    up = np.arange(len(prints))
+    if len(prints):
+        hub = int(np.argmin(_bits(index.prints ^ _majority(index.prints))))
+        star = np.flatnonzero(_bits(index.prints ^ index.prints[hub]) <= radius)
+        up[star] = star[0]
+        todo = np.setdiff1d(np.arange(len(prints)), star, assume_unique=True)
+    for at in range(0, len(prints) and len(todo), block):
+        asked = todo[at : at + block]
+        q, row = index.near(index.prints[asked], radius)
+        q = asked[q]
+        other = row != q
+        q, row = np.maximum(q[other], row[other]), np.minimum(q[other], row[other])
         for i in range(40):  # all of the block's links, first those to rows not yet joined
             a, b = up[q], up[row]
             apart = a != b
@@ -166,32 +183,75 @@ def groups(prints: np.ndarray, radius: int, block: int = 128) -> np.ndarray:
 
 
 def _edges_in_order(key: np.ndarray, ids: np.ndarray, prints: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges within runs of equal keys."""
+    """Edges within runs of equal keys. Runs of a single node are compared together, one distance at a time."""
     if not len(ids):
         return ids, ids
     start = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
     length = np.diff(np.append(start, len(ids)))
     us, vs = [], []
-    small = np.repeat(length <= 2 * FAN, length)
-    run = np.repeat(np.arange(len(start)), length)
-    widest = int(length[length <= 2 * FAN].max(initial=1))
-    for d in range(1, widest):
+    node = length <= FAN
+    small, run = np.repeat(node, length), np.repeat(np.arange(len(start)), length)
+    for d in range(1, int(length[node].max(initial=1))):
         a = np.flatnonzero(small[:-d] & (run[:-d] == run[d:]))
         if not len(a):
             break
         a = a[_bits(prints[a] ^ prints[a + d]) <= radius]
         us.append(ids[a])
         vs.append(ids[a + d])
-    for s, n in zip(start[length > 2 * FAN].tolist(), length[length > 2 * FAN].tolist()):
-        root = groups(prints[s : s + n], radius) if prints.shape[1] == 1 else exact_groups(prints[s : s + n], None, 0, radius)
+    for s, n in zip(start[~node].tolist(), length[~node].tolist()):
+        root = groups(prints[s : s + n], radius)
         far = np.flatnonzero(root != np.arange(n))
         us.append(ids[s + far])
         vs.append(ids[s + root[far]])
     return (np.concatenate(us), np.concatenate(vs)) if us else (ids[:0], ids[:0])
 
 
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    """64-bit rows turned left; distances stay."""
+    return x << np.uint64(by) | x >> np.uint64((64 - by) % 64) if by else x
+
+
+def _gray_links(filed: DataFrame, radius: int, turns: dict[int, int], size: int = RANGE) -> DataFrame:
+    """Edges (u, v) among rows (k1, k2, id): fingerprints filed under block k1 by the Gray rank k2 of its bits."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list = []
+        block = value = None
+
+        def find() -> pa.RecordBatch:
+            ids = np.concatenate(held)
+            held.clear()
+            root = groups(_turned(ids.view(np.uint64), turns[block])[:, None], radius)
+            far = np.flatnonzero(root != np.arange(len(ids)))
+            return pa.RecordBatch.from_arrays([pa.array(ids[far], pa.int64()), pa.array(ids[root[far]], pa.int64())], names=["u", "v"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k1, k2, ids = (batch.column(k).to_numpy() for k in range(3))
+            fresh = np.append((k1[0], k2[0]) != (block, value), (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))
+            turn = np.append(k1[0] != block, k1[1:] != k1[:-1])
+            cuts, turn = np.flatnonzero(fresh), np.flatnonzero(turn)
+            at = 0
+            while at < len(ids):
+                full = cuts[np.searchsorted(cuts, at + max(0, size - sum(map(len, held)))) :][:1]
+                new = turn[np.searchsorted(turn, at if held else at + 1) :][:1]
+                end = min([*full.tolist(), *new.tolist(), len(ids)])
+                if end > at:
+                    held.append(ids[at:end])
+                    block = k1[at]
+                if held and end < len(ids):
+                    yield find()
+                at = end
+            value = k2[-1]
+        if held:
+            yield find()
+
+    return filed.repartitionByRange("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(run, "u long, v long")
+
+
 def _link(filed: DataFrame, radius: int) -> DataFrame:
-    """Edges (u, v) among rows (k1, k2, id, print) of equal keys; print is binary, or null where the id is it."""
+    """Edges (u, v) among rows (k1, k2, id, print: binary) of equal keys."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -206,7 +266,7 @@ def _link(filed: DataFrame, radius: int) -> DataFrame:
                 continue
             key = np.stack([batch.column(k).to_numpy() for k in (0, 1)], 1)
             ids = batch.column(2).to_numpy()
-            prints = ids.view(np.uint64)[:, None] if batch.num_columns == 3 else np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(len(ids), -1)
+            prints = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint64).reshape(len(ids), -1)
             cut = np.flatnonzero((key[1:] != key[:-1]).any(1))
             same = held and (held[-1][0][-1] == key[0]).all()
             if held and not same:
@@ -234,9 +294,16 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+def _rank(x: Column) -> Column:
+    """The Gray rank of a 64-bit column."""
+    for k in (1, 2, 4, 8, 16, 32):
+        x = x.bitwiseXOR(F.shiftrightunsigned(x, k))
+    return x
+
+
+def links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD, size: int = RANGE) -> DataFrame:
     """Edges (u, v) that connect all distinct 64-bit fingerprints (column ``fp``) within ``radius`` bits."""
-    paths = {0: 0}
+    paths, turns = {0: 0}, {}
     parents, out = [0], None
     rows = prints.select(F.lit(0).cast("long").alias("k1"), F.col("fp").alias("id"))
     while parents:
@@ -245,26 +312,27 @@ def links(prints: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataFr
             children[p] = []
             for m in _masks(paths[p], radius + 1):
                 paths[len(paths)] = m
+                turns[len(paths) - 1] = 64 - (m & ~paths[p]).bit_length()
                 children[p].append(len(paths) - 1)
         make = None
         for p, kids in children.items():
-            kid = F.array(*(F.struct(F.lit(k).cast("long").alias("k1"), F.col("id").bitwiseAND(F.lit(_signed(paths[k]))).alias("k2")) for k in kids))
+            kid = F.array(*(F.struct(F.lit(k).cast("long").alias("k1"), _rank(F.col("id").bitwiseAND(F.lit(_signed(paths[k])))).alias("k2")) for k in kids))
             make = F.when(F.col("k1") == p, kid) if make is None else make.when(F.col("k1") == p, kid)
         filed = rows.withColumn("key", F.explode(make)).select("key.k1", "key.k2", "id")
         many = filed.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k1", "k2")
         deep = all(bin(paths[k]).count("1") >= 64 - 2 * (radius + 1) for kids in children.values() for k in kids)
         crowded = None if deep else written(many)
         if crowded is None or crowded.isEmpty():
-            found, parents = _link(filed, radius), []
+            found, parents = _gray_links(filed, radius, turns, size), []
         else:
-            found = _link(filed.join(crowded, ["k1", "k2"], "left_anti"), radius)
+            found = _gray_links(filed.join(crowded, ["k1", "k2"], "left_anti"), radius, turns, size)
             rows = written(filed.join(crowded, ["k1", "k2"], "left_semi").select("k1", "id").distinct())
             parents = [k for kids in children.values() for k in kids]
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = RADIUS, crowd: int = CROWD) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, radius: int = RADIUS, crowd: int = CROWD, size: int = RANGE) -> DataFrame:
     """Fingerprint and component of each document: the smallest id reachable over links."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,12 +342,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
     marked = written(slim.mapInArrow(run, "key long, fp long"))
-    least = marked.groupBy("fp").agg(F.min("key").alias("least"))
-    roots = components(links(least.select("fp"), radius, crowd))
-    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("fp", "component_id")
-    return marked.join(named, "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    least = written(marked.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n")))
+    roots = components(links(least.select("fp"), radius, crowd, size))
+    rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
+    named = join_by_key(rooted.select("fp", "n", "root"), ids, "root", "prints").select("fp", "n", "component_id")
+    return join_by_key(marked, named, "fp", "n").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def wide_fingerprint(shingles: np.ndarray, bits: int = WIDE) -> bytes:
@@ -322,9 +390,8 @@ class Sets:
         self.first = np.cumsum(self.size) - self.size
         self.pool = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
-    def alike(self, i: int, others: np.ndarray, similarity: float) -> np.ndarray:
-        """Those of ``others`` whose Jaccard similarity with set ``i`` is at least ``similarity``, exactly."""
-        mine = self.pool[self.first[i] : self.first[i] + self.size[i]]
+    def alike(self, mine: np.ndarray, others: np.ndarray, similarity: float) -> np.ndarray:
+        """Those of the sets ``others`` whose Jaccard similarity with ``mine`` is at least ``similarity``, exactly."""
         n = self.size[others]
         others = others[np.minimum(n, len(mine)) >= similarity * np.maximum(n, len(mine)) - 1e-9]
         if not len(others) or not len(mine):
@@ -337,55 +404,103 @@ class Sets:
         return others[shared >= similarity * (n + len(mine) - shared) - 1e-9]
 
 
-def exact_groups(prints: np.ndarray, sets: Sets | None, similarity: float, radius: int) -> np.ndarray:
-    """For each row, the first row of its group under links of at least this similarity, found within ``radius`` bits.
+def _hub_links(filed: DataFrame, similarity: float) -> DataFrame:
+    """(row, root, part, linked): whether a row's set is similar enough to its hub's.
 
-    The row nearest to all rows' majority is compared with all first, so that a crowd of copies is one group at once;
-    then every row that is left, with the rows not in its group. Without ``sets`` the radius alone makes a link.
+    ``filed`` holds (root, part, row, set), each part of a candidate group with a copy of the hub, the row ``root``.
     """
-    n = len(prints)
-    up = np.arange(n)
-    hub = int(np.argmin(_bits(prints ^ _majority(prints))))
-
-    def join(i: int, others: np.ndarray) -> None:
-        roots = np.unique(np.append(up[others], up[i]))
-        up[np.isin(up, roots)] = roots[0]
-
-    first = np.flatnonzero(np.arange(n) != hub) if sets else np.flatnonzero(_bits(prints ^ prints[hub]) <= radius)
-    join(hub, sets.alike(hub, first, similarity) if sets else first)
-    for i in np.flatnonzero(up != up[hub]).tolist():
-        near = np.flatnonzero((up != up[i]) & (_bits(prints ^ prints[i]) <= radius))
-        hits = sets.alike(i, near, similarity) if sets else near
-        if len(hits):
-            join(i, hits)
-    return up
-
-
-def _exact_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
-    """Edges (u, v) among rows (root, i, j, row, print, set) of equal (root, i, j) whose sets are similar enough."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held = None, []
-
-        def find() -> pa.RecordBatch:
-            ids, prints, parts = zip(*held)
-            ids = np.array(ids, np.int64)
-            held.clear()
-            prints = np.frombuffer(b"".join(prints), np.uint64).reshape(len(ids), -1)
-            up = exact_groups(prints, Sets([np.frombuffer(p, np.uint64) for p in parts]), similarity, radius)
-            far = np.flatnonzero(up != np.arange(len(up)))
-            return pa.RecordBatch.from_arrays([pa.array(ids[far], pa.int64()), pa.array(ids[up[far]], pa.int64())], names=["u", "v"])
+        at, hub = None, None
+        for batch in batches:
+            rows: list = []
+            for root, part, row, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                mine = np.frombuffer(raw, np.uint64)
+                if row == root:
+                    at, hub = (root, part), mine
+                else:
+                    assert (root, part) == at
+                    rows.append((row, root, part, bool(len(Sets([mine]).alike(hub, np.zeros(1, np.int64), similarity)))))
+            cols = list(zip(*rows)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["row", "root", "part", "linked"])
+
+    first = filed.repartition("root", "part").sortWithinPartitions("root", "part", F.col("row") != F.col("root"))
+    return first.mapInArrow(run, "row long, root long, part int, linked boolean")
+
+
+def _rest_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
+    """Edges (u, v) between the rows of a block of a group's rest and all its rows.
+
+    ``filed`` holds (root, i, part, rest, row, print, set); the block is rest rows under equal (root, i, part). Edges that
+    say nothing new within a block are left out.
+    """
 
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held, sets, prints, up = None, [], None, None, None
         for batch in batches:
-            for root, i, j, *rest in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (root, i, j) != at:
-                    yield find()
-                at = (root, i, j)
-                held.append(rest)
-        if held:
-            yield find()
+            us, vs = [], []
+            for root, i, part, rest, row, print_, raw in zip(*(c.to_pylist() for c in batch.columns)):
+                if (root, i, part) != at:
+                    at, held, sets = (root, i, part), [], None
+                if rest:
+                    held.append((row, print_, raw))
+                    continue
+                if not held:
+                    continue
+                if sets is None:
+                    sets = Sets([np.frombuffer(x[2], np.uint64) for x in held])
+                    prints = np.frombuffer(b"".join(x[1] for x in held), np.uint64).reshape(len(held), -1)
+                    up = np.arange(len(held))
+                near = np.flatnonzero(_bits(prints ^ np.frombuffer(print_, np.uint64)) <= radius)
+                hits = sets.alike(np.frombuffer(raw, np.uint64), near, similarity)
+                groups_ = np.unique(up[hits])
+                if len(groups_):
+                    us += [row] * len(groups_)
+                    vs += [held[g][0] for g in groups_.tolist()]
+                    up[np.isin(up, groups_)] = groups_[0]
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
+
+    first = filed.repartition("root", "i", "part").sortWithinPartitions("root", "i", "part", F.desc("rest"), "row")
+    return first.mapInArrow(run, "u long, v long")
+
+
+def exact_links(roots: DataFrame, slim: DataFrame, words: int, similarity: float, radius: int, block: int) -> DataFrame:
+    """Edges (u, v) that connect the rows of each candidate group (``roots``: node, root) by similar enough shingle sets.
+
+    Every row is compared with its group's first row, the hub, in parts of about ``block`` rows. Only rows that this
+    leaves (the rest) are then compared with all others of their group, blocks of the rest with each part.
+    """
+    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
+    large = written(roots.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > block).select("root", blocks("n").alias("parts")))  # at most one for every ``block`` rows
 
-    return filed.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j", "row").mapInArrow(run, "u long, v long")
+    def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                sets = [shingle_set(t, words) for t in part.column(3).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([wide_fingerprint(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["root", "row", "parts", "print", "set"])
+
+    dealt = roots.join(F.broadcast(large), "root", "left").select("root", F.col("node").alias("row"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    texts = dealt.join(slim.select("row", "text"), "row").select("root", "row", "parts", "text")
+    held = written(texts.mapInArrow(with_sets, "root long, row long, parts int, print binary, set binary").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")))
+    others, hubs = held.where("row <> root"), held.where("row = root")
+    copies = hubs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    names = ["root", "part", "row", "set"]
+    met = written(_hub_links(others.select(*names).unionByName(copies.select(*names)), similarity))
+    edges = met.where("linked").select(F.col("row").alias("u"), F.col("root").alias("v"))
+    rest = met.where("not linked").select("row", "root", "part")
+    sized = rest.groupBy("root").agg(F.count("*").alias("n")).join(F.broadcast(large), "root", "left").select("root", blocks("n").alias("blocks"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    sized = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("root", "part", "blocks")
+    every = written(others.join(sized, ["root", "part"]))
+    if every.isEmpty():
+        return edges
+    names = ["root", "i", "part", "rest", "row", "print", "set"]
+    i = F.sequence(F.lit(0), F.col("blocks") - 1)
+    searched = every.withColumn("i", F.explode(i)).withColumn("rest", F.lit(False)).select(*names)
+    asked = every.join(rest.select("row"), "row", "left_semi").withColumn("i", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+    asked = asked.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("rest", F.lit(True)).select(*names)
+    return edges.unionByName(_rest_links(asked.unionByName(searched), similarity, radius))
 
 
 def _in_pairs(filed: DataFrame, crowd: int) -> DataFrame:
@@ -455,14 +570,13 @@ def _common(slim: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = 5, similarity: float = 0.8, crowd: int = CROWD, block: int = EXACT_ROWS) -> DataFrame:
     """One document of each group of texts whose word shingles are at least so similar; all columns kept.
 
-    Texts of equal sets go first. Any two similar enough share one of their rarest shingles (see :func:`prefix`) and meet
-    under it; those whose wide fingerprints are within a radius six standard deviations above the worst case form
-    candidate groups, and within each, shingle sets are compared exactly. A group of more than ``block`` texts, or a
-    shingle of more than ``crowd``, is compared in pairs of blocks. The document with the smallest id stays.
+    Texts of equal shingle sets go first. Any two similar enough share one of their rarest shingles (see :func:`prefix`)
+    and meet under it; those whose wide fingerprints are within a radius six standard deviations above the worst case form
+    candidate groups, and within each, shingle sets are compared exactly. A group of more than ``block`` texts is compared
+    in parts, a shingle of more than ``crowd`` in pairs of blocks. The document with the smallest id stays.
     """
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
-
-    slim = rows.select(F.col("_row").alias("row"), F.col(text).alias("text"), F.col(key).cast("long").alias("id"))
+    rows = written(with_rows(docs))
+    slim = rows.select("row", field(text).alias("text"), field(key).cast("long").alias("id"))
     common = docs.sparkSession.sparkContext.broadcast(_common(slim, words))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -482,20 +596,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
     filed = met.join(firsts.select(F.col("row").alias("id"), "print"), "id").select("k1", "k2", "id", "print")
     radius = radius_of(similarity, slack=6.0)
     roots = written(components(_link(filed, radius)))
-
-    def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_set(t, words).tobytes() for t in part.column(5).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns[:5], pa.array(sets, pa.binary())], names=["root", "i", "j", "row", "print", "set"])
-
-    blocks = roots.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    members = roots.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = members.withColumn("k", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(F.col("node").alias("row"), "root", F.least("b", "k").alias("i"), F.greatest("b", "k").alias("j"))
-    members = members.join(firsts.select("row", "print"), "row").join(slim.select("row", "text"), "row").select("root", "i", "j", "row", "print", "text")
-    links_ = _exact_links(members.mapInArrow(with_sets, "root long, i int, j int, row long, print binary, set binary"), similarity, radius)
-    groups_ = components(links_)
+    groups_ = components(exact_links(roots, slim, words, similarity, radius, block))
     rooted = firsts.select("row", "id").join(groups_.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    stay = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best")).select(F.col("best.row").alias("_row"))
-    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
+    stay = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best")).select(F.col("best.row").alias("row"))
+    return rows.join(stay, "row", "left_semi").select("doc.*")
