@@ -56,6 +56,33 @@ def test_pack_is_a_partition_of_all_ids(docs):
     assert padding == 0
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_short_cuts_only_where_they_hold(name):
+    path = tokenizer_path().replace("word_bpe_49k.json", name)
+    t, w = Tokenizer.from_file(path), packing.WordIds(path)
+    assert w.apart == w.caseless == (name == "word_bpe_49k.json")
+    texts = ["Hello, World!  a\tB\n", "x9?! \u00c9t\u00e9", "", None]
+    assert [x.tolist() for x in w.texts(texts)] == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
+def test_step_groups_have_one_tier_and_equal_sizes():
+    rng = np.random.default_rng(3)
+    for shard in (0, 5):
+        packer, rows = packing.Packer(shard), []
+        for doc in range(3000):
+            packer.add(doc, np.arange(rng.integers(0, 3000), dtype=np.uint32))
+            rows += packer.rows()
+        rows += packer.rows(last=True)
+        groups = {}
+        for r in rows:
+            tier, tokens, at = groups.setdefault(r[8], (r[7], 0, shard))
+            assert tier == r[7] and r[8] >> 32 == shard
+            groups[r[8]] = (tier, tokens + r[2], at)
+        small = [tier for tier, tokens, _ in groups.values() if tokens != packing.STEP]
+        assert len(small) == len(set(small)) and len(groups) > 100
+        assert all(tokens <= packing.STEP for _, tokens, _ in groups.values())
+
+
 def test_word_ids_start_anew(monkeypatch):
     monkeypatch.setattr(packing, "CACHE", 3)
     t, w = Tokenizer.from_file(tokenizer_path()), packing.WordIds(tokenizer_path())

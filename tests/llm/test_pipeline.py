@@ -57,30 +57,24 @@ def test_near_duplicates(stages):
 
 
 def slow_redaction(rows):
-    owners = {}
-    blobs = {}
-    for n, r in enumerate(rows):
+    owners, repos, spans = {}, {}, []
+    for r in rows:
         base = slow_spans(r.text or "")
-        values = []
+        loose = []
         for m in re.finditer(secrets.BLOB, r.text or ""):
             v = m[0]
             if re.search("[0-9]", v) and re.search("[a-z]", v) and re.search("[A-Z]", v) and not any(a < m.end() and m.start() < b for a, _, b in base):
-                values.append((m.start(), v))
-        blobs[n] = values
-        for v in [v for _, v in values]:
-            owners.setdefault(v, set()).add(r.source)
+                loose.append((m.start(), m.end(), v))
+                owners.setdefault(v, set()).add(r.source)
+                repos.setdefault(v, set()).add((r.source, r.doc_id))
+        spans.append(([(a, b) for a, _, b in base], loose))
     out = []
-    for n, r in enumerate(rows):
-        t = r.text
-        for _, v in sorted(blobs[n]):
-            if len(owners[v]) <= secrets.MAX_OWNERS:
-                t = t.replace(v, "[SECRET]")
-        spans = slow_spans(t or "")
-        while spans:
-            a, _, b = spans[0]
-            t = t[:a] + "[SECRET]" + t[b:]
-            spans = slow_spans(t)
-        out.append((r.doc_id, t))
+    for r, (base, loose) in zip(rows, spans):
+        hit = [False] * len(r.text or "")
+        for a, b in base + [(a, b) for a, b, v in loose if len(owners[v]) <= secrets.MAX_OWNERS and len(repos[v]) <= secrets.MAX_REPOSITORIES]:
+            hit[a:b] = [True] * (b - a)
+        text = None if r.text is None else "".join("[SECRET]" if h and (not i or not hit[i - 1]) else "" if h else c for i, (c, h) in enumerate(zip(r.text, hit)))
+        out.append((r.doc_id, text))
     return out
 
 

@@ -58,9 +58,11 @@ def test_quality_counts(docs):
 
 def test_order_of_rules_never_changes_the_verdict(docs):
     rules = quality_rules.RULES
-    measured = quality_rules.profile(docs, rules, fraction=1.0)
-    assert set(measured) == {r.name for r in rules}
-    order = quality_rules.ordered(rules, measured)
+    cost, seen = quality_rules.profile(docs, rules, fraction=1.0)
+    assert sum(seen.values()) == docs.count() and all(cost[p] > 0 for r in rules for p in r.reads)
+    for bits, n in seen.items():
+        assert n == sum(sum(r.rejects(TextView(d.text)) << k for k, r in enumerate(rules)) == bits for d in docs.collect())
+    order = quality_rules.ordered(rules, (cost, seen))
     assert set(order) == set(rules)
     kept = quality_rules.keep_good(docs)
     assert kept.columns == docs.columns
@@ -68,6 +70,15 @@ def test_order_of_rules_never_changes_the_verdict(docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == want
 
 
+def test_order_goes_by_marginal_cost():
+    """What an asked rule has already measured costs the next nothing, and texts already rejected count no more."""
+    a, b, c = (quality_rules.Rule(n, lambda v: False, (p,)) for n, p in (("a", "n_repeat_words"), ("b", "n_adjacent"), ("c", "n_upper")))
+    cost = {"words": 10.0, "n_repeat_words": 1.0, "n_adjacent": 1.0, "n_upper": 4.0}
+    assert quality_rules.ordered((a, b, c), (cost, {0: 50, 1: 30, 2: 20, 4: 12})) == (c, a, b)
+    assert quality_rules.ordered((a, b, c), (cost, {0: 50, 1: 90, 2: 20, 4: 12})) == (a, b, c)
+    assert quality_rules.ordered((a, b, c), (cost, {0: 50, 5: 90, 2: 1, 4: 0})) == (c, b, a)
+
+
 def test_repeats_by_example():
     assert repeated_window_words(list("abcdefgh") * 2) == 16
     assert repeated_window_words(list("abcdefg") * 1) == 0
@@ -106,6 +117,32 @@ def test_widely_copied_blobs_are_not_added(spark):
     assert clean[100] == "own [SECRET] here" and clean[3] == same[3][1]
 
 
+def test_blobs_of_many_repositories_are_copies(spark):
+    same = [(i, "see aB3dEfGhIjKlMnOpQrStUvWx9 token=abcdefghijklmnop", "s") for i in range(9)]
+    df = spark.createDataFrame([*same, same[0]], "doc_id long, text string, source string")
+    got = secrets.scan(df, max_repositories=8).collect()
+    assert {(r.spans, r.n_live, r.n_copied) for r in got} == {("assign:30:52", 0, 1)} and len(got) == 10
+    assert {(r.spans, r.n_live, r.n_copied) for r in secrets.scan(df, max_repositories=9).collect()} == {("blob:4:29,assign:30:52", 2, 0)}
+
+
+def test_redaction_by_offsets(spark):
+    """A blob's value inside another span leaves no fragment; overlapping spans become one mark."""
+    df = spark.createDataFrame([(1, "token=aB3dEfGhIjKlMnOpQrStUvWx9.zz1 aB3dEfGhIjKlMnOpQrStUvWx9", "s"), (2, None, "s"), (3, "0123456789abcdefapi_key=0123456789abcdef0 é end", "s")], "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    assert got == {1: "[SECRET] [SECRET]", 2: None, 3: "[SECRET] é end"}
+
+
+def test_clashing_columns(spark):
+    """Columns named like internal ones come back as they were."""
+    rows = [(i, f"word {i} aB3dEfGhIjKlMnOpQrStUvWx{i} " * 9, "s", f"r{i}", f"n{i}", i) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, row string, _n string, doc int").withColumn("text_id", F.lit("t")).withColumn("_live", F.lit("l"))
+    for f in (mixing.mixed, secrets.redact, quality_rules.keep_good):
+        out = f(df)
+        assert out.columns == df.columns
+        assert {r[3:] for r in out.collect()} <= {r[3:] for r in df.collect()}
+    assert secrets.redact(df).count() == 20
+
+
 def test_redaction_leaves_no_base_span(docs):
     out = secrets.redact(docs)
     assert out.columns == docs.columns and out.count() == docs.count()

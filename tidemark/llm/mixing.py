@@ -9,7 +9,8 @@ Running totals never put a source into one task: lines are cut into buckets by t
 into ranges of finish time; only sums of buckets and ranges, of bounded number, meet, and one range is sorted.
 
 Defined results: null or empty texts have size 0 and are never taken; a null source is a source, the last; repeated
-rows are separate documents; an empty table gives an empty result; other columns are ignored or, in :func:`mixed`, kept.
+rows are separate documents; an empty table gives an empty result; other columns are ignored or, in :func:`mixed`, kept
+whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, field, with_rows, written
 
 #: The weights dealt to the sources in order.
 WEIGHTS = (5, 2, 1)
@@ -26,16 +27,19 @@ QUANTUM = 256
 RANGES = 4096
 
 
-def lines(docs: DataFrame, key: str, text: str, source: str, *more: str) -> DataFrame:
-    """(key, src, size, spot): src sorts as the source with null last, spot is the document's place in the shuffle."""
-    t = docs.select(F.col(key).alias("key"), F.col(source).cast("string").alias("_s"), F.col(text).alias("_t"), *more)
-    return t.select(
+def lines(docs: DataFrame) -> DataFrame:
+    """(row, key, src, size, spot, bucket) from (row, key, text, source), written, so that words are counted once.
+
+    src sorts as the source with null last; spot is the document's place in the shuffle, bucket its first bits.
+    """
+    line = docs.select(
+        "row",
         "key",
-        F.when(F.col("_s").isNull(), "1").otherwise(F.concat(F.lit("0"), "_s")).alias("src"),
-        F.coalesce(F.regexp_count("_t", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.when(F.col("source").isNull(), "1").otherwise(F.concat(F.lit("0"), F.col("source").cast("string"))).alias("src"),
+        F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.md5(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")).alias("spot"),
-        *more,
     )
+    return written(line.withColumn("bucket", F.conv(F.substring("spot", 1, 3), 16, 10).cast("int")))
 
 
 def targets(sizes: DataFrame) -> DataFrame:
@@ -62,16 +66,14 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 def _served(line: DataFrame, quantum: int | None) -> tuple[DataFrame, DataFrame]:
     """The line with each document's target columns, and the pieces with ``got``, the words taken of each."""
-    bucket = F.conv(F.substring("spot", 1, 3), 16, 10).cast("int")
-    line = line.withColumn("bucket", bucket)
     sums = line.groupBy("src", "bucket").agg(F.sum("size").alias("words"))
     wanted = targets(sums.groupBy("src").agg(F.sum("words").alias("source_size")))
     ahead = Window.partitionBy("src").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.withColumn("ahead", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words").join(wanted, "src")
-    placed = line.join(offsets, ["src", "bucket"])
-    within = Window.partitionBy("src", "bucket").orderBy("spot", "key", "size", *[c for c in line.columns if c == "row"]).rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("size").over(within), F.lit(0)))
-    placed = written(placed.withColumn("nth", F.row_number().over(Window.partitionBy("src", "bucket").orderBy("spot", "key", "size", *[c for c in line.columns if c == "row"]))))
+    order = Window.partitionBy("src", "bucket").orderBy("spot", "key", "size", "row")
+    within = order.rowsBetween(Window.unboundedPreceding, -1)
+    placed = line.join(offsets, ["src", "bucket"]).withColumn("ahead", F.col("ahead") + F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = written(placed.withColumn("nth", F.row_number().over(order)))
     rounds = F.least(F.lit(MOST), F.floor(F.col("target") / F.col("source_size") + 0.5).cast("int") + 1)
     step = F.lit(quantum) if quantum else F.greatest("size", F.lit(1))
     pieces = (
@@ -98,7 +100,8 @@ def _served(line: DataFrame, quantum: int | None) -> tuple[DataFrame, DataFrame]
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", quantum: int | None = QUANTUM) -> DataFrame:
     """What the mix takes of each document: size, source_size, target, taken."""
-    placed, pieces = _served(lines(docs, key, text, source), quantum)
+    slim = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"), F.col(source).alias("source"))
+    placed, pieces = _served(lines(slim), quantum)
     on = ["src", "bucket", "nth"]
     taken = pieces.groupBy(*on).agg(F.sum("got").alias("taken"))
     out = placed.join(taken, on, "left")
@@ -107,6 +110,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself, in whole documents: a row of ``docs`` for each time that it is taken."""
-    kept = written(docs.withColumn("row", F.monotonically_increasing_id()))
-    _, pieces = _served(lines(kept, key, text, source, "row"), None)
-    return kept.join(pieces.groupBy("row").agg(F.count("*").cast("int").alias("_n")), "row").withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n")))).select(*docs.columns)
+    kept = written(with_rows(docs))
+    _, pieces = _served(lines(kept.select("row", field(key).alias("key"), field(text).alias("text"), field(source).alias("source"))), None)
+    times = pieces.groupBy("row").agg(F.count("*").cast("int").alias("times"))
+    return kept.join(times, "row").withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("times")))).select("doc.*")

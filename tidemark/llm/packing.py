@@ -4,7 +4,8 @@ A document's ids fill whole longest windows first; what is left is routed to the
 are packed from the longest: a left-over opens a window of its tier, and the gap takes the longest whole left-overs of
 this and shorter tiers that fit, then a cut of the shortest. So every window is full, and windows of all tiers have a
 power of two as length. Packing is local to a task, over a buffer of bounded size; only a task's last few ids can need
-padding. Windows are dealt to step groups of equal token counts, costly (quadratic in piece length) with cheap ones.
+padding. Windows are dealt to step groups of one tier and equal token counts, costly (quadratic in piece length) with cheap
+ones; only the last group of a tier in a task may be smaller.
 
 Defined results: a null text is empty, and an empty document is the closing id alone; repeated rows are separate
 documents, told apart by their sequences; an empty table gives an empty result; other columns are ignored.
@@ -41,7 +42,12 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class WordIds(dict):
-    """Ids of words cut at white space, tokenised once each; the tokenizer itself never joins over white space."""
+    """Ids of words cut at white space, tokenised once each.
+
+    That holds for tokenizers that never join over white space. Letter case and marks behind a word make further short
+    cuts. What a tokenizer does is probed on loading; where a short cut doesn't hold, it isn't taken, and a tokenizer that
+    does join over white space gets whole texts.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,10 +56,20 @@ class WordIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         mark = self.tokenizer.encode(SEPARATOR, add_special_tokens=False).ids
-        self.mark = mark[0] if len(mark) == 1 else None
+        self.mark = mark[0] if len(mark) == 1 and self._same(f"ab {SEPARATOR} cd", "ab", SEPARATOR, "cd") else None
+        samples = ("ab", "Hello", "x9", "\u00e9t\u00e9", "a,b", "9")
+        self.apart = all(self._same(f"{a}{gap}{b}", a, b) for a in samples for b in samples for gap in (" ", "\n", "\t", "  ", " \r\n")) and self._same(" ab ", "ab")
+        self.caseless = all(self._same(chr(c - 32) + "q" + chr(c - 32), chr(c) + "q" + chr(c)) for c in range(97, 123))
+        marks = TAIL.decode()
+        self.tails = all(self._same(w + m + x, w, m + x) for w in ("ab", "x9", "z") for m in marks for x in ("", *marks))
         self.fresh: list = []
         self._reset()
 
+    def _same(self, text: str, *parts: str) -> bool:
+        """Whether a text's ids are those of its parts, one behind the other."""
+        ids = [self.tokenizer.encode(x, add_special_tokens=False).ids for x in (text, *parts)]
+        return ids[0] == [i for x in ids[1:] for i in x]
+
     def _reset(self) -> None:
         self.clear()
         self.parts: dict = {}
@@ -88,8 +104,8 @@ class WordIds(dict):
         """Ids of new words, put together of lower-cased stems and tails of marks, so that fewer need the tokenizer."""
         pairs, new = np.zeros((len(self.fresh), 2), np.int64), []
         for i, word in enumerate(self.fresh):
-            low = word if b"<|" in word else word.lower()
-            stem = low.rstrip(TAIL)
+            low = word.lower() if self.caseless and b"<|" not in word else word
+            stem = low.rstrip(TAIL) if self.tails else low
             if not stem[-1:].isalnum():
                 stem = low
             for j, part in enumerate((stem, low[len(stem) :])):
@@ -117,6 +133,10 @@ class WordIds(dict):
 
     def texts(self, texts: list) -> Iterator[np.ndarray]:
         """The ids of each text (null: none)."""
+        if not self.apart:
+            for t in texts:
+                yield np.array(self.tokenizer.encode(t or "", add_special_tokens=False).ids, np.uint32)
+            return
         if len(self) > CACHE:
             self._reset()
         places = []
@@ -145,7 +165,7 @@ class Packer:
     def __init__(self, shard: int, tiers: tuple[int, ...] = TIERS):
         self.tiers, self.top, self.shard = tiers, tiers[-1], shard
         self.items: list = []  # (length, n, doc, start, ids), by length
-        self.held = self.n = self.windows = 0
+        self.held = self.n = self.windows = self.dealt = 0
         self.groups: dict = {}
         self.out: list = []
 
@@ -220,20 +240,29 @@ class Packer:
         if len(waiting) * window >= 8 * STEP:
             self._deal(window)
 
-    def _deal(self, window: int) -> None:
-        """Windows by falling cost, dealt to and fro over the step groups."""
-        waiting = self.groups.pop(window, [])
-        n = max(1, len(waiting) * window // STEP)
-        for k, (_, rows) in enumerate(sorted(waiting, key=lambda x: -x[0])):
+    def _deal(self, window: int, last: bool = False) -> None:
+        """Windows by falling cost, dealt to and fro over whole step groups; what fills none waits for more."""
+        waiting, each = self.groups[window], max(1, STEP // window)
+        n = len(waiting) // each
+        whole, self.groups[window] = waiting[: n * each], waiting[n * each :]
+        for k, (_, rows) in enumerate(sorted(whole, key=lambda x: -x[0])):
             turn, at = divmod(k, n)
-            group = (self.shard << 32) + self.windows * 8 + (n - 1 - at if turn % 2 else at)
-            self.out += [(*r, group) for r in rows]
+            self._group(rows, n - 1 - at if turn % 2 else at)
+        self.dealt += n
+        if last and self.groups[window]:
+            for _, rows in self.groups.pop(window):
+                self._group(rows, 0)
+            self.dealt += 1
+
+    def _group(self, rows: list, at: int) -> None:
+        group = (self.shard << 32) + self.dealt + at
+        self.out += [(*r, group) for r in rows]
 
     def rows(self, last: bool = False) -> list:
         if last:
             self.flush(True)
             for window in list(self.groups):
-                self._deal(window)
+                self._deal(window, True)
         out, self.out = self.out, []
         return out
 

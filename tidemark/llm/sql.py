@@ -76,13 +76,16 @@ with d as (select row_number() over () as rid, doc_id, source, coalesce(text, ''
 {",".join(_kind(k, name) for k, name in enumerate(secrets.KINDS))},
 base as (select * from assign_m union all select * from access_m union all select * from hex_m),
 loose as (select * from blob_m b where not exists (select 1 from base x where x.rid = b.rid and x.s < b.e and b.s < x.e)),
-owners as (select v, count(distinct coalesce('1' || source, '0')) as owners from (select * from base union all select * from loose) join d using (rid) group by v),
-live as (select l.* from loose l join owners using (v) where owners <= {secrets.MAX_OWNERS}),
-named as (select rid, s, kind, {secrets.KINDS!r}[kind + 1] || ':' || cast(s as bigint) || ':' || cast(e as bigint) as x, kind < 3 as is_base from (select * from base union all select * from live)),
+every as (select * from base union all select * from loose),
+owned as (
+ select v, count(distinct owner) as owners, count(distinct owner || ':' || repo) as repositories
+ from (select v, coalesce('1' || source, '0') as owner, coalesce(cast(doc_id as varchar), '') as repo from every join d using (rid)) group by v),
+judged as (select every.*, owners <= {secrets.MAX_OWNERS} and repositories <= {secrets.MAX_REPOSITORIES} as live from every join owned using (v)),
+named as (select rid, s, kind, live, {secrets.KINDS!r}[kind + 1] || ':' || cast(s as bigint) || ':' || cast(e as bigint) as x, kind < 3 as is_base from judged where live or kind < 3),
 joined as (
- select rid, count(*) filter (kind = 0) as a, count(*) filter (kind = 1) as b, count(*) filter (kind = 2) as c,
+ select rid, count(*) filter (kind = 0) as a, count(*) filter (kind = 1) as b, count(*) filter (kind = 2) as c, count(*) filter (live) as n_live, count(*) filter (not live) as n_copied,
   string_agg(x, ',' order by s, kind) filter (is_base) as base, string_agg(x, ',' order by s, kind) as spans from named group by rid)
-select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(c, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(c, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
 from d left join joined using (rid)""".replace(repr(secrets.KINDS), repr(list(secrets.KINDS)))
 
 ORACLES = {"op3_weighted_fair_mix": MIX_SQL, "op6_ownership_secrets": SECRETS_SQL, "op8_rule_cascade": RULES_SQL}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import cached_property
 
 import numpy as np
@@ -47,6 +48,35 @@ def repeated_window_words(words: list, window: int = WINDOW) -> int:
     return int((np.cumsum(edge[:-1]) > 0).sum())
 
 
+#: Which properties each property is made of, the made ones later.
+MADE_OF = {
+    "words": (),
+    "n_words": ("words",),
+    "word_bytes": ("words",),
+    "word_chars": ("word_bytes",),
+    "n_symbols": (),
+    "lines": (),
+    "n_dup_lines": ("lines",),
+    "n_repeat_words": ("words",),
+    "n_upper": (),
+    "n_distinct": ("words",),
+    "n_marks": (),
+    "n_digits": (),
+    "n_adjacent": ("words",),
+}
+
+
+def with_parts(names: Iterable[str]) -> set[str]:
+    """The properties and all that they are made of."""
+    found: set = set()
+    todo = list(names)
+    while todo:
+        name = todo.pop()
+        found.add(name)
+        todo += MADE_OF[name]
+    return found
+
+
 class TextView:
     """One text (null: none), each property computed when first read."""
 
