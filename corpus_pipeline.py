@@ -2,16 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import mixing, packing, quality_rules, secrets, simhash
+from tidemark.llm.common import drop, mark
 from tidemark.llm.queries import tokenizer_path
 
+
+def _whole(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that writes its whole input first: what earlier stages had written can then go."""
+
+    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        since = mark()
+        out = f(docs)
+        drop(spark, 0, since)
+        return out
+
+    return stage
+
+
 STAGES = [
     ("quality_rules", lambda spark, docs, sf_dir: quality_rules.keep_good(docs)),
-    ("near_duplicates", lambda spark, docs, sf_dir: simhash.keep_one(docs)),
-    ("secrets", lambda spark, docs, sf_dir: secrets.redact(docs)),
-    ("mix", lambda spark, docs, sf_dir: mixing.mixed(docs)),
+    ("near_duplicates", _whole(simhash.keep_one)),
+    ("secrets", _whole(secrets.redact)),
+    ("mix", _whole(mixing.mixed)),
     ("packing", lambda spark, docs, sf_dir: packing.pack(docs, tokenizer_path())),
 ]
 

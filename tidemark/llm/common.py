@@ -45,19 +45,34 @@ def written(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _written:
-        atexit.register(_remove, spark)
+        atexit.register(drop, spark)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession) -> None:
-    """Remove what :func:`written` has left; a long session may call it once its results are saved."""
+def mark() -> int:
+    """How many tables :func:`written` has made."""
+    return len(_written)
+
+
+def drop(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
+    """Remove the tables that :func:`written` has made from one mark to another; for what needs them no more."""
     if spark.sparkContext._jsc is None:
         return
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        at = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        at.getFileSystem(conf).delete(at, True)
+    for k in range(since, len(_written) if until is None else until):
+        if _written[k]:
+            at = jvm.org.apache.hadoop.fs.Path(_written[k])
+            at.getFileSystem(conf).delete(at, True)
+            _written[k] = None
+
+
+def settled(df: DataFrame, since: int) -> DataFrame:
+    """``df`` written, and the tables that it was made of since a mark removed."""
+    until = mark()
+    out = written(df)
+    drop(df.sparkSession, since, until)
+    return out
 
 
 def with_rows(docs: DataFrame) -> DataFrame:

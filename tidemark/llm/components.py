@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpointed, join_by_key
+
+
+#: Edges of a node from which its minimum is broadcast to them instead of shuffling them together.
+HOT = 1 << 12
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -20,10 +24,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if tangled.isEmpty():
             return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        pairs = large.join(least, "u")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_by_key(both.where("v > u"), least, "u", "n", hot=HOT).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        pairs = join_by_key(large, least, "u", "n", hot=HOT)
         small = pairs.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         e = checkpointed(small.distinct())
     raise RuntimeError("components did not settle")

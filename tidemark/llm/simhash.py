@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import field, join_by_key, with_rows, written
+from .common import field, join_by_key, mark, settled, with_rows, written
 from .components import components
 
 SEED = 42
@@ -577,6 +577,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
     """
     rows = written(with_rows(docs))
     slim = rows.select("row", field(text).alias("text"), field(key).cast("long").alias("id"))
+    since = mark()
     common = docs.sparkSession.sparkContext.broadcast(_common(slim, words))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -599,4 +600,4 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
     groups_ = components(exact_links(roots, slim, words, similarity, radius, block))
     rooted = firsts.select("row", "id").join(groups_.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
     stay = rooted.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best")).select(F.col("best.row").alias("row"))
-    return rows.join(stay, "row", "left_semi").select("doc.*")
+    return rows.join(settled(stay, since), "row", "left_semi").select("doc.*")
