@@ -53,6 +53,15 @@ def test_odd_vectors(spark):
     assert ann.nearest(df.where("false")).count() == 0
 
 
+def test_recall_in_a_large_shard():
+    """Random vectors, the hardest case, in one shard several times larger than those of the tables at hand."""
+    x = np.random.default_rng(1).normal(size=(12_000, 64)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    found, _ = ann.Graph(x).search(x[:100], ann.beam_for(len(x)))
+    best = np.argsort(-(x[:100] @ x.T), 1)[:, 1:6]
+    assert np.mean([len(set(b) & set(f)) / 5 for b, f in zip(best.tolist(), found.tolist())]) >= 0.9
+
+
 @pytest.mark.parametrize("n,d,degree", [(3, 2, 4), (40, 3, 4), (700, 8, 16)])
 def test_graph_reaches_all_within_its_beam(n, d, degree):
     x = np.random.default_rng(n).normal(size=(n, d)).astype(np.float32)

@@ -1,6 +1,8 @@
 """Packing, URL rules, quality model and toxicity."""
 
 import zlib
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -139,6 +141,33 @@ def test_url_verdicts(spark):
     assert url_rules.judge(none).count() == 0
 
 
+def test_no_rule_is_missing(spark):
+    """Verdicts by the pruned rules are those by all rules, counted from all subsets of all pages' tokens."""
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
+    support, confidence = 0.02, 0.8
+    rules = url_rules.mine(pages, support=support, confidence=confidence)
+    baskets = []
+    for r in pages.collect():
+        h, p = url_rules.split_url(r.url)
+        if t := url_rules.tokens(r.url, h, p):
+            baskets.append((t, url_rules.label(h, p)))
+    single = Counter(x for t, _ in baskets for x in t)
+    seen, hits = Counter(), Counter()
+    for t, v in baskets:
+        t = [x for x in t if single[x] >= support * len(baskets)]
+        for n in range(1, len(t) + 1):
+            for items in combinations(t, n):
+                seen[items] += 1
+                hits[items, v] += 1
+    every = [(items, v, n / seen[items], n / len(baskets)) for (items, v), n in hits.items() if n >= support * len(baskets) and n / seen[items] >= confidence]
+    every.sort(key=lambda r: (-r[2], -r[3], len(r[0]), r[0]))
+    assert len(rules) < len(every)
+    index = url_rules.inverted(rules)
+    for t, _ in baskets:
+        best = next(((v, c) for items, v, c, _ in every if set(items) <= set(t)), (None, 0))
+        assert url_rules.match(index, t) == best[0]
+
+
 def accuracy(out, labels, label):
     both = out.join(labels.select("doc_id", label), "doc_id").where("held_out").select("predicted", label).collect()
     return sum(r.predicted == r[label] for r in both) / len(both)
@@ -156,6 +185,70 @@ def test_quality_model(spark, docs):
     assert quality_model.score(docs, none).count() == docs.count() and quality_model.score(docs.where("false"), labels).count() == 0
 
 
+def test_quality_features_by_definition():
+    f = quality_model.Features()
+    text = "Ab, ab cd!\nAb, ab cd! #"
+    x = f(text)
+    hashed = np.zeros(quality_model.HASHED)
+    for w in text.split():
+        bare = w.strip(".,:;!?#").lower().encode()
+        for part in (bare, b"<" + bare[:3], bare[-3:] + b">"):
+            hashed[zlib.crc32(part) % quality_model.HASHED] += 1
+    hashed = np.log(1 + hashed)
+    assert np.allclose(x[12:], hashed / np.sqrt((hashed**2).sum()), atol=1e-6)
+    assert np.allclose(x[:12], quality_model.counted(quality_model.TextView(text)), atol=1e-6)
+    assert len(f(None)) == f.size and not f(None)[12:].any()
+
+
+def test_pairs_pull_apart():
+    """The fit's loss over all pairs is near the least that plain gradient descent on every pair reaches."""
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(60, 4)).astype(np.float32)
+    y = (x[:, 0] - 0.5 * x[:, 1] + rng.normal(0, 0.7, 60) > 0).astype(int)
+    good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
+    diff = (x[good][:, None] - x[bad][None]).reshape(-1, 4)
+    loss = lambda w: float(np.log1p(np.exp(-diff @ w)).mean())
+    w, threshold, _ = quality_model.fit(x, y, rounds=600)
+    slow = np.zeros(4)
+    for _ in range(4000):
+        slow += 0.5 * (diff / (1 + np.exp(diff @ slow))[:, None]).mean(0)
+    assert loss(w) < loss(slow) + 0.01 < loss(np.zeros(4))
+    assert (x @ w < threshold).sum() == len(bad)
+
+
+def test_quality_score_by_definition(spark, docs):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    whole = spark.read.parquet(f"{SF}/documents.parquet")
+    weights, threshold, scale = quality_model.train(whole, labels, "doc_id", "text", "quality", quality_model.FOLDS, quality_model.MOST_LABELLED)
+    f = quality_model.Features()
+    want = {r.doc_id: 1 / (1 + np.exp(-np.clip((float(f(r.text) @ weights) - threshold) / scale + np.log(0.7 / 0.3), -40, 40))) for r in whole.collect()}
+    got = {r.doc_id: r.score for r in quality_model.score(whole, labels).collect()}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+
+
+def test_learnt_terms_are_caught_misspelled(spark):
+    """A word of several toxic texts is learnt, and a misspelling of it counts; words of clean texts near it don't."""
+    toxic = [(i, f"you great schwachkopf number {i} and blödian here", 1) for i in range(1, 40)]
+    clean = [(100 + i, f"plain words about schwachkopg number {i} here", 0) for i in range(40)]
+    rows = [(k, t) for k, t, _ in toxic + clean] + [(500, "a schwachkobf again"), (501, "a schwachkopg again"), (502, "nothing at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in toxic + clean], "doc_id long, toxic int")
+    learnt, ordinary, weights = toxicity.learn(docs, labels, "doc_id", "text", "toxic", toxicity.FOLDS, 1000)
+    assert "schwachkopf" in learnt and "schwachkopg" in ordinary and (weights >= 0).all()
+    got = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
+    assert got[500] > 0 and got[501] == got[502] == 0
+    scorer = toxicity.Scorer(toxicity.TERMS, learnt, ordinary, weights)
+    assert all(abs(got[k] - (1 - np.exp(-(scorer.features(t) * weights).sum()))) < 1e-9 for k, t in rows)
+
+
+def test_weights_follow_the_labels():
+    """A setting whose hits are all clean loses its weight; one whose hits are all toxic keeps or gains it."""
+    x = np.zeros((200, len(toxicity.START)))
+    x[:100, 0], x[100:, 2] = 1, 1
+    w = toxicity.fit(x, np.repeat([1, 0], 100))
+    assert w[2] < 0.1 * toxicity.START[2] and w[0] > 2 * toxicity.START[0] and np.allclose(w[4:], toxicity.START[4:])
+
+
 def test_held_out_labels_are_not_read(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{x}.parquet") for x in ("documents", "labels"))
     odd = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, 1 - F.col("quality")).otherwise(F.col("quality")))

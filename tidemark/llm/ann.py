@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by largest cosine: robust-pruned directed graphs, one for each shard.
 
 Equal vectors form a class that keeps its ``k + 1`` smallest ids (no query can need more of them). Classes are dealt to
-shards by hash; a shard's size grows with the root of the number of classes, up to ``MOST_ROWS``. A task builds its
+shards by hash; a shard's size grows with the root of the number of classes, up to ``MOST_BYTES``, and the beam of a search
+with the shard's. A task builds its
 shard's graph in numpy: points are inserted in batches, greedy beam search over the graph so far proposes neighbours,
 and pruning keeps an edge only if no kept neighbour is nearer to its end by the factor ``alpha`` (free slots then take
 the nearest that were pruned). Every query is searched in every shard, streamed through in batches behind the shard's
@@ -28,18 +29,23 @@ from .common import written
 
 K, EVERY = 5, 50
 DEGREE, BEAM, WIDTH, ALPHA = 24, 64, 4, 1.2
-#: Beam of a query's search in each shard.
-QUERY_BEAM = 96
+#: Beam of a query's search in a shard of up to ``BEAM_ROWS`` rows; it grows with the root of what is above.
+QUERY_BEAM, BEAM_ROWS = 96, 4096
 BATCH = 256
-#: Rows of a shard at most: its memory bound.
-MOST_ROWS = 1 << 17
+#: Bytes of a shard's vectors in double precision at most: its memory bound (131,072 rows of 64 dimensions).
+MOST_BYTES = 1 << 26
 
 
-def shards_for(n: int) -> int:
-    rows = min(MOST_ROWS, max(512, 16 * math.isqrt(max(n, 1))))
+def shards_for(n: int, width: int) -> int:
+    """Shards for ``n`` rows of up to ``width`` dimensions."""
+    rows = max(1, min(MOST_BYTES // (8 * max(1, width)), max(512, 16 * math.isqrt(max(n, 1)))))
     return max(1, math.ceil(n / rows))
 
 
+def beam_for(rows: int) -> int:
+    return math.ceil(QUERY_BEAM * math.sqrt(max(1.0, rows / BEAM_ROWS)))
+
+
 class Graph:
     """A directed graph over unit vectors (float32 rows)."""
 
@@ -181,14 +187,15 @@ def usable(v: Column) -> Column:
     return F.coalesce((F.size(v) > 0) & finite & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = EVERY, k: int = K, beam: int = QUERY_BEAM) -> DataFrame:
-    """The ``k`` nearest rows found for every row whose id is divisible by ``every``."""
+def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = EVERY, k: int = K, beam: int | None = None) -> DataFrame:
+    """The ``k`` nearest rows found for every row whose id is divisible by ``every``; without a beam it goes by the shard."""
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
     few = Window.partitionBy("v").orderBy("id")
     kept = rows.withColumn("nth", F.row_number().over(few)).where(F.col("nth") <= k + 1).drop("nth")
     kept = written(kept.withColumn("hash", F.xxhash64(F.transform("v", lambda x: x + F.lit(0.0)))))
-    shards = shards_for(kept.count())
+    size = kept.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("v")), F.lit(1)).alias("width")).first()
+    shards = shards_for(size.n, size.width)
     index = kept.select(F.pmod("hash", F.lit(shards)).cast("int").alias("shard"), F.lit(-1).cast("long").alias("query"), "id", "v")
     queries = written(rows.where(F.col("id") % every == 0).withColumn("query", F.monotonically_increasing_id()))
     asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "query", "id", "v")
@@ -212,7 +219,7 @@ def nearest(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
                 pick = [i for i, x in enumerate(lists) if len(x) == d]
                 for s in range(0, len(pick), BATCH):
                     part = pick[s : s + BATCH]
-                    for r, best in built[d].answers(ids[part], np.array([lists[i] for i in part]), k, beam):
+                    for r, best in built[d].answers(ids[part], np.array([lists[i] for i in part]), k, beam or beam_for(len(built[d].x))):
                         out += [(query[part[r]], ids[part[r]], i, score) for score, i in best]
             cols = list(zip(*out)) or [()] * 4
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())

@@ -1,16 +1,18 @@
 """Toxicity by Levenshtein automata over a lexicon trie.
 
 The lexicon is a trie of known terms and of terms learnt from labelled texts: whole words and word beginnings that stand
-in several toxic texts, which no known term explains, and in next to no clean one. One automaton walks
-all terms at once: its states are sets of (trie node, edits spent), found when first needed and remembered, so a word
-costs one step a character. Known terms allow an edit from five letters on, and two from nine on; learnt ones none. A
+in several toxic texts, which no known term explains, and in next to no clean one. One automaton walks all terms at once:
+its states are sets of (trie node, edits spent), found when first needed and remembered, so a word costs one step a
+character. Known and learnt whole words allow an edit from five letters on, and two from nine on; word beginnings none. A
 misspelling that also stands in clean labelled texts is an ordinary word and does not count.
 
-Each hit is weighed by its neighbourhood: quotation marks or reporting words close by weaken it, direct address
-strengthens it. A learnt word counts half and once only, so that a text needs two. The score is one minus the exponential of minus the sum.
+Each hit is of a kind (known or learnt, exact or misspelled; a learnt word once a text) in a setting: quotation marks or
+reporting words close by speak for a quotation, direct address for abuse. Every kind in every setting has a weight, which
+the labelled sample draws from its starting value to where the labels are likeliest. The score is one minus the
+exponential of minus the sum of weights.
 
-Defined results: a null or empty text scores 0; missing or null labels leave the fixed lexicon; repeated rows are each
-scored; an empty table gives an empty result; other columns are ignored.
+Defined results: a null or empty text scores 0; missing or null labels leave the fixed lexicon and starting weights;
+repeated rows are each scored; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,11 +21,12 @@ import math
 import re
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import py_in_fold
+from .common import py_in_fold, written
 from .quality_model import sample_labels
 
 #: The starting lexicon.
@@ -36,9 +39,12 @@ EDGE = b".,;:!?\"'()[]{}<>*#$%&~-_"
 #: Characters written for letters.
 LEET = bytes.maketrans(b"013457@$", b"oieastas")
 WINDOW = 6
-HIT, NEAR, QUOTED, DIRECT = 0.9, 0.4, 0.35, 1.5
-#: What :meth:`Scorer.edits` returns for a learnt term.
-LEARNT = 9
+#: Starting weights of the kinds of hits, and what a quotation or an address makes of them.
+KINDS, QUOTED, DIRECT = (0.9, 0.4, 0.4, 0.3), 0.35, 1.5
+#: Most weight of a learnt word, so that one alone never reaches a score of one half.
+MOST_LEARNT = 0.68
+#: What :meth:`Scorer.edits` adds for a learnt term.
+LEARNT = 10
 #: Bounds of the labelled sample and of the terms learnt.
 MOST_LABELLED, MOST_TERMS = 12_000, 2_000
 #: A learnt term stands in so many toxic texts at least, and in so many times more of them than of clean ones.
@@ -141,91 +147,127 @@ def core(word: bytes) -> bytes:
     return word.strip(EDGE).lower()
 
 
+START = np.array([k * (QUOTED if quoted else 1) * (DIRECT if direct else 1) for k in KINDS for quoted in (0, 1) for direct in (0, 1)])
+
+
 class Scorer:
-    def __init__(self, terms: Iterable[str], learnt: Iterable[str] = (), ordinary: Iterable[str] = ()):
-        self.lexicon, self.learnt, self.ordinary = Lexicon(terms), Lexicon(learnt, lambda _: 0), frozenset(ordinary)
+    def __init__(self, terms: Iterable[str], learnt: Iterable[str] = (), ordinary: Iterable[str] = (), weights: np.ndarray = START):
+        self.lexicon, self.learnt, self.ordinary, self.weights = Lexicon(terms), Lexicon(learnt), frozenset(ordinary), weights
         self.known: dict = {}
 
+    def _of(self, lexicon: Lexicon, bare: bytes, plain: str) -> int | None:
+        got = lexicon.edits(plain)
+        if got is None or got:
+            as_letters = bare.translate(LEET)
+            if as_letters != bare and (other := lexicon.edits(as_letters.decode("utf-8", "replace"))) is not None:
+                got = other if got is None else min(other, got)
+        return None if got and plain in self.ordinary else got
+
     def edits(self, word: bytes) -> int | None:
-        """Edits of a word as it stands in a text, or LEARNT; None if it is no term. Remembered."""
+        """Edits of a word as it stands in a text, for a learnt term LEARNT more; None if it is no term. Remembered."""
         got = self.known.get(word, -1)
         if got == -1:
             bare = core(word)
             plain = bare.decode("utf-8", "replace")
-            got = self.lexicon.edits(plain)
-            if got is None or got:
-                as_letters = bare.translate(LEET)
-                if as_letters != bare and (other := self.lexicon.edits(as_letters.decode("utf-8", "replace"))) is not None:
-                    got = other if got is None else min(other, got)
-            if got and plain in self.ordinary:
-                got = None
-            if got is None and self.learnt.edits(plain) is not None:
-                got = LEARNT
+            got = self._of(self.lexicon, bare, plain)
+            if got is None and (other := self._of(self.learnt, bare, plain)) is not None:
+                got = LEARNT + other
             if len(self.known) > MEMORY:
                 self.known.clear()
             self.known[word] = got
         return got
 
-    def hits(self, words: list) -> list[tuple[int, int]]:
-        edits = self.edits
-        return [(i, e) for i, e in enumerate(map(edits, words)) if e is not None]
-
-    def score(self, text: str | None) -> float:
+    def features(self, text: str | None) -> np.ndarray:
+        """Hits of each kind in each setting."""
         words = (text or "").encode("utf-8", "surrogatepass").split()
-        total, counted = 0.0, set()
-        for i, e in self.hits(words):
-            if e == LEARNT and (bare := core(words[i])) in counted:
+        out, counted = np.zeros(len(START)), set()
+        for i, e in enumerate(map(self.edits, words)):
+            if e is None:
                 continue
-            if e == LEARNT:
+            if e >= LEARNT:
+                if (bare := core(words[i])) in counted:
+                    continue
                 counted.add(bare)
-            around = words[max(0, i - WINDOW) : i + WINDOW + 1]
-            near = set(map(core, around))
-            weight = HIT if e == 0 else NEAR
-            close = words[max(0, i - 2) : i + 3]
-            if near & REPORTING or any(q in w for w in close for q in QUOTES):
-                weight *= QUOTED
-            if near & ADDRESS:
-                weight *= DIRECT
-            total += weight
-        return 1 - math.exp(-total)
-
-
-def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: tuple[int, int], most: int) -> tuple[list[str], list[str]]:
-    """Terms learnt from the labelled sample, and misspellings of known terms that clean texts hold."""
+            near = set(map(core, words[max(0, i - WINDOW) : i + WINDOW + 1]))
+            quoted = bool(near & REPORTING) or any(q in w for w in words[max(0, i - 2) : i + 3] for q in QUOTES)
+            kind = 2 * (e >= LEARNT) + (e % LEARNT > 0)
+            out[4 * kind + 2 * quoted + bool(near & ADDRESS)] += 1
+        return out
+
+    def score(self, text: str | None) -> float:
+        return 1 - math.exp(-float(self.features(text) @ self.weights))
+
+
+def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.5, hold: float = 0.002) -> np.ndarray:
+    """Weights, none negative, that make the labels likeliest; ``hold`` draws them to their start."""
+    w = START.copy()
+    most = np.repeat([np.inf, np.inf, MOST_LEARNT, MOST_LEARNT], 4)
+    for _ in range(rounds if len(x) else 0):
+        left = np.exp(-x @ w)
+        slope = np.where(y == 1, np.minimum(20.0, left / np.maximum(1e-9, 1 - left)), -1.0)
+        w = np.clip(w + rate * (slope @ x / len(x) - hold * (w - START)), 0.0, most)
+    return w
+
+
+def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: tuple[int, int], most: int) -> tuple[list[str], list[str], np.ndarray]:
+    """From the labelled sample: learnt terms, misspellings of terms that clean texts hold, and weights."""
     chosen = sample_labels(labels, label, key, folds, most)
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
-    rows = rows.groupBy(F.md5(F.col("_text").cast("binary")).alias("_id")).agg(F.max("_label").alias("toxic"), F.first("_text").alias("_text"))
+    rows = rows.groupBy(F.md5(F.col("_text").cast("binary")).alias("_id")).agg(F.max("_label").cast("long").alias("toxic"), F.first("_text").alias("text"))
+    sample = written(rows.select("toxic", "text", (F.pmod(F.xxhash64("_id"), F.lit(2)) == 0).alias("half")))  # bounded, as the labels are
     start = list(TERMS)
 
     def terms(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(start)
         for batch in batches:
-            out, near = [], []
+            out = []
             for t in batch.column(1).to_pylist():
                 words = {core(w) for w in (t or "").encode("utf-8", "surrogatepass").split()}
-                near.append(sorted(w.decode("utf-8", "replace") for w in words if scorer.edits(w)))
                 found = set()
                 if not any(scorer.edits(w) == 0 for w in words):  # texts that known terms explain teach no others
                     plain = [w for x in words if len(w := x.decode("utf-8", "replace")) >= 4 and re.fullmatch(r"\w+", w)]
                     found = {*plain, *(w[:n] + "*" for w in plain for n in PREFIXES if len(w) >= n)}
                 out.append(sorted(found))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string())), pa.array(near, pa.list_(pa.string()))], names=["toxic", "terms", "near"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(out, pa.list_(pa.string()))], names=["toxic", "half", "terms"])
+
+    found = written(sample.mapInArrow(terms, "toxic long, half boolean, terms array<string>").select("toxic", "half", F.explode("terms").alias("term")))
+
+    def best(rows: DataFrame) -> list[str]:
+        counts = rows.groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
+        top = counts.where((F.col("t") >= LEAST) & (F.col("f") * TIMES <= F.col("t"))).orderBy(F.desc(F.col("t") - TIMES * F.col("f")), "term").limit(MOST_TERMS)
+        return [r.term for r in top.collect()]  # at most MOST_TERMS
+
+    learnt, of_half = best(found), best(found.where("half"))
+
+    def misspelled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(start, learnt)
+        for batch in batches:
+            for t in batch.column(1).to_pylist():
+                words = {core(w) for w in (t or "").encode("utf-8", "surrogatepass").split()}
+                near = sorted(w.decode("utf-8", "replace") for w in words if (scorer.edits(w) or 0) % LEARNT)
+                yield pa.RecordBatch.from_arrays([pa.array(near, pa.string())], names=["word"])
+
+    ordinary = [r.word for r in sample.where("toxic = 0").mapInArrow(misspelled, "word string").distinct().orderBy("word").collect()]  # of a bounded sample
+
+    # weights: by the terms of one half on the other, as terms look better than they are on texts that taught them
+    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(start, of_half, ordinary)
+        for batch in batches:
+            x = [scorer.features(t).tolist() for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
 
-    slim = rows.select(F.col("toxic").cast("long"), "_text").mapInArrow(terms, "toxic long, terms array<string>, near array<string>").cache()
-    counts = slim.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
-    best = counts.where((F.col("t") >= LEAST) & (F.col("f") * TIMES <= F.col("t"))).orderBy(F.desc(F.col("t") - TIMES * F.col("f")), "term").limit(MOST_TERMS)
-    learnt = [r.term for r in best.collect()]  # at most MOST_TERMS
-    ordinary = [r.w for r in slim.where("toxic = 0").select(F.explode("near").alias("w")).distinct().orderBy("w").limit(most).collect()]
-    slim.unpersist()
-    return learnt, ordinary
+    got = sample.where("not half").mapInArrow(measure, "toxic long, x array<double>").groupBy("toxic", "x").count().orderBy("toxic", "x").toArrow()  # bounded, as the sample is
+    x = np.array(got["x"].to_pylist()).reshape(-1, len(START))
+    n = got["count"].to_numpy()
+    return learnt, ordinary, fit(np.repeat(x, n, axis=0), np.repeat(got["toxic"].to_numpy(), n))
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: tuple[int, int] = FOLDS, most: int = MOST_LABELLED) -> DataFrame:
     """Score between 0 and 1 of each document, and whether it reaches one half."""
-    learnt, ordinary = learn(docs, labels, key, text, label, folds, most)
+    learnt, ordinary, weights = learn(docs, labels, key, text, label, folds, most)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(TERMS, learnt, ordinary)
+        scorer = Scorer(TERMS, learnt, ordinary, weights)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             s = [scorer.score(t) for t in batch.column(1).to_pylist()]
