@@ -16,7 +16,7 @@ class Limits:
     midpoint: int = 11 * 60 + 15
     full_range: int = 13 * 60 + 10
     close_cutoff: int = 12 * 60 + 30
-    max_sessions_back: int | None = 5
+    max_sessions_back: int | None = None  # the oldest session that a previous close may come from
     active_sessions: int = 20
     # clock: minutes of the local day; weekend in dayofweek numbers (Friday, Saturday)
     window_start: int = 9 * 60

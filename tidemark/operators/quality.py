@@ -74,6 +74,22 @@ def feed_of(markets: list[str]) -> str:
     return "broker" if broker else "watchlist"
 
 
+def feeds(rows: DataFrame, table: str, market: str = "market") -> DataFrame:
+    """Which feed each table is by its market names: broker, watchlist, or unclear if they say both or neither."""
+    known = F.lower(market).rlike("premier|main|auction")
+    n = rows.groupBy(table).agg(F.count_if(known).alias("broker_rows"), F.count_if(~known).alias("other_rows"))
+    broker, other = F.col("broker_rows") > 0, F.col("other_rows") > 0
+    return n.select(table, F.when(broker & ~other, "broker").when(other & ~broker, "watchlist").otherwise("unclear").alias("feed"), "broker_rows", "other_rows")
+
+
+def preflight(df: DataFrame, needed: dict[str, str], key: list[str]) -> DataFrame:
+    """One row for each wanted column, with the type it should have and has, and one for the key: keys that repeat."""
+    types = dict(df.dtypes)
+    columns = df.sparkSession.createDataFrame([(c, t, types.get(c, "missing"), types.get(c) == t) for c, t in needed.items()], "item string, expected string, found string, ok boolean")
+    twice = df.groupBy(*key).count().where("count > 1").agg(F.count("*").alias("n"))
+    return columns.unionByName(twice.select(F.lit("key " + ", ".join(key)).alias("item"), F.lit("0").alias("expected"), F.col("n").cast("string").alias("found"), (F.col("n") == 0).alias("ok")))
+
+
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The last run of each scraper."""
     cols = [c for c in runs.columns if c != "scraper"]

@@ -53,7 +53,7 @@ def steps(quotes: DataFrame) -> DataFrame:
 
 def _facts(limits: Limits) -> dict[str, Column]:
     c = F.col
-    px, tier, session = c("last_price"), close_tier(c("session")), F.trim("session")
+    px, tier, session = c("last_price"), c("_tier"), c("_label")
     order = F.struct("created_at", "id")
     range_px = F.when(session.isin(*RANGE_SESSIONS) & (px > 0), px)
     in_range = session.isin(*RANGE_SESSIONS)
@@ -64,7 +64,7 @@ def _facts(limits: Limits) -> dict[str, Column]:
     at_offer = F.coalesce(px >= c("offer"), F.lit(False))
     at_bid = ~at_offer & F.coalesce(px <= c("bid"), F.lit(False))
     spread = c("offer") - c("bid")
-    minute = local_minute(c("created_at"))
+    minute = c("_minute")
     first = minute < limits.midpoint
     n = lambda x: F.count_if(x)
     total = lambda x: F.coalesce(F.sum(F.when(x, c("traded"))), F.lit(0))
@@ -101,7 +101,7 @@ def _facts(limits: Limits) -> dict[str, Column]:
         "first_minutes": n(c("new_step_minute") & first),
         "second_minutes": n(c("new_step_minute") & ~first),
         "spread": F.avg(F.when(step & (c("bid") > 0) & (c("offer") > 0) & (spread >= 0), spread)),
-        "by_hour": F.array(*(F.sum(F.when(step & (local_hour(c("created_at")) == h), c("traded"))) for h in range(24))),
+        "by_hour": F.array(*(F.sum(F.when(step & (c("_hour") == h), c("traded"))) for h in range(24))),
         "minutes_captured": n(c("new_minute")),
         "last_close": F.max_by(px, F.when((px > 0) & (c("session").isNull() | c("session").isin(*CLOSING_SESSIONS)), order)),
     }
@@ -109,7 +109,9 @@ def _facts(limits: Limits) -> dict[str, Column]:
 
 def day_facts(quotes: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """One row for each symbol and session, without look-backs or the market's median."""
-    f = steps(quotes).groupBy(*DAY).agg(*(x.alias(name) for name, x in _facts(limits).items()))
+    at = F.col("created_at")
+    q = steps(quotes).withColumns({"_label": F.trim("session"), "_tier": close_tier(F.col("session")), "_hour": local_hour(at), "_minute": local_minute(at)})  # named once, so that plans stay small
+    f = q.groupBy(*DAY).agg(*(x.alias(name) for name, x in _facts(limits).items()))
     c = F.col
     pct = lambda a, b: half_up(F.when(c(b) != 0, 100.0 * c(a) / c(b)))
     up, down = F.when(c("n_upticks") > 0, c("up_shares") / c("n_upticks")), F.when(c("n_downticks") > 0, c("down_shares") / c("n_downticks"))

@@ -85,7 +85,8 @@ def exchange_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def summary_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     panels = s.summaries(spark, sf_dir).select(F.col("captured_at").cast("timestamp_ntz").alias("captured_at"), "advancing")
-    return capture.summary_state(panels, s.quotes(spark, sf_dir).where("dayofmonth(trading_date) % 5 <> 2"))
+    day = F.when(F.dayofmonth("trading_date") % 5 == 2, F.date_sub("trading_date", 1)).otherwise(F.col("trading_date"))
+    return capture.summary_state(panels, s.quotes(spark, sf_dir).withColumn("trading_date", day))
 
 
 def constraint_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +137,7 @@ ORACLES = {
         """select captured_at, advancing, case when live then capture_day else coalesce(last_traded, capture_day) end as trading_date,
  case when not live then 'STALE' when hour(captured_at + to_hours(3)) * 60 + minute(captured_at) >= 810 then 'CLOSE' else 'LIVE' end as session_state
  from (select *, dayofweek(capture_day) not in (5, 6) and coalesce(last_traded = capture_day, false) as live from (
-  select captured_at, advancing, cast(captured_at + to_hours(3) as date) as capture_day, (select max(trading_date) from quotes q where dayofmonth(trading_date) % 5 <> 2 and q.trading_date <= cast(p.captured_at + to_hours(3) as date)) as last_traded from summaries p))""",
+  select captured_at, advancing, cast(captured_at + to_hours(3) as date) as capture_day, (select max(trading_date) from (select cast(trading_date - case when dayofmonth(trading_date) % 5 = 2 then 1 else 0 end as date) as trading_date from quotes) q where q.trading_date <= cast(p.captured_at + to_hours(3) as date)) as last_traded from summaries p))""",
         "quotes", "summaries",
     ),
     "constraint_violations": sessions._sql(

@@ -65,7 +65,7 @@ def bar_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last capture of each odd id over the table of even ones; a known price is never blanked."""
     q = s.quotes(spark, sf_dir).select("symbol", "trading_date", "last_price", "volume", "id")
     old = canonical.best_of(q.where("id % 2 = 0"), ["symbol", "trading_date"], F.col("id"))
-    return canonical.upsert(old, q.where("id % 2 = 1 and dayofmonth(trading_date) % 2 = 0").withColumn("at", F.col("id")), ["symbol", "trading_date"], "at", keep=("last_price",))
+    return canonical.upsert(old, q.where("id % 2 = 1").withColumn("at", F.col("id")), ["symbol", "trading_date"], "at", keep=("last_price",))
 
 
 def routed_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,8 +81,11 @@ def merged_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def symbol_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    q = s.quotes(spark, sf_dir).where("id % 9 < 2")
-    return canonical.coverage(q, s.watchlist(spark, sf_dir).where("dayofmonth(trading_date) % 4 <> 1 and id % 5 < 3"))
+    """Two feeds that name some rows otherwise; the reference books some days under the day before."""
+    q, w, n = s.quotes(spark, sf_dir), s.watchlist(spark, sf_dir), F.col("id")
+    named = lambda keep, other: F.when(keep, F.col("symbol")).otherwise(F.concat(F.lit(other), "symbol"))
+    day = F.when(F.dayofmonth("trading_date") % 4 == 1, F.date_sub("trading_date", 1)).otherwise(F.col("trading_date"))
+    return canonical.coverage(q.withColumn("symbol", named(n % 9 < 2, "N")), w.withColumns({"symbol": named(n % 5 < 3, "M"), "trading_date": day}))
 
 
 def feed_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,7 +184,7 @@ ORACLES = {
         """select symbol, trading_date, coalesce(arg_max(last_price, id) filter (new and last_price is not null), max(last_price) filter (not new)) as last_price,
  (case when bool_or(new) then arg_max(struct_pack(v := volume), id) filter (new) else arg_max(struct_pack(v := volume), id) filter (not new) end).v as volume, coalesce(max(id) filter (new), max(id) filter (not new)) as id
  from (select symbol, trading_date, r.p as last_price, r.v as volume, id, false as new from (select symbol, trading_date, arg_max(struct_pack(p := last_price, v := volume), id) as r, max(id) as id from quotes where id % 2 = 0 group by 1, 2)
-  union all select symbol, trading_date, last_price, volume, id, true from quotes where id % 2 = 1 and dayofmonth(trading_date) % 2 = 0) group by 1, 2""",
+  union all select symbol, trading_date, last_price, volume, id, true from quotes where id % 2 = 1) group by 1, 2""",
         "quotes",
     ),
     "routed_feeds": s.with_tables(
@@ -200,7 +203,8 @@ ORACLES = {
  from (select trading_date, (select max(trading_date) from ref r where r.trading_date <= x.trading_date) as reference_day from (select distinct trading_date from cap) x) d)""",
         "quotes",
         "watchlist",
-        more="cap as (select distinct symbol, trading_date from quotes where id % 9 < 2), ref as (select distinct symbol, trading_date from watchlist where dayofmonth(trading_date) % 4 <> 1 and id % 5 < 3)",
+        more="""cap as (select distinct case when id % 9 < 2 then symbol else 'N' || symbol end as symbol, trading_date from quotes),
+ ref as (select distinct case when id % 5 < 3 then symbol else 'M' || symbol end as symbol, cast(trading_date - case when dayofmonth(trading_date) % 4 = 1 then 1 else 0 end as date) as trading_date from watchlist)""",
     ),
     "feed_differences": s.with_tables(
         f"""select count(*) filter (b.symbol is null) as only_a, count(*) filter (a.symbol is null) as only_b, count(*) filter (a.symbol is not null and b.symbol is not null) as matched,

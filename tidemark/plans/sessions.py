@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import Limits
 from ..operators import market, session
 from ..sources import standins as s
 
@@ -17,6 +18,18 @@ def symbol_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session.symbol_day(s.quotes(spark, sf_dir), s.instruments(spark, sf_dir))
 
 
+def symbol_day_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with previous closes from at most two sessions back."""
+    return session.symbol_day(s.quotes(spark, sf_dir), s.instruments(spark, sf_dir), Limits(max_sessions_back=2)).select("symbol", "trading_date", "prev_close", "prev_session_used", "chg_1d", "down_days")
+
+
+def markets_disagree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Symbols under several market labels in a session."""
+    k = F.substring("symbol", 2, 9).cast("int")
+    market = F.when((F.col("id") % 50 == 0) & (k % 2 == 0), "Main Market").otherwise("Premier Market")
+    return session.markets_disagree(s.quotes(spark, sf_dir).withColumn("market", market)).withColumn("markets", F.array_join("markets", ", "))
+
+
 def _tradeable(instruments: DataFrame) -> DataFrame:
     flag = F.coalesce("is_primary", F.lit(True)) & (F.col("market") != "Auction Market") & (F.col("broker_status") != "DELISTED")
     return instruments.withColumn("is_tradeable", flag)
@@ -34,7 +47,7 @@ def symbol_day_with_market(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def session_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each symbol's sessions with its own and the market's session before, the one five before, and its close."""
-    q = s.quotes(spark, sf_dir).where("id % 17 < 9 or symbol <> 'S2'")
+    q = s.quotes(spark, sf_dir).withColumn("symbol", F.when((F.col("symbol") == "S2") & (F.dayofmonth("trading_date") % 3 == 0), "S3").otherwise(F.col("symbol")))
     own = session.prev_session_of_symbol(q).withColumnRenamed("prev_date", "own_prev")
     for n, name in ((1, "prev"), (5, "prev_5")):
         own = own.join(session.prev_session(q, n).withColumnRenamed("prev_date", name), "trading_date")
@@ -107,6 +120,8 @@ facts as (
 
 PRIMARY = "allquotes as (select * from quotes_raw), quotes as (select * from quotes_raw where symbol not in (select symbol from instruments where is_primary = false))"
 
+#: Whether a usable close may be the previous one: no session is too old by default.
+NEAR = "true"
 DAY = f"""
 med as (select trading_date, cast(floor(quantile_cont(minutes_captured, 0.5) + 0.5) as bigint) as market_median from facts group by 1),
 ends as (select trading_date, row_number() over (order by trading_date) as nth,
@@ -118,7 +133,7 @@ d as (
  select f.*, m.market_median, e.nth,
   floor((case when market_median <> 0 then 100.0::double * minutes_captured / market_median end) * 100 + 0.5) / 100 as coverage_pct,
   case when minutes_captured < 60 or not has_close_of_day or (market_median <> 0 and minutes_captured < 0.8 * market_median) then 'THIN' else 'FULL' end as data_quality,
-  case when e.nth - u.nth <= 5 then u.px end as prev_close, case when e.nth - u.nth <= 5 then u.trading_date end as prev_session_used,
+  case when {NEAR} then u.px end as prev_close, case when {NEAR} then u.trading_date end as prev_session_used,
   {r4("case when u5.px <> 0 then 100.0::double * (close_px - u5.px) / u5.px end")} as chg_5d
  from facts f join med m using (trading_date) join ends e using (trading_date)
  left join prev p using (symbol, trading_date) left join uc u on u.symbol = f.symbol and u.k = p.k left join uc u5 on u5.symbol = f.symbol and u5.k = p.k - 4),
@@ -170,7 +185,7 @@ def _sql(body: str, *more: str) -> str:
     return "with " + ",\n".join([raw, s.SQL["instruments"].strip(), s.SQL["summaries"].strip(), *more]) + "\n" + body
 
 
-QUERIES = {f.__name__: f for f in (session_calendar, session_facts, symbol_day, market_day, symbol_day_with_market)}
+QUERIES = {f.__name__: f for f in (session_calendar, session_facts, symbol_day, symbol_day_near, markets_disagree, market_day, symbol_day_with_market)}
 ORACLES = {
     "session_calendar": s.with_tables(
         """select p.symbol, p.trading_date, lag(p.trading_date) over (partition by p.symbol order by p.trading_date) as own_prev, prev, prev_5, close_px
@@ -178,10 +193,16 @@ ORACLES = {
  join (select trading_date, lag(trading_date) over w as prev, coalesce(lag(trading_date, 5) over w, nullif(first_value(trading_date) over w, trading_date)) as prev_5 from (select distinct trading_date from q) window w as (order by trading_date)) using (trading_date)
  left join (select symbol, trading_date, arg_max(last_price, (created_at, id)) as close_px from q where last_price > 0 and (session is null or session in ('Trading', 'Close Auction Acceptance', 'Trading at Last', 'Close-Of-Day')) group by 1, 2) using (symbol, trading_date)""",
         "quotes",
-        more="q as (select * from quotes where id % 17 < 9 or symbol <> 'S2')",
+        more="q as (select * replace (case when symbol = 'S2' and dayofmonth(trading_date) % 3 = 0 then 'S3' else symbol end as symbol) from quotes)",
     ),
     "session_facts": s.with_tables("select * exclude (last_close) from facts", "quotes", more=FACTS),
     "symbol_day": _sql("select * from days", PRIMARY, FACTS.strip(), DAY.strip()),
+    "symbol_day_near": _sql("select symbol, trading_date, prev_close, prev_session_used, chg_1d, down_days from days", PRIMARY, FACTS.strip(), DAY.replace("case when true then", "case when e.nth - u.nth <= 2 then").strip()),
+    "markets_disagree": s.with_tables(
+        """select symbol, trading_date, 'Main Market, Premier Market' as markets from quotes where cast(substr(symbol, 2) as int) % 2 = 0
+ group by 1, 2 having count(*) filter (id % 50 = 0) > 0 and count(*) filter (id % 50 <> 0) > 0""",
+        "quotes",
+    ),
     "market_day": _sql("select * from market", PRIMARY, FACTS.strip(), DAY.strip(), MARKET.strip()),
     "symbol_day_with_market": _sql(
         "select symbol, trading_date, close_px, prev_close, chg_fils, down_days, data_quality, regime, pct_advancing, breadth_5d_avg from days left join market using (trading_date)", PRIMARY, FACTS.strip(), DAY.strip(), MARKET.strip()

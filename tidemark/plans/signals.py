@@ -10,8 +10,9 @@ from ..sources import standins as s
 
 
 def _prices_and_books(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All captures as prices, and all as books, most of them under another symbol, so that prices find older ones."""
     q = s.quotes(spark, sf_dir)
-    return q.where("id % 5 <> 0").drop("bid", "offer", "bid_qty", "offer_qty"), q.where("id % 5 < 2").select("symbol", "created_at", "id", "bid", "bid_qty", "offer", "offer_qty")
+    return q.drop("bid", "offer", "bid_qty", "offer_qty"), q.select(F.when(F.col("id") % 5 < 2, F.col("symbol")).otherwise(F.concat("symbol", F.lit("B"))).alias("symbol"), "created_at", "id", "bid", "bid_qty", "offer", "offer_qty")
 
 
 def quotes_with_book(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +103,7 @@ QUERIES = {f.__name__: f for f in (quotes_with_book, book_snapshots, signals, al
 ORACLES = {
     "quotes_with_book": s.with_tables(
         """select p.* exclude (session, ingest_source, bid, offer, bid_qty, offer_qty), b.bid, b.bid_qty, b.offer, b.offer_qty
- from (select * from quotes where id % 5 <> 0) p asof left join (select * from quotes where id % 5 < 2 qualify row_number() over (partition by symbol, created_at order by id desc) = 1) b
+ from quotes p asof left join (select * replace (case when id % 5 < 2 then symbol else symbol || 'B' end as symbol) from quotes qualify row_number() over (partition by case when id % 5 < 2 then symbol else symbol || 'B' end, created_at order by id desc) = 1) b
  on p.symbol = b.symbol and p.created_at >= b.created_at""",
         "quotes",
     ),

@@ -90,6 +90,23 @@ def orders(b: DataFrame) -> DataFrame:
     )
 
 
+#: Labels of the panel's numbers.
+PANEL = {"Volume": "volume", "Turnover": "turnover", "Trades": "trades", "YTD %": "ytd_pct", "Symbols Traded": "symbols_traded", "UPs": "ups", "Down": "down", "Unchanged": "unchanged"}
+#: Fixed value: the index is a number with decimals from here on; nothing else in the panel is.
+LEAST_INDEX = 1000
+
+
+def panel_fields(panels: DataFrame, cells: str = "cells") -> DataFrame:
+    """The panel's numbers from its cells (array of label and value): of each label the first that can be read.
+
+    The index has no label: it is the largest number with decimals from ``LEAST_INDEX`` on.
+    """
+    first = lambda name: F.get(F.array_compact(F.transform(F.filter(cells, lambda x: F.trim(x["label"]) == name), lambda x: p.to_number(x["value"]))), F.lit(0))
+    levels = F.transform(F.filter(cells, lambda x: F.trim(x["value"]).rlike(r"^[0-9,]+\.[0-9]+$")), lambda x: p.to_number(x["value"]))
+    index = F.array_max(F.filter(levels, lambda x: x >= LEAST_INDEX))
+    return panels.select(*[c for c in panels.columns if c != cells], *(first(label).alias(name) for label, name in PANEL.items()), index.alias("index_close"))
+
+
 def summary_state(captures: DataFrame, sessions: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Panel captures with the session they describe: LIVE or CLOSE on a day that traded, else STALE and the last that did."""
     day = trading_day(F.col("captured_at"))

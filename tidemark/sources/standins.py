@@ -74,9 +74,9 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second feed: some of the same symbols, another price, cumulative volume."""
+    """The second feed: the same captures at other prices; it knows one symbol by another name."""
     q = quotes(spark, sf_dir)
-    return q.where("id % 2 = 0 and symbol <> 'S7'").select("symbol", "created_at", "trading_date", (F.col("last_price") + F.col("id") % 2 + (F.col("id") % 10 == 0).cast("int")).alias("last_price"), "volume", F.col("id"))
+    return q.select(F.when(F.col("symbol") == "S7", "X7").otherwise(F.col("symbol")).alias("symbol"), "created_at", "trading_date", (F.col("last_price") + F.col("id") % 2 + (F.col("id") % 10 == 0).cast("int")).alias("last_price"), "volume", F.col("id"))
 
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,9 +101,10 @@ def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The broker's panel: one capture an hour on most days."""
+    """The broker's panel: one capture an hour; what happens on each third day is booked on the day before."""
     e = read(spark, sf_dir, "events")
-    hour = F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    late = F.make_dt_interval(days=F.when(F.dayofmonth("ts") % 3 == 0, 1).otherwise(0))
+    hour = F.date_trunc("hour", F.col("ts") - late).cast("timestamp_ntz")
     got = e.groupBy(hour.alias("captured_at")).agg(
         F.count_if(F.col("event_type") == "view").alias("advancing"),
         F.count_if(F.col("event_type") == "click").alias("declining"),
@@ -112,7 +113,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.floor("value")).cast("long").alias("total_volume"),
     )
     day = F.to_date("captured_at")
-    return got.where(F.dayofmonth(day) % 3 != 0).select(
+    return got.select(
         "*", day.alias("trading_date"), F.when(F.hour("captured_at") >= 20, "STALE").when(F.hour("captured_at") >= 18, "CLOSE").otherwise("LIVE").alias("session_state")
     )
 
@@ -152,8 +153,8 @@ instruments as (
  from part)""",
     "watchlist": """
 watchlist as (
- select symbol, created_at, trading_date, last_price + id % 2 + case when id % 10 = 0 then 1 else 0 end as last_price, volume, id
- from quotes where id % 2 = 0 and symbol <> 'S7')""",
+ select case when symbol = 'S7' then 'X7' else symbol end as symbol, created_at, trading_date, last_price + id % 2 + case when id % 10 = 0 then 1 else 0 end as last_price, volume, id
+ from quotes)""",
     "sightings": """
 sightings as (
  select order_id, seq, symbol, side, order_status, price, trading_date, order_value, net_value,
@@ -173,11 +174,10 @@ summaries as (
  select *, cast(captured_at as date) as trading_date,
   case when hour(captured_at) >= 20 then 'STALE' when hour(captured_at) >= 18 then 'CLOSE' else 'LIVE' end as session_state
  from (
-  select date_trunc('hour', ts) as captured_at, count(*) filter (event_type = 'view') as advancing,
+  select date_trunc('hour', ts - to_days(case when dayofmonth(ts) % 3 = 0 then 1 else 0 end)) as captured_at, count(*) filter (event_type = 'view') as advancing,
    count(*) filter (event_type = 'click') as declining, count(*) filter (event_type = 'error') as unchanged,
    count(*) as symbols_traded, cast(sum(floor(value)) as bigint) as total_volume
-  from events group by 1)
- where dayofmonth(captured_at) % 3 <> 0)""",
+  from events group by 1))""",
 }
 
 

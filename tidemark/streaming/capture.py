@@ -47,15 +47,25 @@ def store(quotes: DataFrame, path: str, rejects: str, keys: list[str], order: st
     return quotes.writeStream.foreachBatch(put)
 
 
+def _keep(state: GroupState, at, after: str) -> None:
+    """Let state time out once the watermark is ``after`` past its latest row."""
+    due = int((at + pd.Timedelta(after)).timestamp() * 1000)
+    state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+
+
 def merged_frames(frames: DataFrame, fields: tuple[str, ...], limits: Limits = LIMITS) -> DataFrame:
     """Partial frames of each symbol merged field by field, the last known value of each; a row for each batch's symbols.
 
-    ``stale`` marks a symbol whose price is older than the allowed lateness; nothing is dropped.
+    ``stale`` marks a symbol whose price is older than five minutes. A symbol not seen for a week is forgotten.
     """
+    frames = frames.withWatermark("ts", f"{limits.late_minutes} minutes")
     schema = ", ".join(["symbol string", "ts timestamp", *(f"{f} double" for f in fields), "stale boolean"])
     state_schema = ", ".join(["ts timestamp", "priced timestamp", *(f"{f} double" for f in fields)])
 
     def merge(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         ts, priced, *had = state.get if state.exists else (None, None, *[None] * len(fields))
         for part in parts:
             for row in part.sort_values("ts").itertuples(index=False):
@@ -66,10 +76,11 @@ def merged_frames(frames: DataFrame, fields: tuple[str, ...], limits: Limits = L
                         had[k] = float(v)
                         priced = ts if k == 0 else priced
         state.update((ts, priced, *had))
+        _keep(state, ts, "7 days")
         stale = priced is None or (ts - priced).total_seconds() > 5 * 60
         yield pd.DataFrame([(key[0], ts, *had, stale)], columns=["symbol", "ts", *fields, "stale"])
 
-    return frames.groupBy("symbol").applyInPandasWithState(merge, schema, state_schema, "update", GroupStateTimeout.NoTimeout)
+    return frames.groupBy("symbol").applyInPandasWithState(merge, schema, state_schema, "update", GroupStateTimeout.EventTimeTimeout)
 
 
 SNAPSHOT = "symbol string, ts timestamp, volume_delta long, bid_age_secs long, offer_age_secs long, bid_change long, offer_change long"
@@ -84,10 +95,17 @@ def _float(x):
     return None if x is None or x != x else float(x)
 
 
-def snapshots(observations: DataFrame) -> DataFrame:
-    """Snapshots with state carried from one batch to the next; an observation that isn't newer is skipped."""
+def snapshots(observations: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Snapshots with state carried from one batch to the next; an observation that isn't newer is skipped.
+
+    A day's state goes once the stream is a day past it.
+    """
+    observations = observations.withWatermark("created_at", f"{limits.late_minutes} minutes")
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         ts, volume, bid, bid_qty, bid_age, offer, offer_qty, offer_age = state.get if state.exists else [None] * 8
         out = []
         for row in pd.concat(list(parts)).sort_values(["created_at", "id"]).itertuples(index=False):
@@ -102,16 +120,24 @@ def snapshots(observations: DataFrame) -> DataFrame:
             out.append((key[0], row.created_at, rise, bid_age, offer_age, diff(bq, bid_qty), diff(oq, offer_qty)))
             ts, volume, bid, bid_qty, offer, offer_qty = row.created_at, v if v is not None else volume, b, bq, o, oq
         state.update((ts, volume, bid, bid_qty, bid_age, offer, offer_qty, offer_age))
+        _keep(state, ts, "1 day")
         names = [c.split()[0] for c in SNAPSHOT.split(", ")]
         yield pd.DataFrame(out, columns=names).astype({n: "Int64" for n in names[2:]})
 
-    return observations.groupBy("symbol", "trading_date").applyInPandasWithState(run, SNAPSHOT, CARRIED, "append", GroupStateTimeout.NoTimeout)
+    return observations.groupBy("symbol", "trading_date").applyInPandasWithState(run, SNAPSHOT, CARRIED, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def alerts(signals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Signals to send, none within ``throttle_secs`` of the last one sent for its symbol and kind."""
+    """Signals to send, none within ``throttle_secs`` of the last one sent for its symbol and kind.
+
+    State goes once the stream is past the throttled stretch and allowed lateness, when it can stop nothing any more.
+    """
+    signals = signals.withWatermark("fired_at", f"{limits.late_minutes} minutes")
 
     def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         rows = pd.concat(list(parts)).sort_values(["fired_at", "id"])
         sent = []
@@ -120,9 +146,10 @@ def alerts(signals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
             last = t if ok else last
             sent.append(ok)
         state.update((last,))
+        _keep(state, last, f"{limits.throttle_secs} seconds")
         yield rows[sent]
 
-    return signals.groupBy("symbol", "signal").applyInPandasWithState(run, signals.schema.simpleString()[7:-1].replace(":", " "), "last timestamp", "append", GroupStateTimeout.NoTimeout)
+    return signals.groupBy("symbol", "signal").applyInPandasWithState(run, signals.schema.simpleString()[7:-1].replace(":", " "), "last timestamp", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def drain(stream: DataFrame, path: str, keys: list[str] | None = None, mode: str = "append") -> DataFrame:
