@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def shared(spark: SparkSession) -> str:
-    """A new name in ``spark.checkpoint.dir``, or in a folder of our own where that is unset (tests)."""
+    """A new name in ``spark.checkpoint.dir``, or in a folder of our own where a local session (tests) leaves that unset."""
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(root)
     return f"{root}/session-{uuid.uuid4().hex}"
