@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ann, lm, mixing, packing, quality_model, quality_rules, secrets, simhash, toxicity, url_rules
+from . import ann, byte_bpe, conversations, fim, lm, mixing, packing, quality_model, quality_rules, secrets, simhash, toxicity, url_rules
 from .common import table
 from .sql import ORACLES
 
@@ -57,6 +58,24 @@ def op10_lexicon_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.trie(table(spark, sf_dir, "conversations"))
+
+
+def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    ids = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), " "), 256).alias("ids_sha256"), "ids")
+    return byte_bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 OPERATORS = (
     op1_pruned_graph_search,
     op2_tiered_packing,
@@ -68,6 +87,9 @@ OPERATORS = (
     op8_rule_cascade,
     op9_log_bilinear_scores,
     op10_lexicon_automata,
+    op11_fill_in_middle,
+    op12_conversation_trie,
+    op13_byte_level_bpe,
 )
 
 

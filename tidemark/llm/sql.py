@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, secrets
+from . import conversations, fim, mixing, secrets
 from .common import WORD
 
 RULES_SQL = f"""
@@ -88,4 +88,41 @@ joined as (
 select doc_id, coalesce(a, 0) as n_assign, coalesce(b, 0) as n_access, coalesce(c, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
 from d left join joined using (rid)""".replace(repr(secrets.KINDS), repr(list(secrets.KINDS)))
 
-ORACLES = {"op3_weighted_fair_mix": MIX_SQL, "op6_ownership_secrets": SECRETS_SQL, "op8_rule_cascade": RULES_SQL}
+FIM_SQL = f"""
+with d as (
+ select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{fim.UNIT}') as u, sha256('1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+s as (
+ select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b, ('0x' || h[17:24])::bigint % 100 as c, ('0x' || h[25:32])::bigint % 100 as e from d),
+cut as (
+ select *, case when t = '' or contains(t, '<P>') or contains(t, '<S>') or contains(t, '<M>') or c >= {fim.CUT_PER_CENT} then 'plain' when e < {fim.SPM_PER_CENT} then 'spm' else 'psm' end as form,
+  array_to_string(u[1:least(a, b)], '') as p, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as m, array_to_string(u[greatest(a, b) + 1:], '') as z from s)
+select doc_id, n, form, case when form <> 'plain' then length(p) end as prefix_chars, case when form <> 'plain' then length(m) end as middle_chars,
+ sha256(case form when 'plain' then t when 'psm' then '<P>' || p || '<S>' || z || '<M>' || m else '<S>' || z || '<P>' || p || '<M>' || m end) as output_sha256, sha256(p || m || z) as restored_sha256 from cut"""
+
+CRC_SQL = """
+-- crc32 byte by byte: the table's entries by eight halvings, then a fold over the characters of a decimal number
+table_ as (select list(v order by i) as entries from (select i, list_reduce(list_prepend(i, range(8)), lambda a, k: case when a % 2 = 1 then xor(a // 2, 3988292384) else a // 2 end) as v from (select unnest(range(256)) as i))),
+crc as (
+ select c, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(c as varchar), ''), lambda x: ascii(x)::bigint)), lambda a, x: xor(a // 256, entries[xor(a % 256, x) + 1])), 4294967295) as crc
+ from (select distinct conv_id as c from conversations where conv_id is not null), table_)"""
+
+TRIE_SQL = f"""
+with {CRC_SQL.strip()},
+own as (
+ select conv_id as c, list(coalesce(role, '') || chr(31) || coalesce(text, '') order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as turns from conversations where conv_id is not null group by 1),
+made as (
+ select o.c, coalesce(b.turns[1:crc % {conversations.SHARES}], []) || o.turns[crc % {conversations.SHARES} + 1:] as turns
+ from own o join crc using (c) left join own b on b.c = o.c - o.c % {conversations.FAMILY}),
+entries as (
+ select c, d, sha256(d || chr(30) || array_to_string(turns[1:d], chr(30))) as k, case when d > 0 then sha256((d - 1) || chr(30) || array_to_string(turns[1:d - 1], chr(30))) end as up,
+  case when d > 0 then strlen(turns[d]) - strlen(split_part(turns[d], chr(31), 1)) - 1 else 0 end as bytes, d = len(turns) as ends
+ from (select *, unnest(range(0, len(turns) + 1)) as d from made)),
+nodes as (
+ select k, any_value(up) as up, any_value(d) as depth, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(bytes) as saved, sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (ends), '')) as ends_sha256 from entries group by k),
+kids as (select up as k, count(*) as n_children from nodes where up is not null group by 1),
+full_ as (select n.*, coalesce(n_children, 0) as n_children from nodes n left join kids using (k)),
+sums as (
+ select e.k, cast(sum(saved) as bigint) as saved_tokens, count(*) filter (n_children = 0) as n_leaves from full_ f join entries e on e.c = f.conv_id and e.d <= f.depth group by 1)
+select f.conv_id, f.depth, p.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256 from full_ f join sums using (k) left join nodes p on p.k = f.up"""
+
+ORACLES = {"op11_fill_in_middle": FIM_SQL, "op12_conversation_trie": TRIE_SQL, "op3_weighted_fair_mix": MIX_SQL, "op6_ownership_secrets": SECRETS_SQL, "op8_rule_cascade": RULES_SQL}
