@@ -1,14 +1,15 @@
 """Byte-level BPE over a whole corpus: each distinct word is encoded once, wherever and however often it occurs.
 
 Encoding: a task cuts its texts into words (pre-tokens) and explodes them with their positions, block by block, a block
-being consecutive texts up to a bound of bytes: a row for each distinct word of the block, and for each document its
-words' numbers in order, packed. The words meet in one global shuffle, each distinct one is encoded once, and its ids are
-joined back to the blocks that have it. Documents are put together by position. So a word is shuffled once a block, not
-once an occurrence, and the hottest word has a row a block, in a join whose skewed partitions Spark can split.
+being consecutive texts up to a bound of words. It emits the distinct words of the block by bucket of their hash, and the
+words of its texts in order as packed numbers. Buckets meet in one global shuffle, where each distinct word is encoded
+once; its ids go back to the blocks that have it, and documents are put together by position. A word is shuffled once a
+block and not once an occurrence, so the hottest word has a row a block, as any word of every block has; nothing is
+written in between, and the whole is one pass over the texts.
 
-Decoding: ids are exploded with their positions and joined with the token-byte table, which has a row for each token of
-the vocabulary: its size is bounded, so it is broadcast. Nothing shuffles, so a document's rows stay in order, and their
-bytes already lie side by side in an Arrow batch.
+Decoding: each document's distinct ids are exploded and joined with the token-byte table, which has a row for each token
+of the vocabulary: its size is bounded, so it is broadcast. Nothing shuffles, so the rows of a document stay together, and
+its bytes are then put together by position.
 
 Defined results: a null text is empty and has no ids; repeated rows are separate documents; texts and words are taken
 whole, however long; an empty table gives an empty table; kept columns may have any name but that of a new one, which
@@ -18,6 +19,8 @@ replaces it. Null ids decode to no bytes; an id outside the vocabulary is an err
 from __future__ import annotations
 
 import base64
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +29,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import written
-
-#: Characters of text at which a block ends (a longer text is a block of its own); they bound what a task holds of one.
+#: Words of text at which a block ends (a longer text is a block of its own); they bound what a task holds of one.
 BLOCK = 1 << 22
+#: Distinct words that a task remembers before it starts afresh; beyond them a word may be encoded again, to the same ids.
+REMEMBERED = 1 << 21
+MOST_BUCKETS = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -38,125 +42,178 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
-def _pack(places: np.ndarray) -> bytes:
+def pack(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32 in few bytes: as many planes of bytes as the largest needs, compressed."""
     import zstandard
 
-    small = not len(places) or places.max() < 1 << 16
-    return (b"h" if small else b"i") + zstandard.compress(places.astype(np.uint16 if small else np.uint32).tobytes(), 1)
+    n = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
+    planes = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
+    return bytes([planes]) + zstandard.compress(np.ascontiguousarray(n[:, :planes].T).tobytes(), 3)
 
 
-def _unpack(packed: bytes) -> np.ndarray:
+def unpack(packed: bytes) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.decompress(packed[1:]), np.uint16 if packed[:1] == b"h" else np.uint32).astype(np.int64)
+    planes = np.frombuffer(zstandard.decompress(packed[1:]), np.uint8).reshape(packed[0], -1)
+    out = np.zeros(planes.shape[1], np.int64)
+    for k, plane in enumerate(planes):
+        out |= plane.astype(np.int64) << (8 * k)
+    return out
 
 
-def explode_words(docs: DataFrame, pattern: str, block: int = BLOCK) -> DataFrame:
-    """From (row, doc, text) a row (block, at, word) for each distinct word of a block, and a row (block, doc, places)
-    for each document: the numbers ``at`` of its words in order, packed."""
-    doc = StructField("doc", docs.schema["doc"].dataType)  # words have none
-    schema = StructType().add("block", "string").add("at", "integer").add("word", "string").add(doc).add("places", "binary")
+def _squeeze(data: bytes) -> bytes:
+    import zstandard
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
+    return zstandard.compress(data, 3)
 
-        words_of = regex.compile(pattern).findall
-        known: dict[str, int] = {}
-        name, size = "", 0
 
-        def words(kind: pa.DataType) -> pa.RecordBatch:
-            n = len(known)
-            return pa.RecordBatch.from_arrays([pa.array([name] * n, pa.string()), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(known), pa.string()), pa.nulls(n, kind), pa.nulls(n, pa.binary())], names=schema.names)
+def _expand(data: bytes) -> bytes:
+    import zstandard
 
-        for batch in batches:
-            docs_, names, places = batch.column(1), [], []
-            for row, text in zip(batch.column(0).to_pylist(), batch.column(2)):
-                text = text.as_py() or ""
-                if size and size + len(text) > block:
-                    yield words(docs_.type)
-                    known, size = {}, 0
-                name, size = name if size else str(row), size + len(text) + 1  # a block is named by its first row
-                found = words_of(text)
-                for w in found:
-                    if w not in known:
-                        known[w] = len(known)
-                places.append(_pack(np.fromiter(map(known.__getitem__, found), np.uint32, len(found))))
-                names.append(name)
-            n = len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()), docs_, pa.array(places, pa.binary())], names=schema.names)
-        if known:
-            yield words(docs_.type)
+    return zstandard.decompress(data)
 
-    return docs.select("row", "doc", "text").mapInArrow(run, schema)
 
+def _rows(doc: StructField) -> StructType:
+    """Rows of a block: its buckets of words (part: the bucket), its order (the number of buckets), its documents (one more)."""
+    return StructType().add("block", "string").add("part", "integer").add("nth", "integer").add("n", "integer").add(doc).add("sizes", "binary").add("data", "binary")
 
-def encode_words(words: DataFrame, ranks_path: str) -> DataFrame:
-    """(word, ids) of each row of (word): all of it is one match, whatever it holds."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tiktoken
+def explode_words(docs: DataFrame, pattern: str, buckets: int, block: int = BLOCK) -> DataFrame:
+    """The rows of all blocks, from (row, doc, text): words in order of bucket, then of falling frequency in the block;
+    the order row has each word's bucket and all places, by rank of frequency; a document's row the number of its words."""
+    schema = _rows(StructField("doc", docs.schema["doc"].dataType))
 
-        whole = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=read_ranks(ranks_path), special_tokens={})
-        for batch in batches:
-            ids = [whole.encode_ordinary(w) for w in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["word", "ids"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
 
-    return words.select("word").mapInArrow(run, "word string, ids array<int>")
+        words_of = regex.compile(pattern).findall
 
+        def closed() -> pa.RecordBatch:
+            at = np.concatenate([np.zeros(0, np.int64), *places])
+            order = np.argsort(-np.bincount(at, minlength=len(known)), kind="stable")
+            rank = np.empty(len(known), np.int64)
+            rank[order] = np.arange(len(known))
+            words = list(known)
+            raw = [words[k].encode() for k in order.tolist()]
+            bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int64, len(raw))
+            by = np.argsort(bucket, kind="stable")
+            used, begins = np.unique(bucket[by], return_index=True)
+            sizes, data = [], []
+            for members in np.split(by, begins[1:]) if len(used) else []:
+                ws = [raw[k] for k in members.tolist()]
+                sizes.append(pack(np.fromiter(map(len, ws), np.int64, len(ws))))
+                data.append(_squeeze(b"".join(ws)))
+            m, k = len(places), len(used)
+            kept = pa.concat_arrays(docs_)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([name] * (k + 1 + m), pa.string()),
+                    pa.array([*used.tolist(), buckets, *[buckets + 1] * m], pa.int32()),
+                    pa.array([0] * (k + 1) + list(range(m)), pa.int32()),
+                    pa.array([0] * (k + 1) + [len(p) for p in places], pa.int32()),
+                    pa.concat_arrays([pa.nulls(k + 1, kept.type), kept]),
+                    pa.array([*sizes, pack(bucket), *[None] * m], pa.binary()),
+                    pa.array([*data, pack(rank[at]), *[None] * m], pa.binary()),
+                ],
+                names=schema.names,
+            )
+
+        known: dict[str, int] = defaultdict()
+        known.default_factory = known.__len__
+        name, size, places, docs_ = "", 0, [], []
+        for batch in batches:
+            begin = 0
+            for k, (row, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2))):
+                found = words_of(text.as_py() or "")
+                if places and size + len(found) > block:
+                    docs_.append(batch.column(1).slice(begin, k - begin))
+                    yield closed()
+                    known.clear()
+                    size, places, docs_, begin = 0, [], [], k
+                name = name if places else str(row)  # a block is named by its first row
+                places.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)).astype(np.uint32))
+                size += len(found)
+            docs_.append(batch.column(1).slice(begin))
+        if places:
+            yield closed()
 
-class _Words:
-    """The ids of a block's words by their number: one flat array and where each word starts in it."""
+    return docs.select("row", "doc", "text").mapInArrow(run, schema)
 
-    def __init__(self, at: list[int], ids: list[np.ndarray]):
-        n = np.zeros(len(ids), np.int64)
-        n[at] = [len(x) for x in ids]
-        self.starts = np.concatenate(([0], np.cumsum(n)))
-        self.flat = np.empty(self.starts[-1], np.int32)
-        for k, x in zip(at, ids):
-            self.flat[self.starts[k] : self.starts[k + 1]] = x
 
-    def of(self, places: np.ndarray) -> np.ndarray:
-        n = self.starts[places + 1] - self.starts[places]
-        ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.flat[np.repeat(self.starts[places] - (ends - n), n) + np.arange(total)]
+def encode_words(parts: DataFrame, ranks_path: str, buckets: int) -> DataFrame:
+    """Rows of blocks with ids in place of words: sizes are numbers of ids. A word is one match, whatever it holds."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import tiktoken
 
-def _together(parts: DataFrame) -> DataFrame:
-    """(doc, ids) from the sorted rows of each block: its words' ids (at, ids) first, then its documents' places."""
+        one = tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=read_ranks(ranks_path), special_tokens={}).encode_ordinary
+        known: dict[bytes, list[int]] = {}
+        for batch in batches:
+            sizes, data = [], []
+            for part, size, raw in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist()):
+                if part < buckets:
+                    ends, text, ids, at = np.cumsum(unpack(size)).tolist(), _expand(raw), [], 0
+                    for end in ends:
+                        word = text[at:end]
+                        at = end
+                        got = known.get(word)
+                        if got is None:
+                            if len(known) >= REMEMBERED:
+                                known.clear()
+                            got = known[word] = one(word.decode())
+                        ids.append(got)
+                    size, raw = pack(np.fromiter(map(len, ids), np.int64, len(ids))), pack(np.fromiter((i for x in ids for i in x), np.int64))
+                sizes.append(size)
+                data.append(raw)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sizes, pa.binary()), pa.array(data, pa.binary())], names=batch.schema.names)
+
+    return parts.mapInArrow(run, parts.schema)
+
+
+def _together(parts: DataFrame, buckets: int) -> DataFrame:
+    """(doc, ids) from the sorted rows of each block: its words' ids, its order, its documents."""
     schema = StructType().add(parts.schema["doc"]).add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, at, ids, words = None, [], [], None
+        sizes, ids = [], []
         for batch in batches:
-            docs, out, kept = batch.column(2), [], []
-            for k, (name, number, word_ids, places) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), batch.column(4).to_pylist())):
-                if name != block:
-                    block, at, ids, words = name, [], [], None
-                if places is None:
-                    at.append(number)
-                    ids.append(word_ids.values.to_numpy(zero_copy_only=False))
-                    continue
-                words = words or _Words(at, ids)
-                out.append(words.of(_unpack(places)))
-                kept.append(k)
-            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *out])))
-            yield pa.RecordBatch.from_arrays([docs.take(pa.array(kept, pa.int64())), lists], names=schema.names)
-
-    return parts.select("block", "at", "doc", "ids", "places").mapInArrow(run, schema)
+            kept, out = [], []
+            for k, (part, n, size, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 3, 5, 6)))):
+                if part < buckets:
+                    sizes.append(unpack(size))
+                    ids.append(unpack(data).astype(np.int32))
+                elif part == buckets:  # all words of the block have come, in order of bucket
+                    none = np.zeros(0, np.int64)
+                    lengths, flat = np.concatenate([none, *sizes]), np.concatenate([none.astype(np.int32), *ids])
+                    by = np.argsort(unpack(size), kind="stable")
+                    starts, lens = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
+                    starts[by], lens[by] = np.cumsum(lengths) - lengths, lengths
+                    places, at = unpack(data), 0
+                    sizes, ids = [], []
+                else:
+                    p = places[at : at + n]
+                    at += n
+                    m = lens[p]
+                    ends = np.cumsum(m)
+                    total = int(ends[-1]) if n else 0
+                    out.append(flat[np.repeat(starts[p] - (ends - m), m) + np.arange(total)])
+                    kept.append(k)
+            if kept:
+                ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out)))
+                yield pa.RecordBatch.from_arrays([batch.column(4).take(pa.array(kept, pa.int64())), lists], names=schema.names)
+
+    return parts.mapInArrow(run, schema)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK) -> DataFrame:
     """The kept columns of each document and its ids."""
+    buckets = min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
     slim = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("doc"), F.col(text).cast("string").alias("text"))
-    rows = written(explode_words(slim, pattern, block))
-    words = rows.where("places is null").select("block", "at", "word")
-    known = encode_words(words.select("word").distinct(), ranks_path)
-    back = words.join(known, "word").select("block", "at", "ids")
-    both = back.unionByName(rows.where("places is not null").select("block", "doc", "places"), allowMissingColumns=True)
-    ordered = both.repartition("block").sortWithinPartitions("block", F.col("places").isNotNull())
-    return _together(ordered).select(*(F.col(f"doc.`{c}`").alias(c) for c in keep if c != "ids"), "ids")
+    rows = explode_words(slim, pattern, buckets, block)
+    met = rows.repartition(F.when(F.col("part") < buckets, F.col("part").cast("string")).otherwise(F.col("block")))
+    back = encode_words(met, ranks_path, buckets).repartition("block").sortWithinPartitions("block", "part", "nth")
+    return _together(back, buckets).select(*(F.col(f"doc.`{c}`").alias(c) for c in keep if c != "ids"), "ids")
 
 
 def token_bytes(spark: SparkSession, ranks_path: str) -> DataFrame:
@@ -168,37 +225,54 @@ def token_bytes(spark: SparkSession, ranks_path: str) -> DataFrame:
 def decode(rows: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
     """The other columns of ``rows`` and ``decoded``, the bytes of their ids."""
     rest = [c for c in rows.columns if c not in (ids, "decoded")]
-    each = rows.select(F.struct(*rest).alias("doc") if rest else F.struct(F.lit(0).alias("_")).alias("doc"), F.posexplode_outer(F.col(ids)).alias("pos", "id"))
+    whole = F.struct(*rest, F.coalesce(F.col(ids).cast("array<int>"), F.array().cast("array<int>")).alias("_ids"))
+    each = rows.select(whole.alias("doc")).select("doc", F.posexplode_outer(F.array_distinct("doc._ids")).alias("pos", "id"))
     each = each.select(F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("doc")).alias("doc"), F.coalesce("pos", F.lit(0)).alias("pos"), "id")
-    got = each.join(F.broadcast(token_bytes(rows.sparkSession, ranks_path)), "id", "left")
-    known = F.when(F.col("id").isNotNull() & F.col("bytes").isNull(), F.raise_error(F.concat(F.lit("no token has the id "), F.col("id").cast("string"))).cast("binary")).otherwise(F.col("bytes"))
-    schema = StructType([StructField("doc", got.schema["doc"].dataType), StructField("decoded", BinaryType())])
+    got = each.join(F.broadcast(token_bytes(rows.sparkSession, ranks_path)), "id", "left").select("doc", "pos", "id", "bytes")
+    kept = StructField("doc", StructType(got.schema["doc"].dataType.fields[:-1] or [StructField("_", IntegerType())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        doc, pieces, nth = None, [], 0
+        """A document's row with its distinct ids, the first of them beside the document itself."""
+        doc, wanted, found, tokens, nth = None, None, [], [], 0
+
+        def decoded() -> bytes:
+            known, data = np.concatenate(found), pa.concat_arrays(tokens)
+            if not len(wanted):
+                return b""
+            if data.null_count:
+                raise ValueError(f"no token has the id {int(known[data.is_null().to_numpy(zero_copy_only=False)][0])}")
+            order = np.argsort(known, kind="stable")
+            got = data.take(pa.array(order[np.searchsorted(known[order], wanted)])).cast(pa.large_binary())
+            ends = np.frombuffer(got.buffers()[1], np.int64, len(got) + 1, got.offset * 8)
+            return bytes(memoryview(got.buffers()[2])[ends[0] : ends[-1]])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            docs, pos, data = batch.column(0), batch.column(1).to_numpy(), batch.column(2)
-            ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
-            raw = memoryview(data.buffers()[2] or b"")
-            begins = np.flatnonzero(pos == 0)
+            docs, pos, id_, data = batch.column(0), batch.column(1).to_numpy(), batch.column(2), batch.column(3)
             if (pos[1:] - pos[:-1] != 1)[pos[1:] != 0].any() or (pos[0] and pos[0] != nth):
                 raise RuntimeError("ids of a document came out of order")
             nth = int(pos[-1]) + 1
-            done, decoded = [], []
-            at = 0
-            for b in begins.tolist():
-                if doc is not None:
-                    pieces.append(bytes(raw[ends[at] : ends[b]]))
-                    done.append(doc)
-                    decoded.append(b"".join(pieces))
-                doc, pieces, at = docs.slice(b, 1), [], b
-            pieces.append(bytes(raw[ends[at] : ends[-1]]))
+            begins = np.flatnonzero(pos == 0).tolist()
+            done, out = [], []
+            for b, e in zip([*([0] if pos[0] else []), *begins], [*begins[0 if pos[0] else 1 :], len(pos)]):
+                if pos[b] == 0:
+                    if doc is not None:
+                        done.append(doc)
+                        out.append(decoded())
+                    doc, found, tokens = docs.slice(b, 1), [], []
+                    wanted = doc.field(doc.type.num_fields - 1)[0].values.to_numpy(zero_copy_only=False)
+                found.append(id_.slice(b, e - b).fill_null(-1).to_numpy(zero_copy_only=False))
+                tokens.append(data.slice(b, e - b))
             if done:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(done), pa.array(decoded, pa.binary())], names=schema.names)
+                yield finished(done, out)
         if doc is not None:
-            yield pa.RecordBatch.from_arrays([doc, pa.array([b"".join(pieces)], pa.binary())], names=schema.names)
+            yield finished([doc], [decoded()])
+
+    def finished(docs: list, out: list) -> pa.RecordBatch:
+        every = pa.concat_arrays(docs)
+        fields = [every.field(k) for k in range(every.type.num_fields - 1)] or [pa.nulls(len(every), pa.int32())]
+        return pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, names=kept.dataType.names), pa.array(out, pa.binary())], names=["doc", "decoded"])
 
-    out = got.select("doc", "pos", known.alias("bytes")).mapInArrow(run, schema)
+    out = got.mapInArrow(run, StructType([kept, StructField("decoded", BinaryType())]))
     return out.select(*(F.col(f"doc.`{c}`").alias(c) for c in rest), "decoded")

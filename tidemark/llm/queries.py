@@ -72,7 +72,7 @@ def op13_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ids = byte_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    ids = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.transform("ids", lambda x: x.cast("string")), " "), 256).alias("ids_sha256"), "ids")
+    ids = ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), "ids")
     return byte_bpe.decode(ids, path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
