@@ -1,5 +1,6 @@
 """Packing, URL rules, quality model and toxicity."""
 
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -113,14 +114,14 @@ def test_urls(url, host, path, hit):
 def test_url_verdicts(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url").withColumn("host", F.lit(1))
     pages = pages.unionByName(spark.createDataFrame([(None, None, 1), (7, "", 1), (7, "", 1)], pages.schema))
-    rules = url_rules.mine(pages)
+    rules, strength = url_rules.mine(pages)
     assert rules and all(c >= url_rules.CONFIDENCE and s >= url_rules.SUPPORT for _, _, c, s in rules)
     # support and confidence by counting, and the index against trying every rule
     baskets = []
     for r in pages.collect():
         h, p = url_rules.split_url(r.url)
         if t := url_rules.tokens(r.url, h, p):
-            baskets.append(({*t}, url_rules.label(h, p)))
+            baskets.append(({*url_rules.telling(t, strength)}, url_rules.label(h, p)))
     for items, verdict, c, s in rules[:50]:
         with_items = [v for t, v in baskets if set(items) <= t]
         assert abs(with_items.count(verdict) / len(with_items) - c) < 1e-9
@@ -132,7 +133,7 @@ def test_url_verdicts(spark):
     for r in got:
         if r.page_id in url_of:
             h, p = url_rules.split_url(url_of[r.page_id])
-            t = set(url_rules.tokens(url_of[r.page_id], h, p))
+            t = set(url_rules.telling(url_rules.tokens(url_of[r.page_id], h, p), strength))
             slow = next((v for items, v, _, _ in rules if set(items) <= t), "allow")
             hit = url_rules.explicit(h, p)
             assert (r.host, r.path, r.rule, r.verdict) == (h, p, *(hit or (None, slow)))
@@ -145,16 +146,14 @@ def test_no_rule_is_missing(spark):
     """Verdicts by the pruned rules are those by all rules, counted from all subsets of all pages' tokens."""
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url")
     support, confidence = 0.02, 0.8
-    rules = url_rules.mine(pages, support=support, confidence=confidence)
+    rules, strength = url_rules.mine(pages, support=support, confidence=confidence)
     baskets = []
     for r in pages.collect():
         h, p = url_rules.split_url(r.url)
         if t := url_rules.tokens(r.url, h, p):
-            baskets.append((t, url_rules.label(h, p)))
-    single = Counter(x for t, _ in baskets for x in t)
+            baskets.append((url_rules.telling(t, strength), url_rules.label(h, p)))
     seen, hits = Counter(), Counter()
     for t, v in baskets:
-        t = [x for x in t if single[x] >= support * len(baskets)]
         for n in range(1, len(t) + 1):
             for items in combinations(t, n):
                 seen[items] += 1
@@ -168,6 +167,34 @@ def test_no_rule_is_missing(spark):
         assert url_rules.match(index, t) == best[0]
 
 
+def test_many_query_keys_do_not_multiply_rules(spark):
+    """Pages of 20 keys, each page lacking another: every set of keys is frequent, of every support there is."""
+    keys = [f"k{k}" for k in range(20)]
+    many = [(k, f"https://{'casino-' if k % 3 == 0 else ''}a.example/x?" + "&".join(f"{x}=1" for x in keys if x != keys[k])) for k in range(20)]
+    rest = [(100 + k, f"https://h{k % 50}.example/{'de' if k % 2 else 'fr'}/{k}") for k in range(980)]
+    pages = spark.createDataFrame(many + rest, "page_id long, url string")
+    began = time.time()
+    rules, strength = url_rules.mine(pages)
+    assert time.time() - began < 60 and sum(t.startswith("query=") for t in strength) == 20
+    assert len(rules) <= 2**url_rules.WIDTH / url_rules.SUPPORT
+    got = {r.page_id: r.verdict for r in url_rules.judge(pages).collect()}
+    assert all((got[k] == "block") == (k % 3 == 0) for k in range(20)) and all(got[100 + k] == "allow" for k in range(980))
+
+
+def test_a_label_repeated_many_times_crowds_nothing_out(spark):
+    """13,000 copies of one bad document beside 39 good ones: the model still tells them apart, as with one copy."""
+    good = [(k, f"a calm and well made sentence number {k} about rivers, towns and the people who live there") for k in range(1, 60) if zlib.crc32(str(k).encode()) % 4 != 2][:39]
+    bad = [(1000, "### $$$ BUY BUY NOW!!! ### $$$")]
+    labels = spark.createDataFrame([(k, 1) for k, _ in good] + [(1000, 0)] * 3, "doc_id long, quality int")
+    assert zlib.crc32(b"1000") % 4 != 2
+    one = spark.createDataFrame(good + bad, "doc_id long, text string")
+    many = spark.createDataFrame(good, "doc_id long, text string").unionByName(spark.range(13_000).select(F.lit(1000).cast("long").alias("doc_id"), F.lit(bad[0][1]).alias("text")))
+    trained = [quality_model.train(x, labels, "doc_id", "text", "quality", quality_model.FOLDS, quality_model.MOST_LABELLED) for x in (one, many)]
+    assert np.allclose(trained[0][0], trained[1][0]) and trained[0][0].any() and trained[0][1:] == trained[1][1:]
+    rare, stand = quality_model.stratified(labels, "quality", "doc_id", quality_model.FOLDS, 8)
+    assert rare.where("_label = 0").count() == 1 and rare.count() == 5 and stand[1] == 39 / 4 and stand[0] == 1
+
+
 def accuracy(out, labels, label):
     both = out.join(labels.select("doc_id", label), "doc_id").where("held_out").select("predicted", label).collect()
     return sum(r.predicted == r[label] for r in both) / len(both)
@@ -233,12 +260,67 @@ def test_learnt_terms_are_caught_misspelled(spark):
     rows = [(k, t) for k, t, _ in toxic + clean] + [(500, "a schwachkobf again"), (501, "a schwachkopg again"), (502, "nothing at all")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(k, y) for k, _, y in toxic + clean], "doc_id long, toxic int")
-    learnt, ordinary, weights = toxicity.learn(docs, labels, "doc_id", "text", "toxic", toxicity.FOLDS, 1000)
-    assert "schwachkopf" in learnt and "schwachkopg" in ordinary and (weights >= 0).all()
+    taught = toxicity.learn(docs, labels, "doc_id", "text", "toxic", toxicity.FOLDS, 1000)
+    assert "schwachkopf" in taught["learnt"] and "schwachkopg" in taught["ordinary"] and (taught["weights"] >= 0).all()
     got = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
     assert got[500] > 0 and got[501] == got[502] == 0
-    scorer = toxicity.Scorer(toxicity.TERMS, learnt, ordinary, weights)
-    assert all(abs(got[k] - (1 - np.exp(-(scorer.features(t) * weights).sum()))) < 1e-9 for k, t in rows)
+    scorer = toxicity.Scorer(toxicity.TERMS, **taught)
+    assert all(abs(got[k] - (1 - np.exp(-(scorer.features(t) * taught["weights"]).sum()))) < 1e-9 for k, t in rows)
+
+
+def plain_features(text, terms, learnt, ordinary, reporting, address):
+    """Kinds and settings of hits by edit distances and windows, word by word."""
+    words = (text or "").encode().split()
+    bare = [w.strip(toxicity.EDGE).lower() for w in words]
+
+    def hit(b):
+        for k, lexicon in enumerate((terms, learnt)):
+            costs = []
+            for form in {b, b.translate(toxicity.LEET)}:
+                w = form.decode("utf-8", "replace")
+                costs += [0 for t in lexicon if t.endswith("*") and w.startswith(t[:-1])]
+                costs += [d for t in lexicon if not t.endswith("*") and (d := edit_distance(w, t)) <= toxicity.edits_of(t)]
+            if costs and not (min(costs) and b.decode("utf-8", "replace") in ordinary):
+                return 2 * k + (min(costs) > 0)
+        return None
+
+    out, counted = np.zeros(16), set()
+    for i, b in enumerate(bare):
+        kind = hit(b)
+        if kind is None or (kind >= 2 and b in counted):
+            continue
+        counted |= {b} if kind >= 2 else set()
+        near = set(bare[max(0, i - 6) : i + 7])
+        quoted = bool(near & reporting) or any(q in w for w in words[max(0, i - 2) : i + 3] for q in toxicity.QUOTES)
+        out[4 * kind + 2 * quoted + bool(near & address)] += 1
+    return out
+
+
+def test_settings_by_definition():
+    rng = np.random.default_rng(6)
+    learnt, ordinary, reporting, address = ["schwachkopf", "bloe*"], {"idiom"}, frozenset({b"sagte", b"said"}), frozenset({b"du", b"you"})
+    pool = ["idiot", "1diot!", "idiom", "idiott", "morron", "\"moron\"", "schwachkopf", "schwachkobf,", "bloedel", "stupid,", "du", "you", "said", "sagte:", "«plain»", *[f"w{k}" for k in range(12)]]
+    scorer = toxicity.Scorer(toxicity.TERMS, learnt, ordinary, reporting=reporting, address=address)
+    seen = np.zeros(16)
+    for _ in range(300):
+        text = " ".join(rng.choice(pool, rng.integers(0, 40)))
+        got = scorer.features(text)
+        assert (got == plain_features(text, toxicity.TERMS, learnt, ordinary, reporting, address)).all(), text
+        seen += got
+    assert (seen > 0).all()
+
+
+def test_context_words_are_learnt(spark):
+    """Words that stand by a term in clean texts only come to mean a quotation, others in toxic ones an address."""
+    rest = " ".join(f"nummer {w}" for w in ("eins", "zwei", "drei", "vier", "acht", "neun", "zehn", "elf"))
+    toxic = [(k, f"hau ab {'dein' if k % 2 else 'euch'} idiot nummer {k} und weg hier {rest}", 1) for k in range(1, 60)]
+    clean = [(100 + k, f"der richter zitierte idiot nummer {k} im urteil und dann {rest}", 0) for k in range(60)]
+    docs = spark.createDataFrame([(k, t) for k, t, _ in toxic + clean], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in toxic + clean], "doc_id long, toxic int")
+    taught = toxicity.learn(docs, labels, "doc_id", "text", "toxic", toxicity.FOLDS, 1000)
+    assert b"zitierte" in taught["reporting"] and b"dein" in taught["address"] and not {b"nummer"} & (taught["reporting"] | taught["address"])
+    got = {r.doc_id: r.score for r in toxicity.score(docs, labels).collect()}
+    assert min(got[k] for k, _, _ in toxic) > 0.5 > max(got[k] for k, _, _ in clean)
 
 
 def test_weights_follow_the_labels():

@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tidemark.llm import queries
 from tidemark.llm import mixing, quality_rules, secrets
 from tidemark.llm.common import written
 from tidemark.llm.queries import tokenizer_path
@@ -127,3 +128,15 @@ def test_packing(stages):
 def test_run(spark, stages):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == list(stages[5][1][0].__fields__) and out.count() > 0
+
+
+def test_a_run_removes_only_its_own_tables(spark):
+    """Queries built before a run, and an earlier run's result, still give their rows after it."""
+    small = "/root/testdata/sf0.001"
+    mix = queries.op3_weighted_fair_mix(spark, small)
+    first = corpus_pipeline.run(spark, small)
+    second = corpus_pipeline.run(spark, small)
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    alone = corpus_pipeline.STAGES[3][1](spark, docs, small)
+    assert mix.count() == docs.count() and alone.count() > 0
+    assert sorted(map(str, first.collect())) == sorted(map(str, second.collect()))

@@ -1,5 +1,7 @@
 """SimHash groups against brute force."""
 
+import random
+
 import numpy as np
 import pytest
 import xxhash
@@ -200,3 +202,19 @@ def test_clashing_columns(spark, docs):
 def test_empty(docs):
     none = docs.where("false")
     assert simhash.near_duplicates(none).count() == simhash.keep_one(none).count() == 0
+
+
+@pytest.mark.parametrize("most", [3, 1 << 20])
+def test_keys_that_are_shared(spark, most):
+    """Every two rows of a key still meet, however few rows a task holds; keys of one row are gone."""
+    rng = random.Random(3)
+    rows = sorted({(rng.choice([5, 5, 5, 7, rng.randrange(200)]) - 100, rng.randrange(60)) for _ in range(900)} | {(k, i) for k in (1001, 1002) for i in (1, 2, 3)})
+    want = {frozenset((a, b)) for k, a in rows for k2, b in rows if k == k2 and a != b}
+    df = spark.createDataFrame(rows, "k2 long, id long").repartition(5)
+    got = simhash._shared(df, most).collect()
+    by: dict = {}
+    for r in got:
+        by.setdefault(r.k2, []).append(r.id)
+    assert {frozenset((a, b)) for ids in by.values() for a in ids for b in ids if a != b} == want
+    assert all(len(ids) > 1 and len(set(ids)) == len(ids) for ids in by.values())
+    assert len(by) < len({k for k, _ in rows})

@@ -34,6 +34,8 @@ BLOCK = 1 << 22
 #: Distinct words that a task remembers before it starts afresh; beyond them a word may be encoded again, to the same ids.
 REMEMBERED = 1 << 21
 MOST_BUCKETS = 1 << 16
+#: Ids that a task hands on at a time.
+GIVEN = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,7 +48,7 @@ def pack(numbers: np.ndarray) -> bytes:
     """Numbers below 2**32 in few bytes: as many planes of bytes as the largest needs, compressed."""
     import zstandard
 
-    n = numbers.astype("<u4").view(np.uint8).reshape(-1, 4)
+    n = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4)
     planes = max(1, (int(numbers.max()).bit_length() + 7) // 8) if len(numbers) else 1
     return bytes([planes]) + zstandard.compress(np.ascontiguousarray(n[:, :planes].T).tobytes(), 3)
 
@@ -55,10 +57,9 @@ def unpack(packed: bytes) -> np.ndarray:
     import zstandard
 
     planes = np.frombuffer(zstandard.decompress(packed[1:]), np.uint8).reshape(packed[0], -1)
-    out = np.zeros(planes.shape[1], np.int64)
-    for k, plane in enumerate(planes):
-        out |= plane.astype(np.int64) << (8 * k)
-    return out
+    out = np.zeros((planes.shape[1], 4), np.uint8)
+    out[:, : packed[0]] = planes.T
+    return out.reshape(-1).view("<u4")
 
 
 def _squeeze(data: bytes) -> bytes:
@@ -89,10 +90,10 @@ def explode_words(docs: DataFrame, pattern: str, buckets: int, block: int = BLOC
         words_of = regex.compile(pattern).findall
 
         def closed() -> pa.RecordBatch:
-            at = np.concatenate([np.zeros(0, np.int64), *places])
+            at = np.concatenate([np.zeros(0, np.uint32), *places])
             order = np.argsort(-np.bincount(at, minlength=len(known)), kind="stable")
-            rank = np.empty(len(known), np.int64)
-            rank[order] = np.arange(len(known))
+            rank = np.empty(len(known), np.uint32)
+            rank[order] = np.arange(len(known), dtype=np.uint32)
             words = list(known)
             raw = [words[k].encode() for k in order.tolist()]
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in raw), np.int64, len(raw))
@@ -131,7 +132,7 @@ def explode_words(docs: DataFrame, pattern: str, buckets: int, block: int = BLOC
                     known.clear()
                     size, places, docs_, begin = 0, [], [], k
                 name = name if places else str(row)  # a block is named by its first row
-                places.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)).astype(np.uint32))
+                places.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
                 size += len(found)
             docs_.append(batch.column(1).slice(begin))
         if places:
@@ -152,7 +153,7 @@ def encode_words(parts: DataFrame, ranks_path: str, buckets: int) -> DataFrame:
             sizes, data = [], []
             for part, size, raw in zip(batch.column(1).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist()):
                 if part < buckets:
-                    ends, text, ids, at = np.cumsum(unpack(size)).tolist(), _expand(raw), [], 0
+                    ends, text, ids, at = np.cumsum(unpack(size), dtype=np.int64).tolist(), _expand(raw), [], 0
                     for end in ends:
                         word = text[at:end]
                         at = end
@@ -176,32 +177,40 @@ def _together(parts: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, ids = [], []
+
+        def some(docs: pa.Array, kept: list[int], out: list[np.ndarray]) -> pa.RecordBatch:
+            ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out)))
+            return pa.RecordBatch.from_arrays([docs.take(pa.array(kept, pa.int64())), lists], names=schema.names)
+
         for batch in batches:
-            kept, out = [], []
+            kept, out, held = [], [], 0
             for k, (part, n, size, data) in enumerate(zip(*(batch.column(c).to_pylist() for c in (1, 3, 5, 6)))):
                 if part < buckets:
                     sizes.append(unpack(size))
                     ids.append(unpack(data).astype(np.int32))
                 elif part == buckets:  # all words of the block have come, in order of bucket
                     none = np.zeros(0, np.int64)
-                    lengths, flat = np.concatenate([none, *sizes]), np.concatenate([none.astype(np.int32), *ids])
+                    lengths, flat = np.concatenate([none, *sizes]).astype(np.int64), np.concatenate([none.astype(np.int32), *ids])
                     by = np.argsort(unpack(size), kind="stable")
                     starts, lens = np.empty(len(by), np.int64), np.empty(len(by), np.int64)
                     starts[by], lens[by] = np.cumsum(lengths) - lengths, lengths
                     places, at = unpack(data), 0
                     sizes, ids = [], []
                 else:
-                    p = places[at : at + n]
+                    p = places[at : at + n].astype(np.int64)
                     at += n
                     m = lens[p]
                     ends = np.cumsum(m)
                     total = int(ends[-1]) if n else 0
                     out.append(flat[np.repeat(starts[p] - (ends - m), m) + np.arange(total)])
                     kept.append(k)
+                    held += total
+                    if held >= GIVEN:
+                        yield some(batch.column(4), kept, out)
+                        kept, out, held = [], [], 0
             if kept:
-                ends = np.cumsum([0, *map(len, out)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(out)))
-                yield pa.RecordBatch.from_arrays([batch.column(4).take(pa.array(kept, pa.int64())), lists], names=schema.names)
+                yield some(batch.column(4), kept, out)
 
     return parts.mapInArrow(run, schema)
 

@@ -6,6 +6,7 @@ import atexit
 import tempfile
 import uuid
 import zlib
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,12 +31,6 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or named
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
-
-
 _written: list = []
 
 
@@ -51,12 +46,12 @@ def written(df: DataFrame) -> DataFrame:
 
 
 def mark() -> int:
-    """How many tables :func:`written` has made."""
+    """How many tables :func:`written` has made: a place in their order."""
     return len(_written)
 
 
 def drop(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
-    """Remove the tables that :func:`written` has made from one mark to another; for what needs them no more."""
+    """Remove the tables made from one mark to another; only for who made all of them and needs them no more."""
     if spark.sparkContext._jsc is None:
         return
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -75,6 +70,30 @@ def settled(df: DataFrame, since: int) -> DataFrame:
     return out
 
 
+class Chain:
+    """Steps in which each reads what the last one gave, and the tables that they make on the way.
+
+    A step that writes its whole input first no longer needs what earlier steps made, so these tables go, and no others:
+    neither those of another chain nor those of anyone else in the session.
+    """
+
+    def __init__(self) -> None:
+        self.made: list[tuple[int, int]] = []
+
+    def step(self, f: Callable[[DataFrame], DataFrame], whole: bool) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+        def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            since = mark()
+            out = f(docs)
+            if whole:
+                for tables in self.made:
+                    drop(spark, *tables)
+                self.made = []
+            self.made.append((since, mark()))
+            return out
+
+        return run
+
+
 def with_rows(docs: DataFrame) -> DataFrame:
     """(doc, row): each row of ``docs`` whole in one struct, so that no column of its can clash, and a number of its own."""
     return docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
@@ -84,19 +103,22 @@ def field(name: str) -> Column:
     return F.col("doc").getField(name)
 
 
-#: Left rows from which a key is hot.
-HOT = 1 << 16
+#: Left rows from which a key is hot, and hot keys that are broadcast at most.
+HOT, MOST_HOT = 1 << 16, 1 << 16
 
 
 def join_by_key(left: DataFrame, right: DataFrame, on: str, many: str, how: str = "inner", hot: int = HOT) -> DataFrame:
     """``left`` with the one row that ``right`` has for each key; ``many`` of ``right`` counts the left rows of a key.
 
-    Hot keys are broadcast, so that no task gets all left rows of one. They are at most one for every ``hot`` left rows.
+    Hot keys are broadcast, so that no task gets all left rows of one: the hottest, and no more than ``MOST_HOT``, whose
+    size is bounded. A key of a table with over ``hot * MOST_HOT`` left rows may be hot and not among them; those go
+    through the shuffle join, where Spark splits skewed partitions.
     """
     right = right.withColumn(many, F.coalesce(many, F.lit(0)))
-    big = right.where(F.col(many) > hot).drop(many)
-    rest = left.join(F.broadcast(big.select(on)), on, "left_anti").join(right.where(F.col(many) <= hot).drop(many), on, how)
-    return rest.unionByName(left.join(F.broadcast(big), on))
+    big = right.where(F.col(many) > hot).orderBy(F.desc(many), on).limit(MOST_HOT)
+    keys = F.broadcast(big.select(on))
+    rest = left.join(keys, on, "left_anti").join(right.join(keys, on, "left_anti").drop(many), on, how)
+    return rest.unionByName(left.join(F.broadcast(big.drop(many)), on))
 
 
 def in_fold(key: str, modulus: int, fold: int) -> Column:

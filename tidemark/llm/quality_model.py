@@ -78,13 +78,25 @@ class Features:
 
 
 def sample_labels(labels: DataFrame, label: str, key: str, folds: tuple[int, int], most: int) -> DataFrame:
-    """At most ``most`` labelled rows outside the held-out fold, in the order of a hash of the id."""
-    known = labels.where(F.col(label).isin(0, 1) & ~in_fold(key, *folds)).select(F.col(key).alias("_id"), F.col(label).alias("_label"))
+    """At most ``most`` labelled ids outside the held-out fold, in the order of a hash of the id; an id labelled both ways
+    counts with the larger label."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~in_fold(key, *folds)).groupBy(F.col(key).alias("_id")).agg(F.max(label).alias("_label"))
     return known.orderBy(F.md5(F.col("_id").cast("string").cast("binary")), "_label").limit(most)
 
 
-def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 1.0, ridge: float = 3e-4, seed: int = 5) -> tuple[np.ndarray, float, float]:
-    """Weights, threshold and scale. A pair pulls its two texts apart, so a step costs one product over the texts."""
+def stratified(labels: DataFrame, label: str, key: str, folds: tuple[int, int], most: int) -> tuple[DataFrame, dict[int, float]]:
+    """Half of ``most`` ids of each label at most, and how many ids each of them stands for: a rare label is never crowded out."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~in_fold(key, *folds)).groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
+    sizes = {r._label: r["count"] for r in known.groupBy("_label").count().collect()}  # two rows
+    parts = [known.where(F.col("_label") == y).orderBy(F.md5(F.col("_id").cast("string").cast("binary"))).limit(max(1, most // 2)) for y in (0, 1)]
+    return parts[0].unionByName(parts[1]), {y: max(1.0, n / max(1, most // 2)) for y, n in sizes.items()}
+
+
+def fit(x: np.ndarray, y: np.ndarray, stands: np.ndarray | None = None, rounds: int = 150, rate: float = 1.0, ridge: float = 3e-4, seed: int = 5) -> tuple[np.ndarray, float, float]:
+    """Weights, threshold and scale. A pair pulls its two texts apart, so a step costs one product over the texts.
+
+    The threshold is the quantile of scores at the share of bad texts, each text counted as many times as it ``stands`` for.
+    """
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     weights = np.zeros(x.shape[1], np.float32)
     if not len(good) or not len(bad):
@@ -99,33 +111,43 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 150, rate: float = 1.0, ridg
         each = (np.bincount(better, pull, len(x)) - np.bincount(worse, pull, len(x))) / n
         speed = 0.9 * speed + rate * (each.astype(np.float32) @ x - ridge * weights)
         weights += speed
-    strength = np.sort(x @ weights)
-    k = len(bad)
-    threshold = (strength[k - 1] + strength[k]) / 2
-    return weights, float(threshold), float(max(1e-9, np.std(strength)) / 4)
+    strength = x @ weights
+    order = np.argsort(strength, kind="stable")
+    strength, stands = strength[order], (np.ones(len(y)) if stands is None else stands)[order]
+    upto = np.cumsum(stands)
+    k = min(int(np.searchsorted(upto, stands[y[order] == 0].sum() * (1 - 1e-9))), len(y) - 2)
+    mean = np.average(strength, weights=stands)
+    spread = np.sqrt(np.average((strength - mean) ** 2, weights=stands))
+    return weights, float((strength[k] + strength[k + 1]) / 2), float(max(1e-9, spread) / 4)
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: tuple[int, int], most: int) -> tuple[np.ndarray, float, float]:
-    chosen = sample_labels(labels, label, key, folds, most)
-    rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id").select("_label", "_text")
+    """Learn from one text of each chosen id (the first by hash, where rows with its id differ), so that the sample is
+    bounded however often an id is repeated."""
+    chosen, stand = stratified(labels, label, key, folds, most)
+    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
+    firsts = rows.groupBy("_id", "_label").agg(F.min(F.md5(F.col("_text").cast("binary"))).alias("_hash"))  # hashes only are shuffled
+    rows = rows.withColumn("_hash", F.md5(F.col("_text").cast("binary"))).join(F.broadcast(firsts), ["_id", "_label", "_hash"]).select("_id", "_label", "_text")
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
-                x = [features(t) for t in part.column(1).to_pylist()]
+                x = [features(t) for t in part.column(2).to_pylist()]
                 at = [np.flatnonzero(row) for row in x]
                 raw = [i.astype(np.uint16).tobytes() + row[i].tobytes() for i, row in zip(at, x)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(raw, pa.binary())], names=["y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(1).cast(pa.int64()), pa.array(raw, pa.binary())], names=["id", "y", "x"])
 
-    got = rows.mapInArrow(measure, "y long, x binary").orderBy("y", "x").limit(2 * most).toArrow()  # bounded by the sample
+    measured = rows.mapInArrow(measure, "id string, y long, x binary").groupBy("id").agg(F.first("y").alias("y"), F.first("x").alias("x"))
+    got = measured.orderBy("y", "x").toArrow()  # a row an id, bounded by the sample
     x = np.zeros((got.num_rows, Features.size), np.float32)
     for k, raw in enumerate(got["x"]):
         raw = raw.as_py()
         n = len(raw) // 6
         x[k, np.frombuffer(raw, np.uint16, n)] = np.frombuffer(raw, np.float32, n, 2 * n)
-    return fit(x, got["y"].to_numpy())
+    y = got["y"].to_numpy()
+    return fit(x, y, np.array([stand[k] for k in y.tolist()]))
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: tuple[int, int] = FOLDS, most: int = MOST_LABELLED) -> DataFrame:

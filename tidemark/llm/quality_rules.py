@@ -50,10 +50,12 @@ RULES = (
 )
 #: Seconds that asking a rule costs beside what it reads.
 ASKING = 2e-7
+#: Texts that are measured to order the rules: a share of all, and about so many at most.
+FRACTION, MOST_MEASURED = 0.01, 1 << 15
 
 
-def profile(df: DataFrame, rules: tuple[Rule, ...], text: str = "text", fraction: float = 0.01, seed: int = 7) -> tuple[dict[str, float], dict[int, int]]:
-    """From a sample of ``fraction`` of the rows: seconds a text that each property costs beyond those it is made of, and
+def profile(df: DataFrame, rules: tuple[Rule, ...], text: str = "text", fraction: float = FRACTION, most: int = MOST_MEASURED, seed: int = 7) -> tuple[dict[str, float], dict[int, int]]:
+    """From a sample of ``fraction`` of the rows, about ``most`` of them at most: seconds a text that each property costs beyond those it is made of, and
     the number of texts for each set of rejecting rules (bit k: rule k)."""
     used = with_parts(p for r in rules for p in r.reads)
     names = [p for p in MADE_OF if p in used]
@@ -70,7 +72,7 @@ def profile(df: DataFrame, rules: tuple[Rule, ...], text: str = "text", fraction
                 seen[sum(bool(r.rejects(view)) << k for k, r in enumerate(rules))] += 1
         yield pa.RecordBatch.from_pydict({"bits": [*seen, *range(len(names))], "n": [*seen.values(), *[0] * len(names)], "spent": [*[0.0] * len(seen), *spent], "prop": [False] * len(seen) + [True] * len(names)})
 
-    got = df.select(F.col(text)).sample(fraction, seed).mapInArrow(measure, "bits long, n long, spent double, prop boolean")
+    got = df.select(F.col(text)).sample(min(fraction, most / max(1, df.count())), seed).mapInArrow(measure, "bits long, n long, spent double, prop boolean")
     rows = got.groupBy("bits", "prop").agg(F.sum("spent").alias("spent"), F.sum("n").alias("n")).collect()  # bounded by the rules
     seen = {r.bits: r.n for r in rows if not r.prop}
     return {names[r.bits]: r.spent / max(1, sum(seen.values())) for r in rows if r.prop}, seen

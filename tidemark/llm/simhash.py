@@ -44,6 +44,8 @@ WIDE = 256
 COUNTED, COMMON = 1 << 13, 4
 #: Texts of a candidate group that are compared exactly at once.
 EXACT_ROWS = 1 << 10
+#: Of the counted texts, how many make a shingle of theirs a hot one, whose rows never gather; rows of a key that a task holds.
+HOT_TEXTS, MOST_HELD = COUNTED >> 6, 1 << 20
 
 
 def _hashes(words: list, n: int) -> np.ndarray:
@@ -472,7 +474,7 @@ def exact_links(roots: DataFrame, slim: DataFrame, words: int, similarity: float
     leaves (the rest) are then compared with all others of their group, blocks of the rest with each part.
     """
     blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
-    large = written(roots.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > block).select("root", blocks("n").alias("parts")))  # at most one for every ``block`` rows
+    large = written(roots.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") > block).select("root", blocks("n").alias("parts")))  # at most one for every ``block`` rows; broadcast where Spark finds it small
 
     def with_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -481,7 +483,7 @@ def exact_links(roots: DataFrame, slim: DataFrame, words: int, similarity: float
                 sets = [shingle_set(t, words) for t in part.column(3).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array([wide_fingerprint(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["root", "row", "parts", "print", "set"])
 
-    dealt = roots.join(F.broadcast(large), "root", "left").select("root", F.col("node").alias("row"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    dealt = roots.join(large, "root", "left").select("root", F.col("node").alias("row"), F.coalesce("parts", F.lit(1)).alias("parts"))
     texts = dealt.join(slim.select("row", "text"), "row").select("root", "row", "parts", "text")
     held = written(texts.mapInArrow(with_sets, "root long, row long, parts int, print binary, set binary").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")))
     others, hubs = held.where("row <> root"), held.where("row = root")
@@ -490,7 +492,7 @@ def exact_links(roots: DataFrame, slim: DataFrame, words: int, similarity: float
     met = written(_hub_links(others.select(*names).unionByName(copies.select(*names)), similarity))
     edges = met.where("linked").select(F.col("row").alias("u"), F.col("root").alias("v"))
     rest = met.where("not linked").select("row", "root", "part")
-    sized = rest.groupBy("root").agg(F.count("*").alias("n")).join(F.broadcast(large), "root", "left").select("root", blocks("n").alias("blocks"), F.coalesce("parts", F.lit(1)).alias("parts"))
+    sized = rest.groupBy("root").agg(F.count("*").alias("n")).join(large, "root", "left").select("root", blocks("n").alias("blocks"), F.coalesce("parts", F.lit(1)).alias("parts"))
     sized = sized.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("root", "part", "blocks")
     every = written(others.join(sized, ["root", "part"]))
     if every.isEmpty():
@@ -511,17 +513,24 @@ def _in_pairs(filed: DataFrame, crowd: int) -> DataFrame:
     crowds = written(filed.groupBy("k1", "k2").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k1", "k2", F.ceil(2 * F.col("n") / crowd).cast("long").alias("blocks")))
     if crowds.isEmpty():
         return filed
-    many = filed.join(F.broadcast(crowds), ["k1", "k2"]).withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    many = filed.join(crowds, ["k1", "k2"]).withColumn("b", F.pmod(F.xxhash64("id"), F.col("blocks")))
     many = many.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     pair = F.least("b", "k") * F.col("blocks") + F.greatest("b", "k") + 1
-    return filed.join(F.broadcast(crowds), ["k1", "k2"], "left_anti").unionByName(many.select((pair * (1 << 16) + F.col("k1")).alias("k1"), *filed.columns[1:]))
+    return filed.join(crowds, ["k1", "k2"], "left_anti").unionByName(many.select((pair * (1 << 16) + F.col("k1")).alias("k1"), *filed.columns[1:]))
 
 
-def _shared(postings: DataFrame) -> DataFrame:
-    """(k1, k2, id): the rows (k2, id) whose k2 is not theirs alone, with keys of the same ids made one."""
+def _shared(postings: DataFrame, most: int = MOST_HELD) -> DataFrame:
+    """(k1, k2, id): the rows (k2, id) whose k2 is not theirs alone, with keys of the same ids made one.
+
+    A task holds ``most`` rows of a key; a key of more keeps its own name, and its rows pass through as they come.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
+        passing = None
+
+        def named(key: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids)], names=["k2", "id"])
 
         def find(parts: list) -> pa.RecordBatch:
             key, ids = (np.concatenate([p[k] for p in parts]) for k in range(2))
@@ -529,12 +538,17 @@ def _shared(postings: DataFrame) -> DataFrame:
             n = np.diff(np.append(start, len(key)))
             name = np.repeat(np.add.reduceat(_spread(ids.view(np.uint64), 1)[:, 0], start), n).view(np.int64)
             many = np.repeat(n > 1, n)
-            return pa.RecordBatch.from_arrays([pa.array(name[many]), pa.array(ids[many])], names=["k2", "id"])
+            return named(name[many], ids[many])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
             key, ids = (batch.column(k).to_numpy() for k in (0, 1))
+            if passing is not None:
+                n = int(np.searchsorted(key, passing, "right"))
+                yield named(key[:n], ids[:n])
+                key, ids = key[n:], ids[n:]
+            if not len(key):
+                continue
+            passing = None
             cut = np.flatnonzero(key[1:] != key[:-1])
             if held and held[-1][0][-1] != key[0]:
                 yield find(held)
@@ -543,12 +557,15 @@ def _shared(postings: DataFrame) -> DataFrame:
                 last = cut[-1] + 1
                 yield find([*held, (key[:last], ids[:last])])
                 held, key, ids = [], key[last:], ids[last:]
-            held.append((key, ids))
+            held.append((key, ids))  # of one key
+            if sum(len(k) for k, _ in held) > most:
+                for part in held:
+                    yield named(*part)
+                held, passing = [], key[-1]
         if held:
             yield find(held)
 
-    met = postings.select("k2", "id").repartition("k2").sortWithinPartitions("k2", "id").mapInArrow(run, "k2 long, id long")
-    return written(met.distinct().select(F.lit(0).cast("long").alias("k1"), "k2", "id"))
+    return postings.select("k2", "id").repartition("k2").sortWithinPartitions("k2", "id").mapInArrow(run, "k2 long, id long").distinct().select(F.lit(0).cast("long").alias("k1"), "k2", "id")
 
 
 def _common(slim: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -578,7 +595,8 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
     rows = written(with_rows(docs))
     slim = rows.select("row", field(text).alias("text"), field(key).cast("long").alias("id"))
     since = mark()
-    common = docs.sparkSession.sparkContext.broadcast(_common(slim, words))
+    shingles, n = _common(slim, words)
+    common = docs.sparkSession.sparkContext.broadcast((shingles, n, shingles[n >= HOT_TEXTS]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -586,14 +604,17 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
                 batch = whole.slice(at, 256)
                 sets = [shingle_set(t, words) for t in batch.column(1).to_pylist()]
                 same = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                rare = [prefix(s, *common.value, similarity).view(np.int64) for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array([wide_fingerprint(s) for s in sets], pa.binary()), pa.array(rare, pa.list_(pa.int64())), batch.column(2)], names=["row", "same", "print", "rare", "id"])
+                first = [prefix(s, *common.value[:2], similarity) for s in sets]
+                hot = [np.isin(x, common.value[2]) for x in first]
+                lists = [pa.array([x[h == want].view(np.int64) for x, h in zip(first, hot)], pa.list_(pa.int64())) for want in (False, True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array([wide_fingerprint(s) for s in sets], pa.binary()), *lists, batch.column(2)], names=["row", "same", "print", "rare", "hot", "id"])
 
-    marked = slim.mapInArrow(run, "row long, same binary, print binary, rare array<long>, id long")
+    marked = slim.mapInArrow(run, "row long, same binary, print binary, rare array<long>, hot array<long>, id long")
     # one row for each set: its smallest id, then row
-    firsts = marked.groupBy("same").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.first("print").alias("print"), F.first("rare").alias("rare"))
-    firsts = written(firsts.select("best.id", "best.row", "print", "rare"))
-    met = _in_pairs(_shared(firsts.select(F.explode("rare").alias("k2"), F.col("row").alias("id"))), crowd)
+    firsts = marked.groupBy("same").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.first("print").alias("print"), F.first("rare").alias("rare"), F.first("hot").alias("hot"))
+    firsts = written(firsts.select("best.id", "best.row", "print", "rare", "hot"))
+    filed_under = lambda c: firsts.select(F.explode(c).alias("k2"), F.col("row").alias("id"))
+    met = _in_pairs(written(_shared(filed_under("rare")).unionByName(filed_under("hot").select(F.lit(0).cast("long").alias("k1"), "k2", "id"))), crowd)
     filed = met.join(firsts.select(F.col("row").alias("id"), "print"), "id").select("k1", "k2", "id", "print")
     radius = radius_of(similarity, slack=6.0)
     roots = written(components(_link(filed, radius)))

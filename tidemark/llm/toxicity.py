@@ -7,9 +7,10 @@ character. Known and learnt whole words allow an edit from five letters on, and
 misspelling that also stands in clean labelled texts is an ordinary word and does not count.
 
 Each hit is of a kind (known or learnt, exact or misspelled; a learnt word once a text) in a setting: quotation marks or
-reporting words close by speak for a quotation, direct address for abuse. Every kind in every setting has a weight, which
-the labelled sample draws from its starting value to where the labels are likeliest. The score is one minus the
-exponential of minus the sum of weights.
+reporting words close by speak for a quotation, direct address for abuse. Both kinds of words start from a short list and
+are learnt: those that stand near known terms much more often in clean labelled texts than in toxic ones, or the other way
+round, in whatever language. Every kind in every setting has a weight, which the labelled sample draws from its starting
+value to where the labels are likeliest. The score is one minus the exponential of minus the sum of weights.
 
 Defined results: a null or empty text scores 0; missing or null labels leave the fixed lexicon and starting weights;
 repeated rows are each scored; an empty table gives an empty result; other columns are ignored.
@@ -31,7 +32,7 @@ from .quality_model import sample_labels
 
 #: The starting lexicon.
 TERMS = ("clown", "disgusting", "idiot", "imbecile", "loser", "moron", "pathetic", "scum", "stupid", "trash", "vermin", "worthless")
-#: Words that report or address.
+#: Words that report or address, to start from.
 REPORTING = frozenset(b"said says wrote writes called calls word term quote quoted quotes reported claimed mention mentioned".split())
 ADDRESS = frozenset(b"you your you're youre u ur yourself".split())
 QUOTES = (b'"', "“".encode(), "”".encode(), "«".encode(), "»".encode(), "„".encode())
@@ -45,8 +46,10 @@ KINDS, QUOTED, DIRECT = (0.9, 0.4, 0.4, 0.3), 0.35, 1.5
 MOST_LEARNT = 0.68
 #: What :meth:`Scorer.edits` adds for a learnt term.
 LEARNT = 10
-#: Bounds of the labelled sample and of the terms learnt.
-MOST_LABELLED, MOST_TERMS = 12_000, 2_000
+#: Bound of the labelled sample, and so of all that is learnt from it.
+MOST_LABELLED = 12_000
+#: A word of a setting stands near known terms in so many texts of one label, and in so many times more of them.
+LEAST_NEAR, TIMES_NEAR = 5, 4
 #: A learnt term stands in so many toxic texts at least, and in so many times more of them than of clean ones.
 LEAST, TIMES = 3, 10
 PREFIXES = (4, 5, 6, 7)
@@ -151,7 +154,8 @@ START = np.array([k * (QUOTED if quoted else 1) * (DIRECT if direct else 1) for
 
 
 class Scorer:
-    def __init__(self, terms: Iterable[str], learnt: Iterable[str] = (), ordinary: Iterable[str] = (), weights: np.ndarray = START):
+    def __init__(self, terms: Iterable[str], learnt: Iterable[str] = (), ordinary: Iterable[str] = (), weights: np.ndarray = START, reporting: frozenset = REPORTING, address: frozenset = ADDRESS):
+        self.reporting, self.address = reporting, address
         self.lexicon, self.learnt, self.ordinary, self.weights = Lexicon(terms), Lexicon(learnt), frozenset(ordinary), weights
         self.known: dict = {}
 
@@ -189,9 +193,22 @@ class Scorer:
                     continue
                 counted.add(bare)
             near = set(map(core, words[max(0, i - WINDOW) : i + WINDOW + 1]))
-            quoted = bool(near & REPORTING) or any(q in w for w in words[max(0, i - 2) : i + 3] for q in QUOTES)
+            quoted = bool(near & self.reporting) or any(q in w for w in words[max(0, i - 2) : i + 3] for q in QUOTES)
             kind = 2 * (e >= LEARNT) + (e % LEARNT > 0)
-            out[4 * kind + 2 * quoted + bool(near & ADDRESS)] += 1
+            out[4 * kind + 2 * quoted + bool(near & self.address)] += 1
+        return out
+
+    def company(self, text: str | None) -> tuple[list[bytes], list[bytes]]:
+        """Words near terms and those further off, in a text that has a term; terms and words without a letter left out."""
+        words = (text or "").encode("utf-8", "surrogatepass").split()
+        hits = [self.edits(w) is not None for w in words]
+        if True not in hits:
+            return [], []
+        close = np.convolve(hits, np.ones(2 * WINDOW + 1, int))[WINDOW : WINDOW + len(words)] > 0
+        out: tuple = ([], [])
+        for w, hit, c in zip(map(core, words), hits, close.tolist()):
+            if not hit and w and not w.isdigit():
+                out[0 if c else 1].append(w)
         return out
 
     def score(self, text: str | None) -> float:
@@ -209,8 +226,9 @@ def fit(x: np.ndarray, y: np.ndarray, rounds: int = 400, rate: float = 0.5, hold
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: tuple[int, int], most: int) -> tuple[list[str], list[str], np.ndarray]:
-    """From the labelled sample: learnt terms, misspellings of terms that clean texts hold, and weights."""
+def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: tuple[int, int], most: int) -> dict:
+    """What the labelled sample teaches a :class:`Scorer`: learnt terms, misspellings of terms that clean texts hold,
+    words that report or address, and weights."""
     chosen = sample_labels(labels, label, key, folds, most)
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
     rows = rows.groupBy(F.md5(F.col("_text").cast("binary")).alias("_id")).agg(F.max("_label").cast("long").alias("toxic"), F.first("_text").alias("text"))
@@ -234,8 +252,8 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, f
 
     def best(rows: DataFrame) -> list[str]:
         counts = rows.groupBy("term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("f"))
-        top = counts.where((F.col("t") >= LEAST) & (F.col("f") * TIMES <= F.col("t"))).orderBy(F.desc(F.col("t") - TIMES * F.col("f")), "term").limit(MOST_TERMS)
-        return [r.term for r in top.collect()]  # at most MOST_TERMS
+        good = counts.where((F.col("t") >= LEAST) & (F.col("f") * TIMES <= F.col("t"))).select("term")
+        return sorted(r.term for r in good.collect())  # of a bounded sample
 
     learnt, of_half = best(found), best(found.where("half"))
 
@@ -249,9 +267,37 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, f
 
     ordinary = [r.word for r in sample.where("toxic = 0").mapInArrow(misspelled, "word string").distinct().orderBy("word").collect()]  # of a bounded sample
 
+    def neighbours(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, seen = Scorer(start), {}
+        for batch in batches:
+            for toxic, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                near, far = scorer.company(t)
+                for k, ws in enumerate((set(near), near, far)):
+                    for w in ws:
+                        seen.setdefault((toxic, w), [0, 0, 0])[k] += 1
+        yield pa.RecordBatch.from_arrays([pa.array([k[n] for k in seen], t) for n, t in enumerate((pa.int64(), pa.binary()))] + [pa.array([v[n] for v in seen.values()], pa.int64()) for n in range(3)], names=["toxic", "word", "texts", "near", "far"])
+
+    # of texts with a known term: in how many a word is near one, and how often it is near one or further off, by label
+    counted = sample.mapInArrow(neighbours, "toxic long, word binary, texts long, near long, far long").groupBy("toxic", "word").agg(*(F.sum(c).alias(c) for c in ("texts", "near", "far"))).collect()  # of a bounded sample
+    near, far = ({y: 1 + sum(r[c] for r in counted if r.toxic == y) for y in (0, 1)} for c in ("near", "far"))
+    by = {(r.toxic, bytes(r.word)): r for r in counted}
+
+    def speaks(y: int) -> frozenset:
+        """Words that stand near terms: in texts of this label, more than in those of the other, and than elsewhere in them."""
+        out = set()
+        for (z, w), r in by.items():
+            if z == y and r.texts >= LEAST_NEAR:
+                share = r.near / near[y]
+                other = by.get((1 - y, w))
+                if share >= TIMES_NEAR * ((other.near if other else 0) + 0.5) / near[1 - y] and share >= TIMES_NEAR * (r.far + 0.5) / far[y]:
+                    out.add(w)
+        return frozenset(out)
+
+    reporting, address = REPORTING | speaks(0), ADDRESS | speaks(1)
+
     # weights: by the terms of one half on the other, as terms look better than they are on texts that taught them
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(start, of_half, ordinary)
+        scorer = Scorer(start, of_half, ordinary, reporting=reporting, address=address)
         for batch in batches:
             x = [scorer.features(t).tolist() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64()))], names=["toxic", "x"])
@@ -259,15 +305,16 @@ def learn(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, f
     got = sample.where("not half").mapInArrow(measure, "toxic long, x array<double>").groupBy("toxic", "x").count().orderBy("toxic", "x").toArrow()  # bounded, as the sample is
     x = np.array(got["x"].to_pylist()).reshape(-1, len(START))
     n = got["count"].to_numpy()
-    return learnt, ordinary, fit(np.repeat(x, n, axis=0), np.repeat(got["toxic"].to_numpy(), n))
+    weights = fit(np.repeat(x, n, axis=0), np.repeat(got["toxic"].to_numpy(), n))
+    return {"learnt": learnt, "ordinary": ordinary, "weights": weights, "reporting": reporting, "address": address}
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", folds: tuple[int, int] = FOLDS, most: int = MOST_LABELLED) -> DataFrame:
     """Score between 0 and 1 of each document, and whether it reaches one half."""
-    learnt, ordinary, weights = learn(docs, labels, key, text, label, folds, most)
+    taught = learn(docs, labels, key, text, label, folds, most)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(TERMS, learnt, ordinary, weights)
+        scorer = Scorer(TERMS, **taught)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             s = [scorer.score(t) for t in batch.column(1).to_pylist()]
