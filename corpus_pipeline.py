@@ -7,29 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import mixing, packing, quality_rules, secrets, simhash
-from tidemark.llm.common import drop, mark
+from tidemark.llm.common import Chain
 from tidemark.llm.queries import tokenizer_path
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-def _whole(f: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that writes its whole input first: what earlier stages had written can then go."""
 
-    def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        since = mark()
-        out = f(docs)
-        drop(spark, 0, since)
-        return out
+def stages() -> list[tuple[str, Stage]]:
+    """The stages of one run. Those marked whole write their input first; then what the run's earlier stages wrote can go."""
+    run = Chain()
+    return [
+        ("quality_rules", run.step(quality_rules.keep_good, whole=False)),
+        ("near_duplicates", run.step(simhash.keep_one, whole=True)),
+        ("secrets", run.step(secrets.redact, whole=True)),
+        ("mix", run.step(mixing.mixed, whole=True)),
+        ("packing", run.step(lambda docs: packing.pack(docs, tokenizer_path()), whole=False)),
+    ]
 
-    return stage
 
-
-STAGES = [
-    ("quality_rules", lambda spark, docs, sf_dir: quality_rules.keep_good(docs)),
-    ("near_duplicates", _whole(simhash.keep_one)),
-    ("secrets", _whole(secrets.redact)),
-    ("mix", _whole(mixing.mixed)),
-    ("packing", lambda spark, docs, sf_dir: packing.pack(docs, tokenizer_path())),
-]
+#: For who calls them one by one, each on the written result of the one before.
+STAGES = stages()
 
 #: The near-duplicate and packing stages can't be put in SQL; tests compare with a brute-force version.
 ORACLE_SQL = None
@@ -37,6 +34,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for _, stage in stages():
         docs = stage(spark, docs, sf_dir)
     return docs
