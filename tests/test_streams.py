@@ -1,12 +1,15 @@
 """Streams give what the batch form gives."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.config import Limits
 from tidemark.operators import bars, minute, wakeup
 from tidemark.streaming import capture as streams
+from tidemark.streaming import stateful
 
 from .test_golden import DAY, QUOTE, T, at, quotes
 
@@ -33,10 +36,64 @@ def test_bars(spark, rows, tmp_path):
 
 
 def test_snapshots_carry_state(spark, rows, tmp_path):
-    names = ["ts", "volume_delta", "bid_age_secs", "offer_age_secs", "bid_change", "offer_change"]
-    got = streams.drain(streams.snapshots(feed(rows, tmp_path)), str(tmp_path / "s"))
+    """Three runs of the stream, each from what the last one left, give what one batch gives."""
+    got = streams.replay(rows, "created_at", stateful.snapshots, str(tmp_path / "s"), runs=3)
     want = minute.snapshots(rows)
-    assert sorted(map(tuple, got.select(*names).collect())) == sorted(map(tuple, want.select(*names).collect()))
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    again = streams.drain(stateful.snapshots(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "s/landed/run=*"))), str(tmp_path / "s"))
+    assert again.count() == want.count()  # nothing new landed
+
+
+def test_an_observation_that_is_not_newer_is_skipped(spark, rows, tmp_path):
+    twice = rows.unionByName(rows.withColumns({"id": F.col("id") + 1000, "bid": F.lit(1.0)}))
+    got = streams.replay(twice, "created_at", stateful.snapshots, str(tmp_path / "s"), runs=2)
+    assert sorted(r.id for r in got.collect()) == list(range(60))
+
+
+def test_each_field_has_its_own_age(spark, tmp_path):
+    df = spark.createDataFrame([("a ", at(0), 5.0, None), ("a ", at(1), None, 7.0), ("a ", at(9), None, 8.0), ("b", at(9), 1.0, None), ("b", at(90), None, 2.0), ("c", at(90), 3.0, None)], "symbol string, ts timestamp, px double, qty double")
+    master = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "alias string, name string")
+    make = lambda f: stateful.listed(stateful.board(f, ("px", "qty"), expiry_secs=3600), master, priced="px")
+    got = {r.alias: r for r in streams.replay(df, "ts", make, str(tmp_path / "s"), ["alias"], "update").collect()}
+    assert set(got) == {"A", "B"}
+    assert (got["A"].px, got["A"].px_age_secs, got["A"].qty, got["A"].qty_age_secs, got["A"].stale) == (5.0, 540, 8.0, 0, True)
+    assert (got["B"].px, got["B"].px_age_secs, got["B"].qty) == (None, None, 2.0)  # its price was last sent 81 minutes before
+
+
+def test_volumes_of_minutes(spark, rows, tmp_path):
+    end = spark.createDataFrame([(None, None, dt.datetime(2100, 1, 1), None, None, 0.0, None)], "symbol string, trading_date date, created_at timestamp, id long, session string, last_price double, volume long")
+    closing = end.select(*(F.col(c) if c in end.columns else F.lit(None).cast(t).alias(c) for c, t in rows.dtypes))
+    got = streams.replay(rows, "created_at", stateful.minute_volumes, str(tmp_path / "s"), closing=closing).where("symbol is not null")
+    want = bars.minute_bars(rows).select("minute", "open", "high", "low", "close", "vol")
+    assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_slots_wait_for_a_whole_scan(spark, tmp_path):
+    """Rows of a scan come in any order, over several runs; a seeded slot is never won."""
+    limits = Limits(pace_min=1.0, trades_min=0, wakeup_slots=(4, 5))
+    scan = lambda minute, *pairs: [(DAY, at(minute), minute, s, 10, p) for s, p in pairs]
+    paces = scan(0, ("A", 2.0), ("B", 3.0), ("C", 2.5)) + scan(30, ("A", 9.0), ("B", 0.5), ("D", 4.0)) + scan(60, ("C", 5.0))
+    cols = "trading_date date, at timestamp, scan int, symbol string, trades long, pace double"
+    df = spark.createDataFrame(paces, cols).withColumn("come", F.col("at") + F.make_dt_interval(mins=F.crc32(F.col("symbol").cast("binary")) % 10))
+    seeds = spark.createDataFrame([(DAY, 1, "A")], "trading_date date, slot int, symbol string")
+    closing = spark.createDataFrame([(None, dt.datetime(2100, 1, 1), None, None, None, None, dt.datetime(2100, 1, 1))], df.schema)
+    got = streams.replay(df, "come", lambda p: stateful.slots(p.drop("come"), seeds, limits), str(tmp_path / "s"), closing=closing).collect()
+    # first B and C win; then A takes C's slot and D takes B's, as each is faster; at last C takes D's
+    assert sorted((r.scan, r.symbol, r.slot, r.replaced) for r in got if r.event == "PROMOTED") == [(0, "B", 4, None), (0, "C", 5, None), (30, "A", 5, "C"), (30, "D", 4, "B"), (60, "C", 4, "D")]
+    assert sorted((r.slot, r.slot_type, r.symbol) for r in got if r.event == "RELEASED") == [(1, "PREDAY", "A"), (4, "WAKEUP", "C"), (5, "WAKEUP", "A")]
+
+
+def test_later_prices_whatever_the_order_of_arrival(spark, tmp_path):
+    rng = random.Random(4)
+    prices = [("A" if k % 2 else "B", DAY, at(k / 2) if k % 5 else at(k / 2 + 7), k, None, None, None if k % 11 == 0 else float(k)) for k in range(300)]
+    fired = [(s, DAY, at(k), 1000 + k, "WALL_PULLED", 5.0, None) for k in range(0, 150, 4) for s in "AB"]
+    seen = spark.createDataFrame(prices + fired, "symbol string, trading_date date, ts timestamp, id long, signal string, price double, px double")
+    seen = seen.withColumn("come", F.col("ts") + F.make_dt_interval(mins=F.pmod(F.xxhash64("id", F.lit(rng.randrange(99))), F.lit(9)).cast("int")))
+    closing = spark.createDataFrame([(None, None, dt.datetime(2100, 1, 1), None, None, None, None, dt.datetime(2100, 1, 1))], seen.schema)
+    got = streams.replay(seen, "come", lambda x: stateful.scores(x.drop("come")), str(tmp_path / "s"), runs=4, closing=closing)
+    signals = seen.where("signal is not null").select("symbol", "trading_date", F.col("ts").alias("fired_at"), "id", "signal", "price")
+    want = minute.score(signals, seen.where("signal is null").select("symbol", "ts", "id", F.col("px").alias("last_price")))
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
 def test_alerts_are_throttled(spark, tmp_path):

@@ -51,6 +51,7 @@ class Limits:
     early_seconds: int = 60
     gap_secs: int = 90
     fresh_secs: int = 60
+    stale_secs: int = 300
     min_coverage: float = 0.5
     label_confidence: float = 0.9
     max_price: float = 1e6

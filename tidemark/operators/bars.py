@@ -154,8 +154,9 @@ def retracements(bars: DataFrame, runs: DataFrame, limits: Limits = LIMITS) -> D
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.string(), pa.date32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.float64(), pa.bool_(), pa.float64(), pa.int32()]
         for batch in batches:
-            for symbol, day, prices, swings_, target in zip(*(c.to_pylist() for c in batch.columns)):
-                found = [(symbol, day, *t) for swing in swings_ for t in _trades(np.array(prices), swing, target, levels)]
+            for k, (symbol, day, swings_, target) in enumerate(zip(*(batch.column(c).to_pylist() for c in (0, 1, 3, 4)))):
+                prices = batch.column(2)[k].values.to_numpy(zero_copy_only=False)
+                found = [(symbol, day, *t) for swing in swings_ for t in _trades(prices, swing, target, levels)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found) if found else [()] * len(kinds), kinds)], names=names)
 
     return closes.join(each, [*DAY]).select(*DAY, "closes", "swings", "target").mapInArrow(run, TRADES)

@@ -83,12 +83,18 @@ def snapshots(seen: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     )
     m = m.withColumns({"_bid_level": F.sum("_bid_new").over(seq), "_offer_level": F.sum("_offer_new").over(seq)})
     age = lambda side: F.when(c(side).isNotNull(), F.sum(f"_{side}_gain").over(Window.partitionBy("symbol", "trading_date", f"_{side}_level").orderBy("created_at", "id"))).cast("long")
+    return described(m.withColumns({"bid_age_secs": age("bid"), "offer_age_secs": age("offer")}), limits)
+
+
+def described(m: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Snapshots from observations that know their changes, traded volume and ages: walls, ratio, and whether frozen."""
+    c = F.col
     moved = c("offer_change") != 0
     event = F.when(moved & (c("volume_delta") == 0), F.when(c("offer_change") > 0, "ADDED").otherwise("PULLED")).when(moved & c("volume_delta").isNotNull() & (c("offer_change") < 0), "TRADED")
     size = F.abs("offer_change")
     small = (event != "TRADED") & (size < limits.wall_qty) & ~F.coalesce(c("offer_qty") >= limits.wall_qty, F.lit(False))
     event = F.when(~small, event)
-    m = m.withColumns({"bid_age_secs": age("bid"), "offer_age_secs": age("offer"), "wall_event": event})
+    m = m.withColumn("wall_event", event)
     big = (c("bid_qty") > limits.big_qty) & (c("offer_qty") > limits.big_qty) & (c("volume_delta") == 0)
     return m.select(
         "symbol",
@@ -182,7 +188,11 @@ def score(fired: DataFrame, prices: DataFrame, limits: Limits = LIMITS) -> DataF
     t = fired.withColumn("_m", F.explode(F.array(*map(F.lit, all_)))).withColumn("_t", F.col("fired_at") + F.make_dt_interval(mins=F.col("_m")))
     got = first_after(t, prices, "last_price", "_t", "_px", ts="ts").groupBy(*fired.columns)
     out = got.agg(*(F.max(F.when(F.col("_m") == m, F.col("_px"))).alias(f"px_{m}min") for m in all_), (F.count("*") / len(all_)).cast("int").alias("_n"))
-    out = out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")  # repeated signals stay so
+    return graded(out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n"), limits)  # repeated signals stay so
+
+
+def graded(out: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Whether the first later price moved as the signal claims."""
     ways = F.create_map(*[F.lit(x) for pair in DIRECTION.items() for x in pair])
     way = ways[F.col("signal")]
     move = (F.col(f"px_{limits.score_minutes[0]}min") - F.col("price")) * way

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import LIMITS, Limits
@@ -90,6 +90,35 @@ def preflight(df: DataFrame, needed: dict[str, str], key: list[str]) -> DataFram
     return columns.unionByName(twice.select(F.lit("key " + ", ".join(key)).alias("item"), F.lit("0").alias("expected"), F.col("n").cast("string").alias("found"), (F.col("n") == 0).alias("ok")))
 
 
+def catalogue(spark: SparkSession, tables: list[str] | None = None) -> DataFrame:
+    """(table, position, column, type, nullable) of the session's tables and views: what its catalogue says, no rows read."""
+    names = [t.name for t in spark.catalog.listTables()] if tables is None else [t for t in tables if spark.catalog.tableExists(t)]
+    rows = [(t, k, c.name, c.dataType, c.nullable) for t in sorted(names) for k, c in enumerate(spark.catalog.listColumns(t))]
+    return spark.createDataFrame(rows, "table string, position int, column string, type string, nullable boolean")
+
+
+def schema_report(spark: SparkSession, needed: dict[str, dict[str, str]]) -> DataFrame:
+    """What is wrong or right with tables of the catalogue: a row for each needed column, ``type`` or ``type not null``.
+
+    Found is the catalogue's type, or that table or column is missing; nulls are counted where none may be, in one pass
+    over each such table.
+    """
+    known = {(r.table, r.column): r.type for r in catalogue(spark, list(needed)).collect()}
+    tables = {t for t, _ in known}
+    rows, counts = [], None
+    for table, columns in needed.items():
+        strict = [c for c, kind in columns.items() if kind.endswith(" not null") and (table, c) in known]
+        for c, kind in columns.items():
+            rows.append((table, c, kind.removesuffix(" not null"), known.get((table, c), "missing" if table in tables else "missing table"), c in strict))
+        if strict:
+            one = spark.table(table).agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in strict)).unpivot([], strict, "column", "nulls").withColumn("table", F.lit(table))
+            counts = one if counts is None else counts.unionByName(one)
+    report = spark.createDataFrame(rows, "table string, column string, expected string, found string, strict boolean")
+    report = report.withColumn("nulls", F.lit(None).cast("long")) if counts is None else report.join(counts, ["table", "column"], "left")
+    ok = (F.col("expected") == F.col("found")) & (F.coalesce("nulls", F.lit(0)) == 0)
+    return report.select("table", "column", "expected", "found", "nulls", ok.alias("ok"))
+
+
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The last run of each scraper."""
     cols = [c for c in runs.columns if c != "scraper"]

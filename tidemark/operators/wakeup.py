@@ -29,25 +29,32 @@ def pace(quotes: DataFrame, at_hour: int, until_hour: bool = False, limits: Limi
 PROMOTIONS = "trading_date date, scan int, symbol string, trades long, pace double, slot int, replaced string"
 
 
-def allocate(scans: Iterable[list[tuple]], slots: tuple[int, ...]) -> list[tuple]:
-    """Promotions of one session. ``scans``: for each scan its (symbol, pace, trades), the fastest first.
+def deal(held: dict[int, tuple[str, float]], symbol: str, speed: float, slots: tuple[int, ...]) -> tuple[int, str | None] | None:
+    """The slot that a candidate wins and whom it replaces, if it wins one; ``held`` (slot to symbol and pace) follows.
 
     A holder keeps its slot; a free slot comes first; else the slowest holder goes, if the newcomer is strictly faster.
     """
+    if any(symbol == s for s, _ in held.values()):
+        return None
+    slot, replaced = next((s for s in slots if s not in held), None), None
+    if slot is None:
+        slot = min(held, key=lambda s: (held[s][1], s))
+        if speed <= held[slot][1]:
+            return None
+        replaced = held[slot][0]
+    held[slot] = (symbol, speed)
+    return slot, replaced
+
+
+def allocate(scans: Iterable[list[tuple]], slots: tuple[int, ...]) -> list[tuple]:
+    """Promotions of one session. ``scans``: for each scan its (symbol, pace, trades), the fastest first."""
     held: dict[int, tuple[str, float]] = {}
     out = []
     for scan, rows in enumerate(scans):
         for symbol, speed, trades in rows:
-            if any(symbol == s for s, _ in held.values()):
-                continue
-            slot, replaced = next((s for s in slots if s not in held), None), None
-            if slot is None:
-                slot = min(held, key=lambda s: (held[s][1], s))
-                if speed <= held[slot][1]:
-                    continue
-                replaced = held[slot][0]
-            held[slot] = (symbol, speed)
-            out.append((scan, symbol, trades, speed, slot, replaced))
+            got = deal(held, symbol, speed, slots)
+            if got:
+                out.append((scan, symbol, trades, speed, *got))
     return out
 
 

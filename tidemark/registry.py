@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-PLANS = ("sessions", "bars", "signals", "feeds", "ledger", "capture", "payloads")
+PLANS = ("sessions", "bars", "signals", "feeds", "ledger", "capture", "payloads", "streams", "stores")
 
 
 def _collect(name: str) -> dict:

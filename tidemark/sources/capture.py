@@ -6,6 +6,8 @@ instant it was captured; one that is too old or lies in the future is left out.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -166,6 +168,36 @@ def quotes_from_cells(rows: DataFrame, header: list[str], aliases: dict[str, tup
     return kept.select(*rest, p.to_symbol(cell("symbol")).alias("symbol"), *(p.to_number(cell(k)).alias(k) for k in numbers)).where("symbol is not null")
 
 
+def page_quotes(pages: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES, fallback: dict[str, int] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Quotes of many pages (page, header, rows: arrays of cells), each read by its own header; and a report of each page.
+
+    A column is found by name: an exact alias, else one that a heading begins with. Where a page's header names none of
+    them, ``fallback`` gives fixed places, and both results say so, as such figures may be of another column. Rows that
+    repeat the header, are made of header words only, or have no symbol are skipped and counted in the report: (page,
+    quotes, skipped, used_fallback), a row for each page, one without rows too.
+    """
+    low = lambda cells: F.transform(cells, lambda h: F.lower(F.trim(F.coalesce(h, F.lit("")))))
+
+    def place(names: tuple[str, ...]) -> Column:
+        found = [F.array_position(F.transform("_low", test), F.lit(True)) for test in (lambda h: h.isin(*names), lambda h: reduce(lambda a, b: a | b, (h.startswith(n) for n in names)))]
+        return (F.coalesce(*(F.nullif(x, F.lit(0)) for x in found), F.lit(0)) - 1).cast("int")
+
+    p_ = pages.withColumn("_low", low(F.coalesce("header", F.array().cast("array<string>"))))
+    p_ = p_.withColumns({f"_at_{k}": place(names) for k, names in aliases.items()})
+    nothing = F.greatest(*(F.col(f"_at_{k}") for k in aliases)) < 0 if len(aliases) > 1 else F.col(f"_at_{next(iter(aliases))}") < 0
+    used = nothing & F.lit(bool(fallback))
+    p_ = p_.withColumn("used_fallback", used).withColumns({f"_at_{k}": F.when(F.col("used_fallback"), F.lit((fallback or {}).get(k, -1))).otherwise(F.col(f"_at_{k}")) for k in aliases})
+    words = sorted({w for names in aliases.values() for w in names})
+    each = p_.select("page", "used_fallback", "_low", *(f"_at_{k}" for k in aliases), F.posexplode_outer("rows").alias("row", "_cells"))
+    filled = F.filter(low(F.col("_cells")), lambda c: c != "")
+    heading = (low(F.col("_cells")) == F.col("_low")) | ((F.size(filled) > 0) & F.forall(filled, lambda c: c.isin(*words)))
+    cell = lambda k: F.when(F.col(f"_at_{k}") >= 0, F.get("_cells", F.col(f"_at_{k}")))
+    symbol = F.when(~F.coalesce(heading, F.lit(False)), p.to_symbol(cell("symbol")))
+    read = each.select("page", "row", "used_fallback", symbol.alias("symbol"), *(p.to_number(cell(k)).alias(k) for k in aliases if k != "symbol"))
+    report = read.groupBy("page").agg(F.count("symbol").alias("quotes"), (F.count("row") - F.count("symbol")).alias("skipped"), F.first("used_fallback").alias("used_fallback"))
+    return read.where("symbol is not null"), report
+
+
 def ladder(cells: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Ladder levels from two columns of cells: bids by falling price, offers by rising price, side by side."""
     n = limits.max_level

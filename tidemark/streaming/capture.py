@@ -1,19 +1,19 @@
-"""Captures as streams: bars by minute, retries dropped, partial frames merged, snapshots and throttled alerts kept in state."""
+"""Captures as streams: bars by minute, retries dropped, partial frames merged, alerts throttled; and how streams are run."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..config import LIMITS, Limits
 from ..operators import validation
-from ..sources import sinks
+from ..sources import folders, sinks
 
 
 def without_retries(batches: DataFrame, limits: Limits = LIMITS) -> DataFrame:
@@ -21,18 +21,22 @@ def without_retries(batches: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     return batches.withWatermark("capturedAt", f"{limits.late_minutes} minutes").dropDuplicatesWithinWatermark(["batchId"])
 
 
-def minute_bars(quotes: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Bars of one minute, closed once no capture of that minute can come any more."""
+def minute_windows(quotes: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Windows ``w`` of one minute with a symbol's prices and cumulative volume in it."""
     order = F.struct("created_at", "id")
     return (
         quotes.where("last_price is not null")
         .withWatermark("created_at", f"{limits.late_minutes} minutes")
         .groupBy(F.window("created_at", "1 minute").alias("w"), "symbol", "trading_date")
         .agg(F.min_by("last_price", order).alias("open"), F.max("last_price").alias("high"), F.min("last_price").alias("low"), F.max_by("last_price", order).alias("close"), F.max("volume").alias("cumulative"))
-        .select("symbol", "trading_date", F.col("w.start").alias("minute"), "open", "high", "low", "close", "cumulative")
     )
 
 
+def minute_bars(quotes: DataFrame, limits: Limits = LIMITS) -> DataFrame:
+    """Bars of one minute, closed once no capture of that minute can come any more."""
+    return minute_windows(quotes, limits).select("symbol", "trading_date", F.col("w.start").alias("minute"), "open", "high", "low", "close", "cumulative")
+
+
 def store(quotes: DataFrame, path: str, rejects: str, keys: list[str], order: str) -> DataStreamWriter:
     """Good rows appended by day unless their key is there; rejected ones kept apart with their reason.
 
@@ -83,50 +87,6 @@ def merged_frames(frames: DataFrame, fields: tuple[str, ...], limits: Limits = L
     return frames.groupBy("symbol").applyInPandasWithState(merge, schema, state_schema, "update", GroupStateTimeout.EventTimeTimeout)
 
 
-SNAPSHOT = "symbol string, ts timestamp, volume_delta long, bid_age_secs long, offer_age_secs long, bid_change long, offer_change long"
-CARRIED = "ts timestamp, volume long, bid double, bid_qty long, bid_age long, offer double, offer_qty long, offer_age long"
-
-
-def _int(x):
-    return None if x is None or x != x else int(x)
-
-
-def _float(x):
-    return None if x is None or x != x else float(x)
-
-
-def snapshots(observations: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """Snapshots with state carried from one batch to the next; an observation that isn't newer is skipped.
-
-    A day's state goes once the stream is a day past it.
-    """
-    observations = observations.withWatermark("created_at", f"{limits.late_minutes} minutes")
-
-    def run(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        ts, volume, bid, bid_qty, bid_age, offer, offer_qty, offer_age = state.get if state.exists else [None] * 8
-        out = []
-        for row in pd.concat(list(parts)).sort_values(["created_at", "id"]).itertuples(index=False):
-            if ts is not None and row.created_at <= ts:
-                continue
-            gap = 0 if ts is None else max(0, int((row.created_at - ts).total_seconds() + 0.5))
-            v, b, bq, o, oq = _int(row.volume), _float(row.bid), _int(row.bid_qty), _float(row.offer), _int(row.offer_qty)
-            age = lambda price, had, old: None if price is None else (old or 0) + gap if had is not None and had == price else 0
-            bid_age, offer_age = age(b, bid, bid_age), age(o, offer, offer_age)
-            rise = None if v is None or volume is None or v < volume else v - volume
-            diff = lambda a, z: None if a is None or z is None else a - z
-            out.append((key[0], row.created_at, rise, bid_age, offer_age, diff(bq, bid_qty), diff(oq, offer_qty)))
-            ts, volume, bid, bid_qty, offer, offer_qty = row.created_at, v if v is not None else volume, b, bq, o, oq
-        state.update((ts, volume, bid, bid_qty, bid_age, offer, offer_qty, offer_age))
-        _keep(state, ts, "1 day")
-        names = [c.split()[0] for c in SNAPSHOT.split(", ")]
-        yield pd.DataFrame(out, columns=names).astype({n: "Int64" for n in names[2:]})
-
-    return observations.groupBy("symbol", "trading_date").applyInPandasWithState(run, SNAPSHOT, CARRIED, "append", GroupStateTimeout.EventTimeTimeout)
-
-
 def alerts(signals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Signals to send, none within ``throttle_secs`` of the last one sent for its symbol and kind.
 
@@ -152,16 +112,60 @@ def alerts(signals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     return signals.groupBy("symbol", "signal").applyInPandasWithState(run, signals.schema.simpleString()[7:-1].replace(":", " "), "last timestamp", "append", GroupStateTimeout.EventTimeTimeout)
 
 
+#: Processors with named states and timers need this state store.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def started(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
+    """Start a stream on the state store that processors need; the session's own choice stays as it was."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    had = spark.conf.get(key, None)
+    spark.conf.set(key, STORE)
+    try:
+        return writer.start()
+    finally:
+        spark.conf.unset(key) if had is None else spark.conf.set(key, had)
+
+
 def drain(stream: DataFrame, path: str, keys: list[str] | None = None, mode: str = "append") -> DataFrame:
-    """Run a stream over all that is there and return what it wrote under ``path``; in update mode the last row of each key."""
+    """Run a stream over all that is there and return what it wrote under ``path``; in update mode the last row of each key.
+
+    Run again on the same ``path`` it carries on from its log, and returns what all runs wrote.
+    """
 
     def put(rows: DataFrame, batch: int) -> None:
         rows.write.mode("overwrite").parquet(f"{path}/out/batch={batch}")
 
-    stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).foreachBatch(put).start().awaitTermination()
+    started(stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/log").trigger(availableNow=True).foreachBatch(put), stream.sparkSession).awaitTermination()
     spark = stream.sparkSession
     out = spark.read.schema(StructType([*stream.schema.fields, StructField("batch", LongType())])).parquet(f"{path}/out")
     if mode == "update":
         cols = [c for c in stream.columns if c not in keys]
         out = out.groupBy(*keys).agg(F.max_by(F.struct(*cols), "batch").alias("r")).select(*keys, "r.*")
     return out.select(*stream.columns)
+
+
+def replay(rows: DataFrame, at: str, make: Callable[[DataFrame], DataFrame], path: str, keys: list[str] | None = None, mode: str = "append", runs: int = 3, closing: DataFrame | None = None) -> DataFrame:
+    """What the stream ``make`` gives over stored rows that land in ``runs`` parts in order of the instant ``at``.
+
+    After each landing the stream runs on what is new and stops, so each run takes up the state that the one before left.
+    Rows are written once, and a landing is a move of files. ``closing`` rows land with the last part; later than all
+    others, they move the clock past the end, so that nothing stays open.
+    """
+    spark = rows.sparkSession
+    steps = [k / runs for k in range(1, runs)]
+    cuts = rows.agg(F.percentile_approx(F.unix_micros(F.col(at)), steps).alias("c")).first().c or []
+    part = sum(((F.unix_micros(F.col(at)) > c).cast("int") for c in cuts), F.lit(0))
+    rows.withColumn("part", part).write.partitionBy("part").parquet(f"{path}/held")
+    fs, landed = folders.file_system(spark, f"{path}/landed")
+    fs.mkdirs(landed)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    for k in range(runs):
+        held = hadoop(f"{path}/held/part={k}")
+        if fs.exists(held):
+            fs.rename(held, hadoop(f"{path}/landed/run={k}"))
+        if closing is not None and k == runs - 1:
+            closing.select(*rows.columns).write.parquet(f"{path}/landed/run={runs}")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{path}/landed/run=*")
+        out = drain(make(stream), path, keys, mode)
+    return out
