@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import registered
 from tidemark.operators import quality
 from tidemark.sources import capture, keyed, sinks
+from tidemark.streaming import capture as streams
 
 
 def files(path):
@@ -53,6 +54,17 @@ def test_a_batch_seen_before_gets_its_stored_counts(spark, tmp_path):
     assert sorted((r.key, r.id) for r in spark.read.parquet(path).collect()) == stored
 
 
+def test_pushed_batches_on_a_stream(spark, tmp_path):
+    at = str(tmp_path)
+    cols = "batch_id string, id long, key string, reason string"
+    for k, rows in enumerate(([("b1", 1, "x", None), ("b1", 2, "y", "bad")], [("b1", 1, "x", None), ("b2", 3, "z", None)])):
+        spark.createDataFrame(rows, cols).coalesce(1).write.parquet(f"{at}/in/run={k}")
+        w = streams.ingest(spark.readStream.schema(cols).parquet(f"{at}/in/run=*"), f"{at}/rows", f"{at}/ledger", "q", ["key"], "id", "reason")
+        w.option("checkpointLocation", f"{at}/log").trigger(availableNow=True).start().awaitTermination()
+    assert sorted((r.batch_id, r.id, r.submission) for r in spark.read.parquet(f"{at}/rows").collect()) == [("b1", 1, "q-0"), ("b2", 3, "q-1")]
+    assert sorted((r.batch_id, r.offered, r.inserted, r.rejected, r.submission) for r in spark.read.parquet(f"{at}/ledger").collect()) == [("b1", 2, 1, 1, "q-0"), ("b2", 1, 1, 0, "q-1")]
+
+
 def test_a_write_keeps_its_own_audit(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "bad"), (3, None)], "id long, reason string")
     log = str(tmp_path / "log")

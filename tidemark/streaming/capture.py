@@ -51,6 +51,16 @@ def store(quotes: DataFrame, path: str, rejects: str, keys: list[str], order: st
     return quotes.writeStream.foreachBatch(put)
 
 
+def ingest(pushed: DataFrame, path: str, ledger: str, query: str, keys: list[str], order: str, reason: str) -> DataStreamWriter:
+    """Pushed batches stored once and answered from a ledger (see :func:`sinks.submit`); a micro-batch that is run again
+    after a failure replaces what it had written, rows and answers."""
+
+    def put(rows: DataFrame, batch: int) -> None:
+        sinks.submit(rows, path, ledger, f"{query}-{batch}", keys, order, reason)
+
+    return pushed.writeStream.foreachBatch(put)
+
+
 def _keep(state: GroupState, at, after: str) -> None:
     """Let state time out once the watermark is ``after`` past its latest row."""
     due = int((at + pd.Timedelta(after)).timestamp() * 1000)
