@@ -155,7 +155,7 @@ def drain(stream: DataFrame, path: str, keys: list[str] | None = None, mode: str
     return out.select(*stream.columns)
 
 
-def replay(rows: DataFrame, at: str, make: Callable[[DataFrame], DataFrame], path: str, keys: list[str] | None = None, mode: str = "append", runs: int = 3, closing: DataFrame | None = None) -> DataFrame:
+def replay(rows: DataFrame, at: str, make: Callable[[DataFrame], DataFrame], path: str, keys: list[str] | None = None, mode: str = "append", runs: int = 2, closing: DataFrame | None = None) -> DataFrame:
     """What the stream ``make`` gives over stored rows that land in ``runs`` parts in order of the instant ``at``.
 
     After each landing the stream runs on what is new and stops, so each run takes up the state that the one before left.
