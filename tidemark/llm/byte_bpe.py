@@ -29,6 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
+from .common import tidy
+
 #: Words of text at which a block ends (a longer text is a block of its own); they bound what a task holds of one.
 BLOCK = 1 << 22
 #: Distinct words that a task remembers before it starts afresh; beyond them a word may be encoded again, to the same ids.
@@ -138,7 +140,7 @@ def explode_words(docs: DataFrame, pattern: str, buckets: int, block: int = BLOC
         if places:
             yield closed()
 
-    return docs.select("row", "doc", "text").mapInArrow(run, schema)
+    return docs.select("row", "doc", "text").mapInArrow(tidy(run), schema)
 
 
 def encode_words(parts: DataFrame, ranks_path: str, buckets: int) -> DataFrame:
@@ -168,7 +170,7 @@ def encode_words(parts: DataFrame, ranks_path: str, buckets: int) -> DataFrame:
                 data.append(raw)
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sizes, pa.binary()), pa.array(data, pa.binary())], names=batch.schema.names)
 
-    return parts.mapInArrow(run, parts.schema)
+    return parts.mapInArrow(tidy(run), parts.schema)
 
 
 def _together(parts: DataFrame, buckets: int) -> DataFrame:
@@ -212,7 +214,7 @@ def _together(parts: DataFrame, buckets: int) -> DataFrame:
             if kept:
                 yield some(batch.column(4), kept, out)
 
-    return parts.mapInArrow(run, schema)
+    return parts.mapInArrow(tidy(run), schema)
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), block: int = BLOCK) -> DataFrame:
@@ -283,5 +285,5 @@ def decode(rows: DataFrame, ranks_path: str, ids: str = "ids") -> DataFrame:
         fields = [every.field(k) for k in range(every.type.num_fields - 1)] or [pa.nulls(len(every), pa.int32())]
         return pa.RecordBatch.from_arrays([pa.StructArray.from_arrays(fields, names=kept.dataType.names), pa.array(out, pa.binary())], names=["doc", "decoded"])
 
-    out = got.mapInArrow(run, StructType([kept, StructField("decoded", BinaryType())]))
+    out = got.mapInArrow(tidy(run), StructType([kept, StructField("decoded", BinaryType())]))
     return out.select(*(F.col(f"doc.`{c}`").alias(c) for c in rest), "decoded")

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import functools
+import gc
 import tempfile
 import uuid
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +50,23 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over Arrow batches that at its end gives the memory it held back to the system: a Python worker lives on
+    after its task, and what its allocators keep counts against the executor."""
+
+    @functools.wraps(run)
+    def held(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return held
+
+
 def mark() -> int:
     """How many tables :func:`written` has made: a place in their order."""
     return len(_written)

@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 TIERS = (256, 512, 1024, 2048)
 END = 1
 #: Left-over tokens held before they are packed.
@@ -289,4 +291,4 @@ def pack(docs: DataFrame, tokenizer_path: str, key: str = "doc_id", text: str =
             yield emit(rows)
 
     slim = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return slim.mapInArrow(run, SCHEMA).withColumnRenamed("doc_id", key)
+    return slim.mapInArrow(tidy(run), SCHEMA).withColumnRenamed("doc_id", key)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import field, join_by_key, mark, settled, with_rows, written
+from .common import field, join_by_key, mark, settled, tidy, with_rows, written
 from .components import components
 
 SEED = 42
@@ -249,7 +249,7 @@ def _gray_links(filed: DataFrame, radius: int, turns: dict[int, int], size: int
         if held:
             yield find()
 
-    return filed.repartitionByRange("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(run, "u long, v long")
+    return filed.repartitionByRange("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(tidy(run), "u long, v long")
 
 
 def _link(filed: DataFrame, radius: int) -> DataFrame:
@@ -283,7 +283,7 @@ def _link(filed: DataFrame, radius: int) -> DataFrame:
         if held:
             yield find(held)
 
-    return filed.repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(run, "u long, v long")
+    return filed.repartition("k1", "k2").sortWithinPartitions("k1", "k2").mapInArrow(tidy(run), "u long, v long")
 
 
 def _masks(mask: int, blocks: int) -> list[int]:
@@ -343,7 +343,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], names=["key", "fp"])
 
     slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    marked = written(slim.mapInArrow(run, "key long, fp long"))
+    marked = written(slim.mapInArrow(tidy(run), "key long, fp long"))
     least = written(marked.groupBy("fp").agg(F.min("key").alias("least"), F.count("*").alias("n")))
     roots = components(links(least.select("fp"), radius, crowd, size))
     rooted = least.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", "n", F.coalesce("root", "fp").alias("root"))
@@ -428,7 +428,7 @@ def _hub_links(filed: DataFrame, similarity: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["row", "root", "part", "linked"])
 
     first = filed.repartition("root", "part").sortWithinPartitions("root", "part", F.col("row") != F.col("root"))
-    return first.mapInArrow(run, "row long, root long, part int, linked boolean")
+    return first.mapInArrow(tidy(run), "row long, root long, part int, linked boolean")
 
 
 def _rest_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
@@ -464,7 +464,7 @@ def _rest_links(filed: DataFrame, similarity: float, radius: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], names=["u", "v"])
 
     first = filed.repartition("root", "i", "part").sortWithinPartitions("root", "i", "part", F.desc("rest"), "row")
-    return first.mapInArrow(run, "u long, v long")
+    return first.mapInArrow(tidy(run), "u long, v long")
 
 
 def exact_links(roots: DataFrame, slim: DataFrame, words: int, similarity: float, radius: int, block: int) -> DataFrame:
@@ -485,7 +485,7 @@ def exact_links(roots: DataFrame, slim: DataFrame, words: int, similarity: float
 
     dealt = roots.join(large, "root", "left").select("root", F.col("node").alias("row"), F.coalesce("parts", F.lit(1)).alias("parts"))
     texts = dealt.join(slim.select("row", "text"), "row").select("root", "row", "parts", "text")
-    held = written(texts.mapInArrow(with_sets, "root long, row long, parts int, print binary, set binary").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")))
+    held = written(texts.mapInArrow(tidy(with_sets), "root long, row long, parts int, print binary, set binary").withColumn("part", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")))
     others, hubs = held.where("row <> root"), held.where("row = root")
     copies = hubs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     names = ["root", "part", "row", "set"]
@@ -565,7 +565,7 @@ def _shared(postings: DataFrame, most: int = MOST_HELD) -> DataFrame:
         if held:
             yield find(held)
 
-    return postings.select("k2", "id").repartition("k2").sortWithinPartitions("k2", "id").mapInArrow(run, "k2 long, id long").distinct().select(F.lit(0).cast("long").alias("k1"), "k2", "id")
+    return postings.select("k2", "id").repartition("k2").sortWithinPartitions("k2", "id").mapInArrow(tidy(run), "k2 long, id long").distinct().select(F.lit(0).cast("long").alias("k1"), "k2", "id")
 
 
 def _common(slim: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -577,7 +577,7 @@ def _common(slim: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.RecordBatch.from_arrays([pa.array(shingle_set(t, words).view(np.int64))], names=["shingle"])
 
     every = max(1, slim.count() // COUNTED)
-    some = slim.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("text").mapInArrow(run, "shingle long")
+    some = slim.where(F.pmod(F.xxhash64("row"), F.lit(every)) == 0).select("text").mapInArrow(tidy(run), "shingle long")
     got = some.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON).toArrow()
     shingles, n = got["shingle"].to_numpy().view(np.uint64), got["n"].to_numpy()
     order = np.argsort(shingles)
@@ -609,7 +609,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", words: in
                 lists = [pa.array([x[h == want].view(np.int64) for x, h in zip(first, hot)], pa.list_(pa.int64())) for want in (False, True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), pa.array([wide_fingerprint(s) for s in sets], pa.binary()), *lists, batch.column(2)], names=["row", "same", "print", "rare", "hot", "id"])
 
-    marked = slim.mapInArrow(run, "row long, same binary, print binary, rare array<long>, hot array<long>, id long")
+    marked = slim.mapInArrow(tidy(run), "row long, same binary, print binary, rare array<long>, hot array<long>, id long")
     # one row for each set: its smallest id, then row
     firsts = marked.groupBy("same").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"), F.first("print").alias("print"), F.first("rare").alias("rare"), F.first("hot").alias("hot"))
     firsts = written(firsts.select("best.id", "best.row", "print", "rare", "hot"))
