@@ -6,12 +6,13 @@ import re
 import zlib
 from collections import defaultdict
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, conversations, fim
+from tidemark.llm import byte_bpe, conversations, fim, queries, sql
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 TEXTS = [
@@ -116,10 +117,15 @@ def trie_rows(df):
     return sorted((tuple(r[c] for c in COLUMNS) for r in conversations.trie(df).collect()), key=str)
 
 
-def test_trie(spark):
+def odd_turns():
     rows = [(c, t, "user" if t % 2 == 0 else "bot", f"turn {t} of {c % 3 if t < 3 else c % 11}é") for c in range(-12, 60) for t in range(c % 13)]
     rows += [(None, 1, "user", "nobody's"), (70, None, None, None), (70, None, None, None), (70, 2, "user", "b"), (70, 2, "user", "a"), (70, 2, "bot", "z"), (71, 1, "user", "x" * 50000), (71, 1, "user", "x" * 50000 + "y")]
     rows += [(c, 0, "user", "copy") for c in range(200_000, 200_300)] + [(100, t, "user", "same") for t in range(150)] + [(101, t, "user", "same") for t in range(200)]
+    return rows
+
+
+def test_trie(spark):
+    rows = odd_turns()
     df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumns({"key": F.lit(1), "depth": F.lit("x")})
     assert trie_rows(df.repartition(7)) == plain_trie(rows)
     assert conversations.trie(df.limit(0)).collect() == []
@@ -143,3 +149,15 @@ def test_trie_of_one_long_conversation_over_many_tasks(spark):
         ends = ",".join(str(c) for c in here if made[c] == d)
         want.append((here[0], d, above[0] if d else None, len(here), int(d < 3000), 1, saved, sha(ends)))
     assert got == sorted(want, key=str)
+
+
+def test_queries_equal_their_sql_on_odd_rows(spark, docs, tmp_path):
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(odd_turns(), "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    duck = duckdb.connect()
+    for t in ("documents", "conversations"):
+        duck.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    for f in (queries.op11_fill_in_middle, queries.op12_conversation_trie):
+        got, want = f(spark, str(tmp_path)), duck.sql(sql.ORACLES[f.__name__])
+        assert sorted(got.columns) == sorted(want.columns)
+        assert sorted((tuple(r[c] for c in want.columns) for r in got.collect()), key=str) == sorted(want.fetchall(), key=str)
