@@ -126,15 +126,22 @@ def alerts(signals: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def started(writer: DataStreamWriter, spark: SparkSession) -> StreamingQuery:
-    """Start a stream on the state store that processors need; the session's own choice stays as it was."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    had = spark.conf.get(key, None)
-    spark.conf.set(key, STORE)
+def started(writer: DataStreamWriter, spark: SparkSession, partitions: int | None = None) -> StreamingQuery:
+    """Start a stream on the state store that processors need; the session's own settings stay as they were.
+
+    A stream's state is cut into ``partitions`` when it first starts, and each costs something in every batch: twice the
+    cluster's cores if not given, where the session's shuffles would have more.
+    """
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    own = {"spark.sql.streaming.stateStore.providerClass": STORE, "spark.sql.shuffle.partitions": str(partitions or min(most, 2 * spark.sparkContext.defaultParallelism))}
+    had = {key: spark.conf.get(key, None) for key in own}
+    for key, value in own.items():
+        spark.conf.set(key, value)
     try:
         return writer.start()
     finally:
-        spark.conf.unset(key) if had is None else spark.conf.set(key, had)
+        for key, value in had.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
 def drain(stream: DataFrame, path: str, keys: list[str] | None = None, mode: str = "append") -> DataFrame:
