@@ -33,7 +33,7 @@ BUFFER = 1 << 19
 #: Tokens of a step group.
 STEP = 1 << 14
 #: Distinct words whose ids a worker remembers before it starts anew.
-CACHE = 700_000
+CACHE = 400_000
 #: Marks that the tokenizer always cuts off behind an ASCII letter or digit.
 TAIL = b".,!?;:*#$%&"
 #: Put between words that are tokenised together: one id, cut off on both sides by white space.
