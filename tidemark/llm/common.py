@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import ctypes
 import functools
-import gc
+import mmap
 import tempfile
 import uuid
 import zlib
@@ -50,6 +50,10 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a worker's memory from which a task gives back what it held; small tasks are many, and this takes a while.
+TIDY_FROM = 256 << 20
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A function over Arrow batches that at its end gives the memory it held back to the system: a Python worker lives on
     after its task, and what its allocators keep counts against the executor."""
@@ -59,10 +63,12 @@ def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
         try:
             yield from run(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            with contextlib.suppress(OSError, AttributeError):  # another system has no such file or call
+                with open("/proc/self/statm") as sizes:
+                    resident = int(sizes.read().split()[1]) * mmap.PAGESIZE
+                if resident > TIDY_FROM:
+                    pa.default_memory_pool().release_unused()
+                    ctypes.CDLL("libc.so.6").malloc_trim(0)
 
     return held
 
