@@ -109,6 +109,18 @@ def test_frames_merge_by_field(spark, tmp_path):
     assert (got.px, got.qty, got.stale) == (5.0, 8.0, True)
 
 
+def test_frames_come_in_any_order(spark, tmp_path):
+    """Newest first over several Arrow batches, then older ones within the lateness: the newest of each field stays."""
+    secs = F.lit(1_700_000_000) + F.lit(60_000) - F.col("id")
+    df = spark.range(30_000).select(F.lit("A").alias("symbol"), F.timestamp_seconds(secs).alias("ts"), "id", F.when(F.col("id") % 3 == 1, F.col("id").cast("double")).alias("px"), F.when(F.col("id") % 3 == 2, F.col("id").cast("double")).alias("qty"))
+    (tmp_path / "a").mkdir()
+    got = streams.drain(streams.merged_frames(feed(df.coalesce(1), tmp_path / "a", 1), ("px", "qty")), str(tmp_path / "s"), ["symbol"], "update").first()
+    assert (got.ts.timestamp(), got.px, got.qty, got.stale) == (1_700_060_000, 1.0, 2.0, False)
+    late = spark.createDataFrame([("A", at(20), 0, 5.0, None), ("A", at(10), 1, 6.0, 7.0)], "symbol string, ts timestamp, id long, px double, qty double")
+    got = streams.drain(streams.merged_frames(feed(late, tmp_path, 2), ("px", "qty")), str(tmp_path / "t"), ["symbol"], "update").first()
+    assert (got.ts, got.px, got.qty, got.stale) == (at(20), 5.0, 7.0, False)
+
+
 def test_retries_and_storing(spark, tmp_path):
     b = spark.createDataFrame([(f"b{i % 2}", at(i), i) for i in range(4)], "batchId string, capturedAt timestamp, id long")
     got = streams.drain(streams.without_retries(feed(b, tmp_path, 2)), str(tmp_path / "s"))
