@@ -121,6 +121,16 @@ def test_frames_come_in_any_order(spark, tmp_path):
     assert (got.ts, got.px, got.qty, got.stale) == (at(20), 5.0, 7.0, False)
 
 
+def test_few_frames_of_a_busy_symbol_are_left(spark):
+    """What merges to the same board: of each symbol the newest frame, and the newest with each field."""
+    n = F.col("id")
+    df = spark.range(0, 5000, 1, 1).select(F.concat(F.lit("s"), (n % 3).cast("string")).alias("symbol"), F.timestamp_seconds(n * 7919 % 5003).alias("ts"), *(F.when(n % 5 == k, n.cast("double")).alias(f) for k, f in enumerate(("px", "qty"))))
+    left = streams.thinned(df, "symbol", "ts", ("px", "qty"))
+    assert left.count() <= 9
+    best = lambda x: {r.symbol: tuple(r)[1:] for r in x.groupBy("symbol").agg(F.max("ts"), *(F.max_by(f, F.when(F.col(f).isNotNull(), F.col("ts"))) for f in ("px", "qty"))).collect()}
+    assert best(left) == best(df)
+
+
 def test_retries_and_storing(spark, tmp_path):
     b = spark.createDataFrame([(f"b{i % 2}", at(i), i) for i in range(4)], "batchId string, capturedAt timestamp, id long")
     got = streams.drain(streams.without_retries(feed(b, tmp_path, 2)), str(tmp_path / "s"))

@@ -182,10 +182,12 @@ def board(frames: DataFrame, fields: tuple[str, ...], expiry_secs: int = 7 * 864
     """(symbol, ts, each field, its age in seconds): the last known value of each field, from (symbol, ts, fields).
 
     An age is the time from the field's own last frame to the symbol's. A field not sent for ``expiry_secs`` is unknown
-    again, a symbol not seen for ``keep_secs`` is forgotten. Update mode: a symbol's last row is its board.
+    again, a symbol not seen for ``keep_secs`` is forgotten. Update mode: a symbol's last row is its board. Only frames
+    that are the newest of something in their Arrow batch reach the processor, so a busy symbol's task stays short.
     """
     processor = Board(fields, expiry_secs * SECOND, keep_secs * SECOND)
-    rows = _with_micros(frames, "ts", limits).select("symbol", "ts", "us", *(F.col(f).cast("double").alias(f) for f in fields))
+    slim = frames.select("symbol", "ts", *(F.col(f).cast("double").alias(f) for f in fields))
+    rows = _with_micros(capture.thinned(slim, "symbol", "ts", fields), "ts", limits)
     out = _run(rows, ["symbol"], processor, processor.out, "Update")
     return out.select("symbol", F.timestamp_micros("us").alias("ts"), *(c for c in out.columns if c not in ("symbol", "us")))
 
