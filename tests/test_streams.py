@@ -4,6 +4,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.config import Limits
@@ -96,6 +97,56 @@ def test_later_prices_whatever_the_order_of_arrival(spark, tmp_path):
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_later_prices_of_other_days(spark, tmp_path):
+    """Prices past midnight, of the next day that has any, and none at all."""
+    prices = [("A", DAY, at(m), k, None, None, p) for k, (m, p) in enumerate([(0, 1.0), (16 * 60 + 31, 2.0), (17 * 60 + 4, 3.0), (17 * 60 + 40, 4.0), (4 * 1440, 5.0), (4 * 1440 + 700, 6.0)])]
+    fired = [("A", DAY, at(m), 100 + m, "WALL_PULLED", 1.0, None) for m in (-5, 0, 16 * 60 + 30, 17 * 60 - 1, 17 * 60, 18 * 60, 2 * 1440, 4 * 1440 + 690, 5 * 1440)]
+    seen = spark.createDataFrame(prices + fired, "symbol string, trading_date date, ts timestamp, id long, signal string, price double, px double")
+    closing = spark.createDataFrame([(None, None, dt.datetime(2100, 1, 1), None, None, None, None)], seen.schema)
+    got = streams.replay(seen, "ts", stateful.scores, str(tmp_path / "s"), closing=closing)
+    signals = seen.where("signal is not null").select("symbol", "trading_date", F.col("ts").alias("fired_at"), "id", "signal", "price")
+    want = minute.score(signals, seen.where("signal is null").select("symbol", "ts", "id", F.col("px").alias("last_price")))
+    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_day_of_signals_has_few_timers_and_state_calls():
+    """However many signals a key has, it is one timer, and one call to each state."""
+    calls = []
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        getValueState = getListState = lambda self, *_: State()
+
+        def registerTimer(self, at):
+            calls.append("timer")
+
+    class Now:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    made = stateful.LaterPrices((5, 15, 60))
+    made.init(Handle())
+    row = Row("us", "id", "signal", "trading_date", "price", "px")
+    rows = [row(k * 1_000_000, k, "X" if k % 2 else None, DAY, 1.0, None if k % 2 else 2.0) for k in range(2000)]
+    assert list(made.handleInputRows(("A", 0), iter(rows), Now())) == []
+    assert calls.count("timer") == 1 and calls.count("update") == 2
+
+
 def test_alerts_are_throttled(spark, tmp_path):
     t = [0, 30, 59, 60, 61, 125, 130]
     df = spark.createDataFrame([("A", "X", DAY, at(0) + dt.timedelta(seconds=s), i) for i, s in enumerate(t)], "symbol string, signal string, trading_date date, fired_at timestamp, id long")

@@ -1,14 +1,18 @@
 """Stateful operators over captures: snapshots, the board's fields, minute volumes, slots and later prices.
 
 Each is a processor with its own named states and event-time timers, keyed so that no key's state grows with the feed:
-a symbol's day, a symbol's fields, a session's slots, a symbol's open signals. Times are microseconds inside. The rows of
+a symbol's day, a symbol's fields, a session's slots, the open signals of a symbol's day. Times are microseconds inside. The rows of
 one key in one micro-batch are put in order first; what arrives behind the watermark is dropped by Spark.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import pickle
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -313,68 +317,141 @@ def slots(paces: DataFrame, seeds: DataFrame, limits: Limits = LIMITS, end_hours
 
 
 class LaterPrices(StatefulProcessor):
-    """Open signals of a symbol with the earliest price known at or after each of their instants.
+    """Open signals of a symbol's day with the earliest price known at or after each of their instants.
 
-    A price is final once the watermark is past it, as none before it can come any more; a signal goes out when all its
-    prices are final, or at ``patience`` after it fired with those it has. Prices that a late signal may ask for are kept.
+    A day's prices are its own and those that its last signals may still ask for. A price is final once the watermark is
+    past it, as none before it can come any more; a signal goes out when all its prices are final, or when the day is over
+    with those it has. Then the day's first price that an earlier day lacks goes out too. Prices that a late signal may ask
+    for are kept. Rows of one key are looked up and stored together, and it has a timer for the next instant that settles
+    something: a call to the state store for each row or signal would take longer than all else.
     """
 
-    def __init__(self, minutes: tuple[int, ...], late: int, patience: int):
-        self.minutes, self.late, self.patience = minutes, late, patience
-        self.out = "symbol string, trading_date date, us long, id long, signal string, price double, " + ", ".join(f"px_{m}min double" for m in minutes)
+    def __init__(self, minutes: tuple[int, ...]):
+        self.minutes, self.reach = minutes, max(minutes) * MINUTE
+        self.out = "symbol string, lane long, emitted timestamp, day long, us long, id long, signal string, trading_date date, price double, " + ", ".join(f"px_{m}min double" for m in minutes)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle, self.row = handle, _maker(self.out)
-        found = ", ".join(f"at{m} long, id{m} long, px{m} double" for m in self.minutes)
-        self.open = handle.getListState("open", f"us long, id long, signal string, trading_date string, price double, {found}")
-        self.recent = handle.getListState("recent", "us long, id long, px double")
+        self.open = handle.getValueState("open", "packed binary")  # us, id, signal, trading_date, price, then at, id and price of each answer
+        self.recent = handle.getValueState("recent", "packed binary")  # us, id, px
+        self.first = handle.getValueState("first", "us long, id long, px double")
+
+    def held(self, state) -> list[tuple]:
+        return pickle.loads(state.get()[0]) if state.exists() else []
+
+    def hold(self, state, rows: list[tuple]) -> None:
+        state.update((pickle.dumps(rows),)) if rows else state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        prices = list(self.recent.get()) if self.recent.exists() else []
-        signals = [(tuple(s), False) for s in self.open.get()] if self.open.exists() else []
-        came = []
+        watermark = timerValues.getCurrentWatermarkInMs()
+        had, old = self.held(self.recent), self.held(self.open)
+        came, new, unknown = [], [], (None,) * (3 * len(self.minutes))
         for r in rows:
-            if r.signal is None and r.px is not None:
+            if r.signal is None:
                 came.append((r.us, r.id, r.px))
-            elif r.signal is not None:
-                signals.append(((r.us, r.id, r.signal, str(r.trading_date), r.price, *(None, None, None) * len(self.minutes)), True))
-                self.handle.registerTimer(_ms(r.us + self.patience))
+            else:
+                new.append((r.us, r.id, r.signal, r.trading_date, r.price, *unknown))
         came.sort()
-        every = sorted(prices + came) if any(new for _, new in signals) else came
-        kept = [self.looked_up(s, every if new else came) for s, new in signals]
+        prices = sorted(had + came)
+        begins = bisect_left(came, (key[1] * DAY + self.reach,))
+        if begins < len(came) and (not self.first.exists() or came[begins] < tuple(self.first.get())):
+            self.first.update(came[begins])
+        signals = self.looked_up(old, came) + self.looked_up(new, prices)
         # a late signal fired after the watermark at the earliest, and asks for prices some minutes after that
-        since = timerValues.getCurrentWatermarkInMs() * 1000 + min(self.minutes) * MINUTE
-        prices = [p for p in sorted(prices + came) if p[0] >= since]
-        self.recent.put(prices) if prices else self.recent.clear()
-        yield from self.settle(key, kept, timerValues.getCurrentWatermarkInMs())
-
-    def looked_up(self, s: tuple, prices: list[tuple]) -> tuple:
-        from bisect import bisect_left
-
-        s = list(s)
-        for k, m in enumerate(self.minutes):
-            i = bisect_left(prices, (s[0] + m * MINUTE,))
-            at = 5 + 3 * k
-            if i < len(prices) and (s[at] is None or prices[i][:2] < (s[at], s[at + 1])):
-                s[at : at + 3] = prices[i]
-                self.handle.registerTimer(_ms(prices[i][0]) + 1)
-        return tuple(s)
+        prices = prices[bisect_left(prices, (watermark * 1000 + min(self.minutes) * MINUTE,)) :]
+        self.hold(self.recent, prices)
+        yield from self.settle(key, signals, watermark)
+
+    def looked_up(self, signals: list[tuple], prices: list[tuple]) -> list[tuple]:
+        if not signals or not prices:
+            return signals
+        fired, at = np.array([s[0] for s in signals]), np.array([p[0] for p in prices])
+        places = [np.searchsorted(at, fired + m * MINUTE).tolist() for m in self.minutes]
+        out = []
+        for s, *found in zip(signals, *places):
+            answers = list(s[5:])
+            for k, i in enumerate(found):
+                if i < len(prices) and (answers[3 * k] is None or prices[i][:2] < (answers[3 * k], answers[3 * k + 1])):
+                    answers[3 * k : 3 * k + 3] = prices[i]
+            out.append((*s[:5], *answers))
+        return out
 
     def settle(self, key, signals: Iterable[tuple], watermark: int) -> Iterator[Row]:
-        import datetime as dt
-
-        still = []
+        over = _ms((key[1] + 1) * DAY + self.reach) + 1
+        emitted = dt.datetime.fromtimestamp(watermark // 1000 + 1)  # not late for what comes after
+        still, due = [], over
         for s in signals:
-            final = all(s[5 + 3 * k] is not None and _ms(s[5 + 3 * k]) < watermark for k in range(len(self.minutes)))
-            if final or _ms(s[0] + self.patience) <= watermark:
-                yield self.row(key[0], dt.date.fromisoformat(s[3]), s[0], s[1], s[2], s[4], *(s[7 + 3 * k] for k in range(len(self.minutes))))
+            known = None not in s[5::3]
+            final = _ms(max(s[5::3])) + 1 if known else over
+            if min(final, over) <= watermark:
+                yield self.row(key[0], 2 * key[1] + 1 if known else 0, emitted, key[1], *s[:5], *s[7::3])
             else:
                 still.append(s)
-        self.open.put(still) if still else self.open.clear()
+                due = min(due, final)
+        self.hold(self.open, still)
+        if over > watermark:
+            self.handle.registerTimer(due)
+            return
+        if self.first.exists():
+            yield self.row(key[0], 0, emitted, key[1], *self.first.get()[:2], None, None, self.first.get()[2], *[None] * len(self.minutes))
+        self.first.clear()
+        self.recent.clear()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.open.exists() or self.first.exists() or self.recent.exists():
+            yield from self.settle(key, self.held(self.open), timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+
+class LaterDays(StatefulProcessor):
+    """What a day's own prices left open, answered by the next day that has a price; all else passes in lanes of its own.
+
+    Days that are over come in one batch, so an earlier day never comes after a later one. A signal that no day answers
+    goes out ``patience`` after it fired with the prices it has.
+    """
+
+    def __init__(self, minutes: tuple[int, ...], patience: int):
+        self.minutes, self.patience = minutes, patience
+        self.prices = ", ".join(f"px_{m}min double" for m in minutes)
+        self.out = f"symbol string, trading_date date, us long, id long, signal string, price double, {self.prices}"
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle, self.row = handle, _maker(self.out)
+        self.open = handle.getListState("open", f"day long, us long, id long, signal string, trading_date date, price double, {self.prices}")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[1]:
+            for r in rows:
+                yield self.row(r.symbol, r.trading_date, r.us, r.id, r.signal, r.price, *r[9:])
+            return
+        signals, firsts = [tuple(s) for s in self.open.get()] if self.open.exists() else [], []
+        for r in rows:
+            if r.signal is None:
+                firsts.append((r.day, r.price))
+            else:
+                signals.append(tuple(r[3:]))
+        yield from self.settle(key, signals, sorted(firsts), timerValues.getCurrentWatermarkInMs())
+
+    def settle(self, key, signals: list[tuple], firsts: list[tuple], watermark: int) -> Iterator[Row]:
+        still = []
+        for day, us, n, signal, trading_date, price, *found in signals:
+            i = bisect_left(firsts, (day + 1,))
+            if i < len(firsts) or _ms(us + self.patience) <= watermark:
+                after = firsts[i][1] if i < len(firsts) else None
+                yield self.row(key[0], trading_date, us, n, signal, price, *(after if x is None else x for x in found))
+            else:
+                still.append((day, us, n, signal, trading_date, price, *found))
+        if still:
+            self.open.put(still)
+            self.handle.registerTimer(_ms(min(s[1] for s in still) + self.patience))
+        else:
+            self.open.clear()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.open.exists():
-            yield from self.settle(key, [tuple(s) for s in self.open.get()], timerValues.getCurrentWatermarkInMs())
+            yield from self.settle(key, [tuple(s) for s in self.open.get()], [], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -383,10 +460,18 @@ class LaterPrices(StatefulProcessor):
 def scores(seen: DataFrame, limits: Limits = LIMITS, patience_days: int = 30) -> DataFrame:
     """Signals with their later prices and grade, as :func:`minute.score` gives them, from one stream of both.
 
-    ``seen``: (symbol, trading_date, ts, id, signal, price, px); a row without signal is an observed price. A signal that
-    no price answers for ``patience_days`` is graded as far as it can be.
+    ``seen``: (symbol, trading_date, ts, id, signal, price, px); a row without signal is an observed price. Two stateful
+    operators in a chain: a symbol's days, each for itself, then what only another day answers. A signal that no price
+    answers for ``patience_days`` is graded as far as it can be.
     """
-    processor = LaterPrices(limits.score_minutes, limits.late_minutes * MINUTE, patience_days * DAY)
-    rows = _with_micros(seen, "ts", limits).select("symbol", "trading_date", "ts", "us", "id", "signal", "price", "px")
-    out = _run(rows, ["symbol"], processor, processor.out)
+    within, across = LaterPrices(limits.score_minutes), LaterDays(limits.score_minutes, patience_days * DAY)
+    day = lambda us: F.floor(us / DAY)
+    price = F.col("signal").isNull()
+    rows = _with_micros(seen, "ts", limits)
+    days = F.sequence(day(F.col("us") - F.when(price, within.reach).otherwise(0)), day(F.col("us")))
+    # a row with neither moves the clock only; were it filtered, it would be so before the watermark sees it
+    days = F.when(~price | F.col("px").isNotNull(), days).otherwise(F.slice(days, 1, 0))
+    rows = rows.select("symbol", F.explode(days).alias("day"), "trading_date", "ts", "us", "id", "signal", "price", "px")
+    answers = rows.groupBy("symbol", "day").transformWithState(within, within.out, "Append", "EventTime", None, "emitted")
+    out = _run(answers, ["symbol", "lane"], across, across.out)
     return minute.graded(out.withColumn("fired_at", F.timestamp_micros("us")).drop("us"), limits)
