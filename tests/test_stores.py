@@ -145,3 +145,13 @@ def test_schema_report(spark):
     got = {(r.table, r.column): (r.found, r.nulls, r.ok) for r in quality.schema_report(spark, {"reported": {"a": "bigint not null", "b": "string not null", "c": "int"}, "nowhere": {"d": "int"}}).collect()}
     assert got == {("reported", "a"): ("bigint", 0, True), ("reported", "b"): ("string", 1, False), ("reported", "c"): ("missing", None, False), ("nowhere", "d"): ("missing table", None, False)}
     assert [(r.column, r.position) for r in quality.catalogue(spark, ["reported"]).orderBy("position").collect()] == [("a", 0), ("b", 1)]
+
+
+def test_sightings_are_dealt_by_the_size_of_their_table(spark, monkeypatch):
+    """What a task holds doesn't grow with the table: its partitions do, and lines and orders are shuffled once."""
+    from tidemark.operators import orders
+    from tidemark.sources import standins
+
+    monkeypatch.setattr(standins, "LINES", 4096)
+    folded = orders.fold(standins.sightings(spark, "/root/testdata/sf0.001"))
+    assert folded.rdd.getNumPartitions() == -(-os.path.getsize("/root/testdata/sf0.001/lineitem.parquet") // 4096) > 20

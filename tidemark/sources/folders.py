@@ -37,6 +37,12 @@ def file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file or of all files in a folder."""
+    fs, at = file_system(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = file_system(spark, path)
     fs.delete(at, True)

@@ -8,6 +8,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import folders
+
+#: Bytes of stored lines of orders for each partition of them: what a task holds does not grow with the table.
+LINES = 4 << 20
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -81,7 +86,8 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order sightings: each line of an order is one look at it, with a growing filled quantity."""
-    line, order = read(spark, sf_dir, "lineitem"), read(spark, sf_dir, "orders")
+    n = max(spark.sparkContext.defaultParallelism, -(-folders.size(spark, f"{sf_dir}/lineitem.parquet") // LINES))
+    line, order = read(spark, sf_dir, "lineitem").repartition(n, "l_orderkey"), read(spark, sf_dir, "orders").repartition(n, "o_orderkey")
     one = line.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_quantity").alias("q"), F.max("l_extendedprice").alias("px"), F.max("l_tax").alias("tax"), F.max("l_partkey").alias("part"))
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
     seen = one.join(order, one.l_orderkey == order.o_orderkey).select(
