@@ -18,8 +18,8 @@ from . import folders
 
 
 def replace_days(df: DataFrame, path: str, by: str = "trading_date") -> None:
-    """Overwrite only the partitions that ``df`` has rows for."""
-    df.repartition(by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    """Overwrite only the partitions that ``df`` has rows for; one with much becomes several files, of a task each."""
+    df.hint("rebalance", F.col(by)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
