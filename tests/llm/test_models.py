@@ -243,6 +243,21 @@ def test_pairs_pull_apart():
     assert (x @ w < threshold).sum() == len(bad)
 
 
+def test_every_labelled_text_counts(spark):
+    """With a start from 40 of 400 ids the threshold parts all ids by the number of bad ones, not those 40 only."""
+    ids = [k for k in range(700) if zlib.crc32(str(k).encode()) % 4 != 2][:400]
+    rng = np.random.default_rng(2)
+    rows = [(k, " ".join(["calm", "river", "###", "BUY"][j] for j in rng.integers(0, 3 if k % 3 else 4, 12))) for k in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 > 0)) for k in ids], "doc_id long, quality int")
+    weights, threshold, scale = quality_model.train(docs, labels, "doc_id", "text", "quality", quality_model.FOLDS, 40)
+    f = quality_model.Features()
+    s = np.array([float(f(t) @ weights) for _, t in rows])
+    bad = sum(k % 3 == 0 for k in ids)
+    order = np.sort(s)
+    assert order[bad - 1] - 1e-4 <= threshold <= order[bad] + 1e-4 and abs(scale - s.std() / 4) < 1e-4
+
+
 def test_quality_score_by_definition(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     whole = spark.read.parquet(f"{SF}/documents.parquet")

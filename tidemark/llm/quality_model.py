@@ -3,7 +3,7 @@
 Every labelled good text is preferred to every labelled bad one. A text's strength is linear in its features: counts of
 symbols, capitals, repeats and the like, and hashed words, word beginnings and word ends. The
 chance that one is preferred to another is the logistic function of the difference of strengths; weights minimise the
-logistic loss over sampled pairs. The threshold is the strength's quantile at the share of bad labels; scores are
+logistic loss over pairs, from weights learnt of a few ids on to steps over every pair of all labelled ids. The threshold is the strength's quantile at the share of bad labels; scores are
 shifted so that it falls on 0.7.
 
 Defined results: a null text is empty and scored like one; a document with several or null labels counts as labelled
@@ -21,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_fold, py_in_fold
+from .common import in_fold, py_in_fold, written
 from .textview import TextView
 
-#: Bound of the sample of labelled rows that the weights are learnt from, and of the pairs drawn from it.
-MOST_LABELLED, MOST_PAIRS = 6_000, 200_000
+#: Labelled ids that the driver fits at once; of more these only give the weights that steps over all ids start from.
+MOST_LABELLED = 6_000
+#: Steps over all labelled ids, and the width of the cells of strength that their pairs meet in.
+STEPS, CELL = 12, 0.01
 #: Hashed features, and words whose places a worker remembers.
 HASHED, REMEMBERED = 1 << 12, 500_000
 EDGE = b".,;:!?\"'()[]{}<>*#$%&~-_"
@@ -84,16 +86,22 @@ def sample_labels(labels: DataFrame, label: str, key: str, folds: tuple[int, int
     return known.orderBy(F.md5(F.col("_id").cast("string").cast("binary")), "_label").limit(most)
 
 
+def labelled(labels: DataFrame, label: str, key: str, folds: tuple[int, int]) -> DataFrame:
+    """All labelled ids outside the held-out fold; an id labelled both ways counts with the larger label."""
+    return labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~in_fold(key, *folds)).groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
+
+
 def stratified(labels: DataFrame, label: str, key: str, folds: tuple[int, int], most: int) -> tuple[DataFrame, dict[int, float]]:
     """Half of ``most`` ids of each label at most, and how many ids each of them stands for: a rare label is never crowded out."""
-    known = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~in_fold(key, *folds)).groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
+    known = labelled(labels, label, key, folds)
     sizes = {r._label: r["count"] for r in known.groupBy("_label").count().collect()}  # two rows
     parts = [known.where(F.col("_label") == y).orderBy(F.md5(F.col("_id").cast("string").cast("binary"))).limit(max(1, most // 2)) for y in (0, 1)]
     return parts[0].unionByName(parts[1]), {y: max(1.0, n / max(1, most // 2)) for y, n in sizes.items()}
 
 
-def fit(x: np.ndarray, y: np.ndarray, stands: np.ndarray | None = None, rounds: int = 150, rate: float = 1.0, ridge: float = 3e-4, seed: int = 5) -> tuple[np.ndarray, float, float]:
-    """Weights, threshold and scale. A pair pulls its two texts apart, so a step costs one product over the texts.
+def fit(x: np.ndarray, y: np.ndarray, stands: np.ndarray | None = None, rounds: int = 150, rate: float = 1.0, ridge: float = 3e-4) -> tuple[np.ndarray, float, float]:
+    """Weights, threshold and scale. Every pair pulls its two texts apart; the other label's strengths are counted by narrow
+    cells, so a step costs one product over the texts, and no pair is drawn.
 
     The threshold is the quantile of scores at the share of bad texts, each text counted as many times as it ``stands`` for.
     """
@@ -101,14 +109,15 @@ def fit(x: np.ndarray, y: np.ndarray, stands: np.ndarray | None = None, rounds:
     weights = np.zeros(x.shape[1], np.float32)
     if not len(good) or not len(bad):
         return weights, 0.0, 1.0
-    rng = np.random.default_rng(seed)
-    n = min(MOST_PAIRS, 50 * max(len(good), len(bad)))
-    better, worse = rng.choice(good, n), rng.choice(bad, n)
     speed = np.zeros_like(weights)
     for _ in range(rounds):
         strength = x @ weights
-        pull = 1 / (1 + np.exp(np.clip(strength[better] - strength[worse], -50, 50)))
-        each = (np.bincount(better, pull, len(x)) - np.bincount(worse, pull, len(x))) / n
+        each = np.zeros(len(x))
+        for mine, other, way in ((good, bad, -1), (bad, good, 1)):
+            cells, many = np.unique(np.floor(strength[other] / CELL), return_counts=True)
+            grid = np.linspace(strength.min() - CELL, strength.max() + CELL, 512)
+            pull = (1 / (1 + np.exp(np.clip(-way * (grid[:, None] - (cells + 0.5) * CELL), -50, 50)))) @ many / len(other)
+            each[mine] = -way * np.interp(strength[mine], grid, pull) / len(mine)
         speed = 0.9 * speed + rate * (each.astype(np.float32) @ x - ridge * weights)
         weights += speed
     strength = x @ weights
@@ -122,32 +131,96 @@ def fit(x: np.ndarray, y: np.ndarray, stands: np.ndarray | None = None, rounds:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, folds: tuple[int, int], most: int) -> tuple[np.ndarray, float, float]:
-    """Learn from one text of each chosen id (the first by hash, where rows with its id differ), so that the sample is
-    bounded however often an id is repeated."""
+    """Learn from one text of each labelled id (the first by hash, where rows with its id differ), however many there are.
+
+    The driver starts from at most ``most`` of them. If there are more, steps over all of them follow, and threshold and
+    scale come from all.
+    """
     chosen, stand = stratified(labels, label, key, folds, most)
-    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(F.broadcast(chosen), "_id")
-    firsts = rows.groupBy("_id", "_label").agg(F.min(F.md5(F.col("_text").cast("binary"))).alias("_hash"))  # hashes only are shuffled
-    rows = rows.withColumn("_hash", F.md5(F.col("_text").cast("binary"))).join(F.broadcast(firsts), ["_id", "_label", "_hash"]).select("_id", "_label", "_text")
+    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(labelled(labels, label, key, folds), "_id")
 
     def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
-                x = [features(t) for t in part.column(2).to_pylist()]
+                x = [features(t) for t in part.column(3).to_pylist()]
                 at = [np.flatnonzero(row) for row in x]
                 raw = [i.astype(np.uint16).tobytes() + row[i].tobytes() for i, row in zip(at, x)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(1).cast(pa.int64()), pa.array(raw, pa.binary())], names=["id", "y", "x"])
+                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(1).cast(pa.int64()), part.column(2), pa.array(raw, pa.binary())], names=["id", "y", "hash", "x"])
 
-    measured = rows.mapInArrow(measure, "id string, y long, x binary").groupBy("id").agg(F.first("y").alias("y"), F.first("x").alias("x"))
-    got = measured.orderBy("y", "x").toArrow()  # a row an id, bounded by the sample
+    hashed = rows.select("_id", "_label", F.md5(F.col("_text").cast("binary")).alias("_hash"), "_text")
+    measured = written(hashed.mapInArrow(measure, "id string, y long, hash string, x binary").groupBy("id").agg(F.first("y").alias("y"), F.min_by("x", "hash").alias("x")))
+    first = measured.join(F.broadcast(chosen.select(F.col("_id").cast("string").alias("id"))), "id")
+    got = first.orderBy("y", "x").toArrow()  # a row an id, at most ``most``
     x = np.zeros((got.num_rows, Features.size), np.float32)
-    for k, raw in enumerate(got["x"]):
-        raw = raw.as_py()
-        n = len(raw) // 6
-        x[k, np.frombuffer(raw, np.uint16, n)] = np.frombuffer(raw, np.float32, n, 2 * n)
+    at, values, sizes = unpacked(got["x"])
+    x[np.repeat(np.arange(len(x)), sizes), at] = values
     y = got["y"].to_numpy()
-    return fit(x, y, np.array([stand[k] for k in y.tolist()]))
+    start = fit(x, y, np.array([stand[k] for k in y.tolist()]))
+    return start if max(stand.values(), default=1.0) <= 1.0 or not start[0].any() else fit_all(measured, start[0])
+
+
+def unpacked(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and values of stored features, one text after another, and how many each text has (at least one)."""
+    raw = column.to_pylist()
+    sizes = np.array([len(r) // 6 for r in raw], np.int64)
+    none = [np.zeros(0, np.uint16)], [np.zeros(0, np.float32)]
+    at = np.concatenate(none[0] + [np.frombuffer(r, np.uint16, len(r) // 6) for r in raw])
+    return at, np.concatenate(none[1] + [np.frombuffer(r, np.float32, len(r) // 6, len(r) // 6 * 2) for r in raw]), sizes
+
+
+def strengths(measured: DataFrame, weights: np.ndarray) -> DataFrame:
+    """(y, s, cell) of each stored text."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, values, sizes = unpacked(batch.column(1))
+            s = np.add.reduceat(weights[at] * values, np.cumsum(sizes) - sizes).astype(float) if len(sizes) else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["y", "s"])
+
+    return measured.select("y", "x").mapInArrow(run, "y long, s double").withColumn("cell", F.floor(F.col("s") / CELL))
+
+
+def fit_all(measured: DataFrame, weights: np.ndarray, rate: float = 1.0, ridge: float = 3e-4) -> tuple[np.ndarray, float, float]:
+    """Steps of the loss over all pairs of all stored texts, then threshold and scale over all of them.
+
+    How much a text is pulled depends on its strength and the other label's strengths only: these are counted by narrow
+    cells, and each text's pull is the mean over the cells, so that every pair counts and none is drawn.
+    """
+    sides = {r.y: r["count"] for r in measured.groupBy("y").count().collect()}  # two rows
+    speed = np.zeros_like(weights)
+    for _ in range(STEPS):
+        cells = strengths(measured, weights).groupBy("y", "cell").count().toArrow()  # as many as cells, whatever the table
+        y, mid, many = cells["y"].to_numpy(), (cells["cell"].to_numpy() + 0.5) * CELL, cells["count"].to_numpy()
+        grid = np.linspace(mid.min() - CELL, mid.max() + CELL, 2048)
+        pull = {k: (1 / (1 + np.exp(np.clip((1 if k else -1) * (grid[:, None] - mid[None, y != k]), -50, 50)))) @ many[y != k] / sides[1 - k] for k in (0, 1)}
+
+        def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(len(weights))
+            for batch in batches:
+                at, values, sizes = unpacked(batch.column(1))
+                if len(sizes):
+                    s, good = np.add.reduceat(weights[at] * values, np.cumsum(sizes) - sizes), batch.column(0).to_numpy() == 1
+                    each = np.where(good, np.interp(s, grid, pull[1]) / sides[1], -np.interp(s, grid, pull[0]) / sides[0])
+                    total += np.bincount(at, np.repeat(each, sizes) * values, minlength=len(weights))
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["g"])
+
+        parts = measured.select("y", "x").mapInArrow(step, "g binary").collect()  # a row a task, of the model's size
+        pulled = np.sum([np.frombuffer(r.g) for r in parts], axis=0)
+        speed = 0.9 * speed + rate * (pulled.astype(np.float32) - ridge * weights)
+        weights = weights + speed
+    by = strengths(measured, weights)
+    bad, n = sides[0], sides[0] + sides[1]
+    sizes = sorted((r.cell, r["count"]) for r in by.groupBy("cell").count().collect())
+    upto = np.cumsum([c for _, c in sizes])
+    low = min(bad - 1, n - 2)  # the threshold lies between this place and the next
+    near = [int(np.searchsorted(upto, k, side="right")) for k in (low, low + 1)]
+    inside = sorted((r.s, r["count"]) for r in by.where(F.col("cell").isin([sizes[i][0] for i in near])).groupBy("s").count().collect())
+    places = np.cumsum([c for _, c in inside]) + (upto[near[0]] - sizes[near[0]][1])
+    ends = [inside[int(np.searchsorted(places, k, side="right"))][0] for k in (low, low + 1)]
+    spread = by.agg(F.stddev_pop("s").alias("d")).first().d
+    return weights, float(sum(ends) / 2), float(max(1e-9, spread) / 4)
 
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: tuple[int, int] = FOLDS, most: int = MOST_LABELLED) -> DataFrame:
