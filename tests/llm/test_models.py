@@ -1,5 +1,6 @@
 """Packing, URL rules, quality model and toxicity."""
 
+import hashlib
 import time
 import zlib
 from collections import Counter
@@ -268,6 +269,22 @@ def test_quality_score_by_definition(spark, docs):
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-6 for k in want)
 
 
+def test_stored_features_are_the_features_and_small(spark):
+    """Texts are measured once; what is stored gives the same features in under half of six bytes a place, and rows with null ids stay."""
+    rng = np.random.default_rng(5)
+    rows = [(k, " ".join(f"w{x}" for x in rng.integers(0, 3000, 400))) for k in range(20)]
+    rows += [(20, ""), (None, None), (21, "one"), (22, "same " * 70_000), (22, "zz aa"), (23, "#" * 300)]
+    made = quality_model.measured(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text").toArrow()
+    f = quality_model.Features()
+    assert sorted(made["key"].to_pylist(), key=str) == sorted((k for k, _ in rows), key=str)
+    at, values, sizes = quality_model.unpacked(made["x"])
+    x = np.zeros((len(sizes), f.size), np.float32)
+    x[np.repeat(np.arange(len(sizes)), sizes), at] = values
+    of = {hashlib.md5((t or "").encode()).digest(): f(t) for _, t in rows}
+    assert all(np.allclose(row, of[h], atol=1e-6) for row, h in zip(x, made["hash"].to_pylist()))
+    assert sum(map(len, made["x"].to_pylist())) < 3 * int(sizes.sum())
+
+
 def test_learnt_terms_are_caught_misspelled(spark):
     """A word of several toxic texts is learnt, and a misspelling of it counts; words of clean texts near it don't."""
     toxic = [(i, f"you great schwachkopf number {i} and blödian here", 1) for i in range(1, 40)]

@@ -6,6 +6,9 @@ chance that one is preferred to another is the logistic function of the differen
 logistic loss over pairs, from weights learnt of a few ids on to steps over every pair of all labelled ids. The threshold is the strength's quantile at the share of bad labels; scores are
 shifted so that it falls on 0.7.
 
+Every text is measured once and stored in compact form, some hundred bytes long; learning and scoring read only that, so
+no text is shuffled.
+
 Defined results: a null text is empty and scored like one; a document with several or null labels counts as labelled
 once for each known one; without labels of both kinds every score is that of equal strength; repeated rows are each
 scored; an empty table gives an empty result; other columns are ignored.
@@ -72,11 +75,26 @@ class Features:
             got = self.places[word] = tuple(zlib.crc32(x) % HASHED for x in (bare, b"<" + bare[:3], bare[-3:] + b">"))
         return got
 
-    def __call__(self, text: str | None) -> np.ndarray:
+    def counts(self, text: str | None) -> tuple[list[float], np.ndarray, np.ndarray]:
+        """The counted properties, then the hashed places that the text has and how often each."""
         v = TextView(text)
-        places = np.array([p for w in v.words for p in self._place(w)], np.int64)
-        hashed = np.log1p(np.bincount(places, minlength=HASHED))
-        return np.concatenate([counted(v), hashed / max(1e-9, np.linalg.norm(hashed))]).astype(np.float32)
+        found = np.bincount(np.array([p for w in v.words for p in self._place(w)], np.int64), minlength=HASHED)
+        at = np.flatnonzero(found)
+        return counted(v), at, found[at]
+
+    def __call__(self, text: str | None) -> np.ndarray:
+        first, at, n = self.counts(text)
+        hashed = np.zeros(HASHED)
+        hashed[at] = np.log1p(n)
+        return np.concatenate([first, hashed / max(1e-9, np.linalg.norm(hashed))]).astype(np.float32)
+
+    def packed(self, text: str | None) -> bytes:
+        """What :func:`unpacked` reads: counted properties, places as steps from the last one, counts."""
+        first, at, n = self.counts(text)
+        wide = int(n.max(initial=0) > 255)
+        steps = np.diff(at, prepend=0)
+        far = int(steps.max(initial=0) > 255)
+        return np.array(first, np.float32).tobytes() + bytes([wide, far]) + steps.astype((np.uint8, np.uint16)[far]).tobytes() + n.astype((np.uint8, np.uint32)[wide]).tobytes()
 
 
 def sample_labels(labels: DataFrame, label: str, key: str, folds: tuple[int, int], most: int) -> DataFrame:
@@ -136,48 +154,79 @@ def train(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, f
     The driver starts from at most ``most`` of them. If there are more, steps over all of them follow, and threshold and
     scale come from all.
     """
-    chosen, stand = stratified(labels, label, key, folds, most)
-    rows = docs.select(F.col(key).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text")).join(labelled(labels, label, key, folds), "_id")
+    return learn(measured(docs, key, text), labels, label, key, folds, most)
+
+
+def measured(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, hash, x) of every text, stored: its MD5 and its features."""
 
-    def measure(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
         for batch in batches:
             for s in range(0, batch.num_rows, 256):
                 part = batch.slice(s, 256)
-                x = [features(t) for t in part.column(3).to_pylist()]
-                at = [np.flatnonzero(row) for row in x]
-                raw = [i.astype(np.uint16).tobytes() + row[i].tobytes() for i, row in zip(at, x)]
-                yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.string()), part.column(1).cast(pa.int64()), part.column(2), pa.array(raw, pa.binary())], names=["id", "y", "hash", "x"])
-
-    hashed = rows.select("_id", "_label", F.md5(F.col("_text").cast("binary")).alias("_hash"), "_text")
-    measured = written(hashed.mapInArrow(measure, "id string, y long, hash string, x binary").groupBy("id").agg(F.first("y").alias("y"), F.min_by("x", "hash").alias("x")))
-    first = measured.join(F.broadcast(chosen.select(F.col("_id").cast("string").alias("id"))), "id")
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([features.packed(t) for t in part.column(2).to_pylist()], pa.binary())], names=["key", "hash", "x"])
+
+    rows = docs.select(F.col(key).alias("key"), F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))).alias("hash"), F.col(text).alias("text"))
+    kind = rows.schema["key"].dataType.simpleString()
+    return written(rows.mapInArrow(run, f"key {kind}, hash binary, x binary"))
+
+
+def learn(made: DataFrame, labels: DataFrame, label: str, key: str, folds: tuple[int, int], most: int) -> tuple[np.ndarray, float, float]:
+    """:func:`train` from measured texts. Only their features are shuffled, once, by id, at any size of the labels."""
+    chosen, stand = stratified(labels, label, key, folds, most)
+    one = made.where(F.col("key").isNotNull() & ~in_fold("key", *folds)).groupBy(F.col("key").alias("_id")).agg(F.min_by("x", "hash").alias("x"))
+    known = one.join(labelled(labels, label, key, folds), "_id")
+    all_ = written(known.select(F.col("_id").cast("string").alias("id"), F.col("_label").cast("long").alias("y"), "x"))
+    first = all_.join(F.broadcast(chosen.select(F.col("_id").cast("string").alias("id"))), "id")
     got = first.orderBy("y", "x").toArrow()  # a row an id, at most ``most``
     x = np.zeros((got.num_rows, Features.size), np.float32)
     at, values, sizes = unpacked(got["x"])
     x[np.repeat(np.arange(len(x)), sizes), at] = values
     y = got["y"].to_numpy()
     start = fit(x, y, np.array([stand[k] for k in y.tolist()]))
-    return start if max(stand.values(), default=1.0) <= 1.0 or not start[0].any() else fit_all(measured, start[0])
+    return start if max(stand.values(), default=1.0) <= 1.0 or not start[0].any() else fit_all(all_, start[0])
 
 
 def unpacked(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Places and values of stored features, one text after another, and how many each text has (at least one)."""
-    raw = column.to_pylist()
-    sizes = np.array([len(r) // 6 for r in raw], np.int64)
-    none = [np.zeros(0, np.uint16)], [np.zeros(0, np.float32)]
-    at = np.concatenate(none[0] + [np.frombuffer(r, np.uint16, len(r) // 6) for r in raw])
-    return at, np.concatenate(none[1] + [np.frombuffer(r, np.float32, len(r) // 6, len(r) // 6 * 2) for r in raw]), sizes
+    """Places and values of stored features, one text after another, and how many each text has (at least the counted ones)."""
+    ats, ns, firsts = [], [], []
+    for raw in column.to_pylist():
+        wide, far = raw[48], raw[49]
+        n = (len(raw) - 50) // ((1, 4)[wide] + (1, 2)[far])
+        firsts.append(np.frombuffer(raw, np.float32, 12))
+        ats.append(np.frombuffer(raw, (np.uint8, np.uint16)[far], n, 50))
+        ns.append(np.frombuffer(raw, (np.uint8, np.uint32)[wide], n, 50 + n * (1, 2)[far]))
+    sizes = np.array([len(a) + 12 for a in ats], np.int64)
+    if not len(sizes):
+        return np.zeros(0, np.int64), np.zeros(0, np.float32), sizes
+    starts = np.cumsum(sizes) - sizes
+    counted_at = (starts[:, None] + np.arange(12)).ravel()
+    hashed_at = np.ones(sizes.sum(), bool)
+    hashed_at[counted_at] = False
+    steps, logs = np.concatenate(ats, dtype=np.int64), np.log1p(np.concatenate(ns, dtype=np.float64))
+    # running sums and squares over all texts, each less what stood before its text
+    ends = np.cumsum(sizes - 12)
+    text = np.repeat(np.arange(len(sizes)), sizes - 12)
+    total = np.append(0, np.cumsum(steps))
+    norm = np.sqrt(np.bincount(text, logs * logs, minlength=len(sizes)))
+    at, values = np.empty(len(hashed_at), np.int64), np.empty(len(hashed_at), np.float32)
+    at[counted_at], values[counted_at] = np.tile(np.arange(12), len(sizes)), np.concatenate(firsts)
+    at[hashed_at] = total[1:] - total[ends - (sizes - 12)][text] + 12
+    values[hashed_at] = logs / np.maximum(1e-9, norm)[text]
+    return at, values, sizes
 
 
 def strengths(measured: DataFrame, weights: np.ndarray) -> DataFrame:
     """(y, s, cell) of each stored text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, values, sizes = unpacked(batch.column(1))
-            s = np.add.reduceat(weights[at] * values, np.cumsum(sizes) - sizes).astype(float) if len(sizes) else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["y", "s"])
+        for whole in batches:
+            for k in range(0, whole.num_rows, 1024):
+                batch = whole.slice(k, 1024)
+                at, values, sizes = unpacked(batch.column(1))
+                s = np.add.reduceat(weights[at] * values, np.cumsum(sizes) - sizes).astype(float)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64())], names=["y", "s"])
 
     return measured.select("y", "x").mapInArrow(run, "y long, s double").withColumn("cell", F.floor(F.col("s") / CELL))
 
@@ -198,9 +247,10 @@ def fit_all(measured: DataFrame, weights: np.ndarray, rate: float = 1.0, ridge:
 
         def step(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(weights))
-            for batch in batches:
-                at, values, sizes = unpacked(batch.column(1))
-                if len(sizes):
+            for whole in batches:
+                for k in range(0, whole.num_rows, 1024):
+                    batch = whole.slice(k, 1024)
+                    at, values, sizes = unpacked(batch.column(1))
                     s, good = np.add.reduceat(weights[at] * values, np.cumsum(sizes) - sizes), batch.column(0).to_numpy() == 1
                     each = np.where(good, np.interp(s, grid, pull[1]) / sides[1], -np.interp(s, grid, pull[0]) / sides[0])
                     total += np.bincount(at, np.repeat(each, sizes) * values, minlength=len(weights))
@@ -225,16 +275,19 @@ def fit_all(measured: DataFrame, weights: np.ndarray, rate: float = 1.0, ridge:
 
 def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", folds: tuple[int, int] = FOLDS, most: int = MOST_LABELLED) -> DataFrame:
     """Score between 0 and 1 of each document, and whether it reaches 0.7."""
-    weights, threshold, scale = train(docs, labels, key, text, label, folds, most)
+    made = measured(docs, key, text)
+    weights, threshold, scale = learn(made, labels, label, key, folds, most)
     shift = float(np.log(THRESHOLD / (1 - THRESHOLD)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
-        for batch in batches:
-            ids = batch.column(0).to_pylist()
-            x = np.array([features(t) @ weights for t in batch.column(1).to_pylist()], float)
-            s = 1 / (1 + np.exp(-np.clip((x - threshold) / scale + shift, -40, 40)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([py_in_fold(i, *folds) for i in ids], pa.bool_()), pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32), pa.int32())], names=["key", "held_out", "score", "predicted"])
-
-    slim = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                places, values, sizes = unpacked(batch.column(1))
+                x = np.add.reduceat(weights[places] * values.astype(float), np.cumsum(sizes) - sizes)
+                s = 1 / (1 + np.exp(-np.clip((x - threshold) / scale + shift, -40, 40)))
+                held = [py_in_fold(i, *folds) for i in batch.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.bool_()), pa.array(s, pa.float64()), pa.array((s >= THRESHOLD).astype(np.int32), pa.int32())], names=["key", "held_out", "score", "predicted"])
+
+    slim = made.select(F.col("key").cast("long").alias("key"), "x")
     return slim.mapInArrow(run, "key long, held_out boolean, score double, predicted int").withColumnRenamed("key", key)
