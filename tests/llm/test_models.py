@@ -182,6 +182,35 @@ def test_many_query_keys_do_not_multiply_rules(spark):
     assert all((got[k] == "block") == (k % 3 == 0) for k in range(20)) and all(got[100 + k] == "allow" for k in range(980))
 
 
+def test_tokens_that_tell_only_together_are_not_dropped(spark):
+    """Pages of 11 frequent tokens and more; only two that say nothing alone tell the label, and no host word is frequent."""
+    rng = np.random.default_rng(6)
+    seeds = sorted(url_rules.SEEDS)
+    pages, block = [], {}
+    for k in range(400):
+        a, b = k % 2, k // 2 % 2
+        block[k] = a == b
+        host = f"{seeds[k // 4 % 10] if a == b else 'h' + str(k // 4 % 10)}.example"
+        keys = "&".join(f"k{x}=1" for x in rng.choice(12, 9, replace=False))
+        pages.append((k, f"https://{host}/{'ax'[a]}/{'by'[b]}?{keys}"))
+    frame = spark.createDataFrame(pages, "page_id long, url string")
+    rules, strength = url_rules.mine(frame, support=0.1)
+    assert sum(t.startswith("query=") for t in strength) == 12 and not any(t.startswith("host=") for t in strength)
+    for path in (("path0=a", "path1=b"), ("path0=x", "path1=y")):
+        assert (path, "block", 1.0, 0.25) in rules
+    # every rule that is not redundant, by counting all sets
+    baskets = [(url_rules.telling(url_rules.tokens(u, *url_rules.split_url(u)), strength), "block" if block[k] else "allow") for k, u in pages]
+    seen, hits = Counter(), Counter()
+    for t, v in baskets:
+        for n in range(1, len(t) + 1):
+            for items in combinations(t, n):
+                seen[items] += 1
+                hits[items, v] += 1
+    every = {(items, v): n / seen[items] for (items, v), n in hits.items() if n >= 40 and n / seen[items] >= url_rules.CONFIDENCE}
+    new = {(items, v, c) for (items, v), c in every.items() if not any(every.get((less, v), 0) >= c for n in range(1, len(items)) for less in combinations(items, n))}
+    assert new == {r[:3] for r in rules}
+
+
 def test_a_label_repeated_many_times_crowds_nothing_out(spark):
     """13,000 copies of one bad document beside 39 good ones: the model still tells them apart, as with one copy."""
     good = [(k, f"a calm and well made sentence number {k} about rivers, towns and the people who live there") for k in range(1, 60) if zlib.crc32(str(k).encode()) % 4 != 2][:39]
