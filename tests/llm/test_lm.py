@@ -141,3 +141,36 @@ def test_empty_and_untrained(docs):
     assert lm.score(docs.where("false")).count() == 0
     out = lm.score(docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2)).collect()
     assert out and all(r.n_known == 0 and r.train_tokens == 0 and np.isfinite(r.score) and r.base_score == 0 for r in out)
+
+
+def test_equal_tokens_are_computed_once_a_block():
+    """Sums over classes are taken for the pairs before a token that differ within a block, and change nothing."""
+    rng = np.random.default_rng(4)
+    model = lm.Model.start(np.full(60, 1 / 60))
+    model.classify()
+    i, j, w = (rng.integers(0, 60, 4000) % k for k in (5, 4, 60))
+    seen = []
+    plain, lm._log_sum = lm._log_sum, lambda x: seen.append(len(x)) or plain(x)
+    try:
+        got = lm.Probabilities(model)(i, j, w)
+    finally:
+        lm._log_sum = plain
+    assert sum(seen) <= 20 + 20 * 60
+    context = model.context(i, j).astype(float)
+    classes, members = context @ model.class_out.T, context @ model.out.T
+    norm = lambda x: np.log(np.exp(x).sum(1))
+    inside = np.where(model.class_of[w][:, None] == model.class_of[None, :], members, -np.inf)
+    every = np.arange(len(w))
+    want = classes[every, model.class_of[w]] - norm(classes) + members[every, w] - norm(inside)
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_buckets_of_counted_words(spark):
+    """The bucket that Spark computes is that of every word, short, long or not ASCII; held-out texts count in ``every`` only."""
+    docs = spark.createDataFrame([(k, f"a bb ccc \u00e9 {'x' * 50} k{k} k{k}") for k in range(40)] + [(None, None)], "doc_id long, text string")
+    got = lm.count(docs, "doc_id", "text", lm.FOLDS).collect()
+    assert all(r.bucket == lm.bucket_of(bytes(r.word)) for r in got)
+    held = [lm.py_in_fold(k, *lm.FOLDS) for k in [*range(40), None]]
+    by = {bytes(r.word): (r.c, r.every) for r in got}
+    assert by[b""] == (held.count(False), 41) and by[b"a"] == (held[:40].count(False), 40)
+    assert all(by[f"k{k}".encode()] == (0 if held[k] else 2, 2) for k in range(40))

@@ -69,27 +69,29 @@ def count(docs: DataFrame, key: str, text: str, folds: tuple[int, int]) -> DataF
     """(word, bucket, c, every): occurrences in training documents, and in all."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple = (Counter(), Counter())
+        every, held = Counter(), Counter()
 
         def out() -> pa.RecordBatch:
-            keys = [key_of(w) for part in seen for w in part]
-            n = [x for part in seen for x in part.values()]
-            held = [h for h, part in enumerate(seen) for _ in part]
-            for part in seen:
-                part.clear()
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([bucket_of(k) for k in keys], pa.int32()), pa.array(n, pa.int64()), pa.array(held, pa.int64())], names=["word", "bucket", "n", "held"])
+            keys = [w if len(w) <= LONG else key_of(w) for w in every]
+            n, less = (pa.array(x, pa.int64()) for x in (every.values(), map(held.get, every, repeat(0))))
+            every.clear()
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), n, less], names=["word", "n", "held"])
 
         for batch in batches:
             for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = seen[py_in_fold(i, *folds)]
-                part.update(words_of(t))
-                part[END] += 1
-                if len(seen[0]) + len(seen[1]) > MOST_HELD:
+                words = words_of(t)
+                words.append(END)
+                every.update(words)
+                if py_in_fold(i, *folds):
+                    held.update(words)
+                if len(every) + len(held) > MOST_HELD:
                     yield out()
         yield out()
 
-    got = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, "word binary, bucket int, n long, held long")
-    return got.groupBy("word", "bucket").agg(F.sum(F.when(F.col("held") == 0, F.col("n")).otherwise(0)).alias("c"), F.sum("n").alias("every"))
+    got = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, "word binary, n long, held long")
+    bucket = (F.crc32(F.substring("word", -2, 2)) % BUCKETS).cast("int")  # as bucket_of
+    return got.groupBy("word").agg(F.sum(F.col("n") - F.col("held")).alias("c"), F.sum("n").alias("every")).select("word", bucket.alias("bucket"), "c", "every")
 
 
 def commonest(counts: DataFrame, by: str, most: int) -> dict[bytes, int]:
@@ -134,7 +136,9 @@ class Model:
 
     def context(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """The sum of both places' vectors, and a one for the bias."""
-        return np.column_stack([self.last[i] + self.other[j], np.ones(len(i), np.float32)])
+        out = np.ones((len(i), self.last.shape[1] + 1), np.float32)
+        np.add(self.last.take(i, 0), self.other.take(j, 0), out=out[:, :-1])
+        return out
 
     def members(self) -> tuple[np.ndarray, np.ndarray]:
         """Entries by class, and where each class begins."""
@@ -178,22 +182,29 @@ class Probabilities:
         self.by_class = np.ascontiguousarray(model.out[order])
 
     def __call__(self, i: np.ndarray, j: np.ndarray, w: np.ndarray, block: int = 1 << 17) -> np.ndarray:
-        """Of each entry ``w`` behind ``i`` and, before that, ``j``; natural logarithms."""
-        m, out = self.m, np.empty(len(w))
+        """Of each entry ``w`` behind ``i`` and, before that, ``j``; natural logarithms.
+
+        Within a block equal tokens behind equal pairs are computed once, and so is each pair's sum over classes.
+        """
+        m, out, n = self.m, np.empty(len(w)), len(self.m.share)
         for s in range(0, len(w), block):
-            word = w[s : s + block]
+            pair, pair_of = np.unique(i[s : s + block].astype(np.int64) * n + j[s : s + block], return_inverse=True)
+            token, token_of = np.unique(pair_of * n + w[s : s + block], return_inverse=True)
+            behind, word = token // n, token % n
             by = np.argsort(_short(m.class_of[word], len(m.class_out)), kind="stable")
-            word = word[by]
-            context, group = m.context(i[s : s + block][by], j[s : s + block][by]), m.class_of[word]
-            got = np.einsum("bd,bd->b", context, m.class_out[group]).astype(float) + np.einsum("bd,bd->b", context, m.out[word])
-            for t in range(0, len(word), 4096):
-                got[t : t + 4096] -= _log_sum(context[t : t + 4096] @ m.class_out.T)
+            word, behind = word[by], behind[by]
+            pairs, group = m.context(pair // n, pair % n), m.class_of[word]
+            context = pairs.take(behind, 0)
+            got = np.einsum("bd,bd->b", context, m.class_out.take(group, 0)).astype(float) + np.einsum("bd,bd->b", context, m.out.take(word, 0))
+            got -= np.concatenate([_log_sum(pairs[t : t + 1024] @ m.class_out.T) for t in range(0, len(pairs), 1024)])[behind]
             cut = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
             for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(by)]):
                 k = group[a]
                 inside = self.by_class[self.start[k] : self.start[k + 1]]
                 got[a:b] -= _log_sum(context[a:b] @ inside.T)
-            out[s : s + block][by] = got
+            each = np.empty(len(got))
+            each[by] = got
+            out[s : s + block] = each[token_of]
         return out
 
 
@@ -230,18 +241,31 @@ class Trainer:
             self.low, self.wide = self.cum[self.start[:-1]], np.diff(self.cum[self.start])
         self.log_noise, self.shelf = np.log(noise).astype(np.float32), np.cumsum(noise) / noise.sum()
 
-    def _add(self, table: int, at: np.ndarray, rows: np.ndarray) -> None:
-        """Climb by the sums of the rows that go to each place."""
+    def _add(self, table: int, at: np.ndarray, rows: np.ndarray, row: np.ndarray | None = None, times: np.ndarray | None = None) -> None:
+        """Climb by the sums of the rows that go to each place: those of numbers ``row``, taken ``times``, or each once."""
         to, spent = self.m.tables()[table], self.spent[table]
         order = np.argsort(_short(at, len(to)), kind="stable")
         at = at[order]
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         many = np.diff(np.append(first, len(at)))
-        at, total = at[first], np.add.reduceat(rows[order], first, axis=0)
+        at, total = at[first], self._sums(rows, order if row is None else row[order], None if times is None else times[order], first)[:, : to.shape[1]]
         self.uses[table][at] += many
-        paid = spent[at] + total * total
+        paid = spent.take(at, 0)
+        paid += total * total
         spent[at] = paid
-        to[at] += self.rate * total / np.sqrt(paid)
+        np.sqrt(paid, out=paid)
+        np.divide(total, paid, out=paid)
+        paid *= self.rate
+        paid += to.take(at, 0)
+        to[at] = paid
+
+    @staticmethod
+    def _sums(rows: np.ndarray, row: np.ndarray, times: np.ndarray | None, first: np.ndarray) -> np.ndarray:
+        """Sums of runs of rows."""
+        x = rows.take(row, 0)
+        if times is not None:
+            x *= times[:, None]
+        return np.add.reduceat(x, first, axis=0)
 
     def step(self, i: np.ndarray, j: np.ndarray, w: np.ndarray) -> None:
         """Entries, or their classes, against noise that the batch shares; then entries against others of their class."""
@@ -250,27 +274,28 @@ class Trainer:
         plain = m.class_of is None
         target, out = (w, m.out) if plain else (m.class_of[w], m.class_out)
         noise = np.minimum(np.searchsorted(self.shelf, self.rng.random(NOISE), side="right"), len(self.shelf) - 1)
-        mine, others = out[target], out[noise]
+        mine, others = out.take(target, 0), out.take(noise, 0)
         true = np.einsum("bd,bd->b", context, mine) - self.log_noise[target] - k
         false = context @ others.T - (self.log_noise[noise] + k)
         up, down = _logistic(-true), _logistic(false)  # how far a token is from being told from noise, and noise from a token
         into = up[:, None] * mine - down @ others
-        moved = np.concatenate([target, noise]), np.concatenate([up[:, None] * context, -(down.T @ context)])
+        n = len(w)
+        moved = np.concatenate([target, noise]), np.concatenate([context, -(down.T @ context)]), np.arange(n + NOISE), np.append(up, np.ones(NOISE, np.float32))
         if not plain:
             into += self._within(context, w, target)
         self._add(0 if plain else 3, *moved)
-        self._add(1, i, into[:, :-1])
-        self._add(2, j, into[:, :-1])
+        self._add(1, i, into)
+        self._add(2, j, into)
 
     def _within(self, context: np.ndarray, w: np.ndarray, group: np.ndarray) -> np.ndarray:
         """One other member of each token's class as noise."""
         m = self.m
         place = np.searchsorted(self.cum, self.low[group] + self.rng.random(len(w)) * self.wide[group], side="right") - 1
         noise = self.order[np.clip(place, self.start[group], self.start[group + 1] - 1)]
-        mine, others = m.out[w], m.out[noise]
+        mine, others = m.out.take(w, 0), m.out.take(noise, 0)
         up = _logistic(self.log_within[w] - np.einsum("bd,bd->b", context, mine))
         down = _logistic(np.einsum("bd,bd->b", context, others) - self.log_within[noise])
-        self._add(0, np.concatenate([w, noise]), np.concatenate([up[:, None] * context, -down[:, None] * context]))
+        self._add(0, np.concatenate([w, noise]), context, np.tile(np.arange(len(w)), 2), np.concatenate([up, -down]))
         return up[:, None] * mine - down[:, None] * others
 
     def sums(self) -> np.ndarray:
